@@ -37,7 +37,7 @@ RATED = """rated as (
 PRICED = f"""base as (
  select r.*, v.device_id, v.base_price, v.price_per_minute, v.reward_base, v.reward_factor, o.company_name,
   o.currency_code, o.commission_factor cf, o.token_share, o.commission_factor, cast(coalesce(x.rate, 1) as decimal(11,6)) rate,
-  (epoch_ms(r.end_time) - epoch_ms(r.start_time)) // 60000 minutes
+  (epoch_ms(r.end_time) - epoch_ms(r.start_time)) // 60000 as minutes
  from rides r join vehicles v using (vehicle_id) join owners o on v.owner_id = o.owner_id left join rates x using (currency_code)
  where r.end_time is not null),
 priced0 as (select * exclude (price, token_awarded), cast(base_price + cast(price_per_minute as decimal(38,2)) * minutes as decimal(18,2)) price from base),
@@ -60,7 +60,7 @@ split as (
 DAILY = """daily as (
  select vehicle_id, effective_date as date, min_by(owner_id, (start_time, ride_id)) owner_id,
   min_by(currency_code, (start_time, ride_id)) currency_code, count(*) rides_count,
-  cast(sum(fiat_revenue) as decimal(38,10)) fiat_revenue, cast(sum(token_revenue) as decimal(38,10)) token_revenue,
+  cast(sum(fiat_revenue) as decimal(36,10)) fiat_revenue, cast(sum(token_revenue) as decimal(36,10)) token_revenue,
   count(*) filter (rating = 1) rating_1_count, count(*) filter (rating = 2) rating_2_count, count(*) filter (rating = 3) rating_3_count,
   count(*) filter (rating = 4) rating_4_count, count(*) filter (rating = 5) rating_5_count,
   coalesce(max_by(parking_image_url, (end_time, ride_id)) filter (end_time is not null), '') last_parking_image_url
@@ -72,12 +72,12 @@ calendar as (select vehicle_id, cast(unnest(generate_series(cast(first_day as ti
 dense as (
  select c.vehicle_id, c.date,
   last_value(d.owner_id ignore nulls) over w owner_id, last_value(d.currency_code ignore nulls) over w currency_code,
-  coalesce(d.rides_count, 0) rides_count, cast(coalesce(d.fiat_revenue, 0) as decimal(38,10)) fiat_revenue,
-  cast(coalesce(d.token_revenue, 0) as decimal(38,10)) token_revenue,
+  coalesce(d.rides_count, 0) rides_count, cast(coalesce(d.fiat_revenue, 0) as decimal(36,10)) fiat_revenue,
+  cast(coalesce(d.token_revenue, 0) as decimal(36,10)) token_revenue,
   coalesce(rating_1_count, 0) rating_1_count, coalesce(rating_2_count, 0) rating_2_count, coalesce(rating_3_count, 0) rating_3_count,
   coalesce(rating_4_count, 0) rating_4_count, coalesce(rating_5_count, 0) rating_5_count,
-  cast(sum(d.rides_count) over w as bigint) rides_accumulate, cast(sum(d.fiat_revenue) over w as decimal(38,10)) fiat_accumulate,
-  cast(sum(d.token_revenue) over w as decimal(38,10)) token_accumulate
+  cast(sum(d.rides_count) over w as bigint) rides_accumulate, cast(sum(d.fiat_revenue) over w as decimal(36,10)) fiat_accumulate,
+  cast(sum(d.token_revenue) over w as decimal(36,10)) token_accumulate
  from calendar c left join daily d on c.vehicle_id = d.vehicle_id and c.date = d.date
  window w as (partition by c.vehicle_id order by c.date rows unbounded preceding))"""
 
@@ -242,7 +242,9 @@ select ride_id, coalesce(coalesce(token_balance, 0) * cast(rate as decimal(38,6)
 _oracle(
     "unset_method_guard",
     ["rides"],
-    ", one as (select 1) select ride_id, rider_id, owner_id, price from rides where line <> 7 and paid_with_token is null",
+    """, stored as (
+ select * from rides where line <> 7 qualify row_number() over (partition by ride_id order by start_time, vehicle_id, price) = 1)
+select ride_id, r.rider_id, s.owner_id, s.price from rides r join stored s using (ride_id) where s.paid_with_token is null""",
 )
 
 _oracle(
@@ -478,7 +480,7 @@ _oracle(
     STATS_VIEWS,
     f""", {RATED}, {SPLIT}, {DAILY}
 select vehicle_id, date, rides_count, cast(sum(rides_count) over w as bigint) rides_accumulate,
- cast(sum(fiat_revenue) over w as decimal(38,10)) fiat_accumulate, cast(sum(token_revenue) over w as decimal(38,10)) token_accumulate
+ cast(sum(fiat_revenue) over w as decimal(36,10)) fiat_accumulate, cast(sum(token_revenue) over w as decimal(36,10)) token_accumulate
 from daily window w as (partition by vehicle_id order by date)""",
 )
 _oracle(
@@ -491,12 +493,12 @@ history as (
 today as (select * from daily where date = date '2024-01-31'),
 ids as (select vehicle_id from history union select vehicle_id from today)
 select vehicle_id, date '2024-01-31' as date, coalesce(d.owner_id, v.owner_id) owner_id, coalesce(d.currency_code, h.currency_code) currency_code,
- coalesce(rides_count, 0) rides_count, cast(coalesce(fiat_revenue, 0) as decimal(38,10)) fiat_revenue, cast(coalesce(token_revenue, 0) as decimal(38,10)) token_revenue,
+ coalesce(rides_count, 0) rides_count, cast(coalesce(fiat_revenue, 0) as decimal(36,10)) fiat_revenue, cast(coalesce(token_revenue, 0) as decimal(36,10)) token_revenue,
  coalesce(rating_1_count, 0) rating_1_count, coalesce(rating_2_count, 0) rating_2_count, coalesce(rating_3_count, 0) rating_3_count,
  coalesce(rating_4_count, 0) rating_4_count, coalesce(rating_5_count, 0) rating_5_count, coalesce(last_parking_image_url, '') last_parking_image_url,
  cast(coalesce(rides_count, 0) + coalesce(r, 0) as bigint) rides_accumulate,
- cast(coalesce(fiat_revenue, 0) + coalesce(f, 0) as decimal(38,10)) fiat_accumulate,
- cast(coalesce(token_revenue, 0) + coalesce(t, 0) as decimal(38,10)) token_accumulate
+ cast(coalesce(fiat_revenue, 0) + coalesce(f, 0) as decimal(36,10)) fiat_accumulate,
+ cast(coalesce(token_revenue, 0) + coalesce(t, 0) as decimal(36,10)) token_accumulate
 from ids left join today d using (vehicle_id) left join history h using (vehicle_id) left join vehicles v using (vehicle_id)""",
 )
 _oracle(
@@ -504,9 +506,9 @@ _oracle(
     STATS_VIEWS,
     f""", {RATED}, {SPLIT}, {DAILY}, {DENSE}
 select owner_id, date, min_by(currency_code, vehicle_id) currency_code, count(*) vehicles_count, cast(sum(rides_count) as bigint) rides_count,
- cast(sum(fiat_revenue) as decimal(38,10)) fiat_revenue, cast(sum(token_revenue) as decimal(38,10)) token_revenue,
- cast(sum(rides_accumulate) as bigint) rides_accumulate, cast(sum(fiat_accumulate) as decimal(38,10)) fiat_accumulate,
- cast(sum(token_accumulate) as decimal(38,10)) token_accumulate
+ cast(sum(fiat_revenue) as decimal(36,10)) fiat_revenue, cast(sum(token_revenue) as decimal(36,10)) token_revenue,
+ cast(sum(rides_accumulate) as bigint) rides_accumulate, cast(sum(fiat_accumulate) as decimal(36,10)) fiat_accumulate,
+ cast(sum(token_accumulate) as decimal(36,10)) token_accumulate
 from dense group by owner_id, date""",
 )
 _oracle(

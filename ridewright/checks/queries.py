@@ -389,33 +389,33 @@ def txn_type_filter(v: Views) -> DataFrame:
 # -- settlement -------------------------------------------------------------------------------
 
 
-def _owed(v: Views) -> tuple[DataFrame, DataFrame]:
+def _settled(v: Views) -> DataFrame:
     positions = settlement.owner_positions(v.owners, _ledger(v))
-    due = settlement.with_owner_terms(_payable(v), positions, v.rates)
-    return due, settlement.fold(due)
+    payable = _payable(v).select(
+        "ride_id", "rider_id", "owner_id", "end_time", "price", "paid_with_token", "token_awarded"
+    )
+    return settlement.fold(settlement.with_owner_terms(payable, positions, v.rates))
 
 
 @query
 def settlement_fold(v: Views) -> DataFrame:
-    _, covered = _owed(v)
-    return covered.select("owner_id", "ride_id", "price_cents", "covered", "left_cents")
+    return _settled(v).select("owner_id", "ride_id", "price_cents", "covered", "left_cents")
 
 
 @query
 def reward_owed(v: Views) -> DataFrame:
-    return settlement.rewards_owed(*_owed(v))
+    return settlement.rewards_owed(_settled(v))
 
 
 @query
 def reward_messages(v: Views) -> DataFrame:
-    return settlement.reward_messages(*_owed(v))
+    return settlement.reward_messages(_settled(v))
 
 
 @query
 def payment_requests(v: Views) -> DataFrame:
-    due, covered = _owed(v)
     vendor = F.col("vendors")[0]
-    return settlement.payment_requests(due, covered, v.riders).select(
+    return settlement.payment_requests(_settled(v), v.riders).select(
         "ride_id", "owner_id", "covered", "card_transaction_type", "vaulted_shopper_id", "currency", "amount",
         vendor["vendor_id"].alias("vendor_id"), vendor["commission_percent"].alias("commission_percent"),
     )

@@ -15,15 +15,7 @@ BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
 FULL_LENGTH = 12
 AXIS_BITS = 30
-
-# Masks of the bit-interleaving ladder (shift, mask) for 30-bit values.
-_SPREAD = [
-    (16, 0x0000FFFF0000FFFF),
-    (8, 0x00FF00FF00FF00FF),
-    (4, 0x0F0F0F0F0F0F0F0F),
-    (2, 0x3333333333333333),
-    (1, 0x5555555555555555),
-]
+EVEN_BITS = 0x5555555555555555
 
 
 def _cell_index(value: Column, low: float, span: float) -> Column:
@@ -54,22 +46,20 @@ def lat_index(lat: Column) -> Column:
     return _cell_index(lat, -90.0, 180.0)
 
 
+def _reread(number: Column, write_base: int, read_base: int) -> Column:
+    """Digits of a number in one base, read as a number in another."""
+    digits = F.conv(number.cast("string"), 10, write_base)
+    return F.conv(digits, read_base, 10).cast("bigint")
+
+
 def _spread(index: Column) -> Column:
-    out = index
-    for shift, mask in _SPREAD:
-        out = out.bitwiseOR(F.shiftleft(out, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
-    return out
+    """The bits of ``index`` at the even bit positions: binary digits read as base 4."""
+    return _reread(index, 2, 4)
 
 
 def _squeeze(bits: Column) -> Column:
     """Every second bit of ``bits``, packed; the inverse of :func:`_spread`."""
-    out = bits.bitwiseAND(F.lit(_SPREAD[-1][1]).cast("bigint"))
-    masks = [mask for _, mask in _SPREAD]
-    for level in range(len(_SPREAD) - 1, -1, -1):
-        shift = _SPREAD[level][0]
-        mask = masks[level - 1] if level > 0 else 0x00000000FFFFFFFF
-        out = out.bitwiseOR(F.shiftright(out, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
-    return out
+    return _reread(bits.bitwiseAND(F.lit(EVEN_BITS).cast("bigint")), 4, 2)
 
 
 def _hash_text(lon_idx: Column, lat_idx: Column) -> Column:

@@ -30,14 +30,10 @@ NEVER = np.iinfo(np.int64).max
 
 def _fold(rides: DataFrame, keys: list[str]) -> DataFrame:
     """Fold the rides of each key in order; ``keys`` is the owner, or owner and block."""
-    kinds = {f.name: f.dataType.simpleString() for f in rides.schema.fields}
-    kept = [*dict.fromkeys([*keys, "owner_id", "ride_id", "end_time", "price_cents"])]
-    schema = ", ".join(f"{c} {kinds[c]}" for c in kept) + ", covered boolean, left_cents bigint"
 
-    def advance(left, first, batch: pd.DataFrame):
+    def advance(left, first, column):
         covered, after = [], []
-        rows = zip(first.tolist(), batch["start_cents"].tolist(), batch["price_cents"].tolist())
-        for new_key, start, price in rows:
+        for new_key, start, price in zip(first, column("start_cents"), column("price_cents")):
             if new_key:
                 left = start
             fits = price <= left
@@ -45,10 +41,15 @@ def _fold(rides: DataFrame, keys: list[str]) -> DataFrame:
                 left -= price
             covered.append(fits)
             after.append(left)
-        return left, batch[kept].assign(covered=covered, left_cents=after)
-
-    placed = ordered.hashed_and_sorted(rides, keys, ORDER)
-    return ordered.stream_rows(placed, keys, schema, advance)
+        return left, [covered, after]
+
+    return ordered.stream_rows(
+        ordered.hashed_and_sorted(rides, keys, ORDER),
+        keys,
+        advance,
+        {"covered": "boolean", "left_cents": "bigint"},
+        [c for c in rides.columns if c != "start_cents"],
+    )
 
 
 def _summary(prices: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,69 +88,58 @@ def _summaries(blocks: DataFrame) -> DataFrame:
     )
 
 
-def _walk(state, first, batch: pd.DataFrame):
+def _walk(state, first, column):
     """Carry each owner's position over block summaries up to the first block to be opened."""
-    rows = []
-    for new_key, owner, block, start, shorter, least, after in zip(
-        first.tolist(),
-        batch["owner_id"],
-        batch["block"],
-        batch["start_cents"],
-        batch["shorter"],
-        batch["least"],
-        batch["left_after"],
+    starts, opens = [], []
+    for new_key, start, shorter, least, after in zip(
+        first, column("start_cents"), column("shorter"), column("least"), column("left_after")
     ):
-        left, stopped = (int(start), False) if new_key else state
-        if not stopped:
-            known = after is not None and not pd.isna(after)
-            size = max(left, 0).bit_length()
-            passes = left <= 0 or (
-                left - int(shorter[size]) >= 1 << (size - 1) and int(least[size]) > left
-            )
-            stopped = not known and not passes
-            rows.append((owner, block, left, stopped))
-            if known:
-                left = int(after)
-            elif passes and left > 0:
-                left -= int(shorter[size])
+        left, stopped = (start, False) if new_key else state
+        starts.append(None if stopped else left)
+        if not stopped and after is not None:
+            left = after
+        elif not stopped and left > 0:
+            size = left.bit_length()
+            if left - shorter[size] >= 1 << (size - 1) and least[size] > left:
+                left -= shorter[size]
+            else:
+                stopped = True
+        opens.append(stopped and starts[-1] is not None)
         state = (left, stopped)
-    out = pd.DataFrame(rows, columns=["owner_id", "block", "start_cents", "must_open"])
-    return state, out if rows else None
+    return state, [starts, opens]
 
 
 def _block_starts(blocks: DataFrame) -> DataFrame:
     """Position at the start of every block.
 
-    Each round opens at most one block per owner; a round shortens the position by at least one
-    bit, so there are no more rounds than bits. The loop moves summaries, never rides.
+    Each round opens at most one block per owner and shortens the position by at least one bit, so
+    there are no more rounds than bits. Rounds walk summaries; rides are read only from the opened
+    partitions of the block table, whose numbers are few enough to list in the filter.
     """
-    owner = blocks.schema["owner_id"].dataType.simpleString()
     summaries = cut_lineage(_summaries(blocks))
-    opened = None
+    opened = summaries.select("owner_id", "block", F.col("start_cents").alias("left_after")).limit(0)
     while True:
-        if opened is None:
-            known = summaries.withColumn("left_after", F.lit(None).cast("bigint"))
-        else:
-            known = summaries.join(opened, ["owner_id", "block"], "left")
-        placed = ordered.hashed_and_sorted(known, ["owner_id"], ["block"])
+        known = summaries.join(opened, ["owner_id", "block"], "left")
         walk = cut_lineage(
             ordered.stream_rows(
-                placed,
+                ordered.hashed_and_sorted(known, ["owner_id"], ["block"]),
                 ["owner_id"],
-                f"owner_id {owner}, block int, start_cents bigint, must_open boolean",
                 _walk,
+                {"block_start": "bigint", "must_open": "boolean"},
+                ["owner_id", "block"],
             )
-        )
-        stops = walk.where("must_open")
-        if stops.isEmpty():
+        ).withColumnRenamed("block_start", "start_cents")
+        stops = walk.where("must_open").drop("must_open")
+        numbers = [row[0] for row in stops.select("block").distinct().collect()]
+        if not numbers:
             return walk.drop("must_open")
-        rides = blocks.drop("start_cents").join(stops.drop("must_open"), ["owner_id", "block"])
+        rides = blocks.drop("start_cents").where(F.col("block").isin(numbers))
         ends = (
-            _fold(rides, ["owner_id", "block"])
+            _fold(rides.join(stops, ["owner_id", "block"]), ["owner_id", "block"])
             .groupBy("owner_id", "block")
             .agg(F.min("left_cents").alias("left_after"))
         )
-        opened = cut_lineage(ends if opened is None else opened.unionByName(ends))
+        opened = cut_lineage(opened.unionByName(ends))
 
 
 def settle(
@@ -160,18 +150,17 @@ def settle(
     max_rows: int = ordered.MAX_ROWS_PER_KEY,
     block_rows: int = ordered.BLOCK_ROWS,
 ) -> DataFrame:
-    """Rows (owner_id, ride_id, end_time, price_cents, covered, left_cents).
+    """The rides with ``price_cents``, ``covered`` and the owner's ``left_cents`` after each.
 
     ``price`` is the ride's non-negative token price, ``start`` the owner's position, the same on
-    all rides of an owner. A ride uses up its price even though only its award is booked.
+    all rides of an owner; rides lacking either, or an owner, are left out. A ride uses up its
+    price even though only its award is booked. All columns travel through the fold, so nothing
+    has to be joined back by ride.
     """
-    work = rides.select(
-        "owner_id",
-        "ride_id",
-        "end_time",
-        money.to_cents(price).alias("price_cents"),
-        money.to_cents(start).alias("start_cents"),
-    ).dropna()
+    work = rides.withColumn("price_cents", money.to_cents(price)).withColumn(
+        "start_cents", money.to_cents(start)
+    )
+    work = work.dropna(subset=["owner_id", "price_cents", "start_cents"])
     plain, hot, hot_rows = ordered.split_hot(work, "owner_id", max_rows)
     settled = _fold(plain, ["owner_id"])
     if hot is None:

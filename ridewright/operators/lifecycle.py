@@ -12,7 +12,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridewright.operators import ordered
@@ -80,25 +81,25 @@ def with_event_code(events: DataFrame) -> DataFrame:
 
 def _replay(events: DataFrame, keys: list[str]) -> DataFrame:
     """State before and after each event, from ``start_state`` at the first row of a key."""
-    kinds = {f.name: f.dataType.simpleString() for f in events.schema.fields}
-    kept = ["vehicle_id", "event_id", "ts", "code"]
-    schema = ", ".join(f"{c} {kinds[c]}" for c in kept) + ", state_before int, state_after int"
     maps = EVENT_MAPS
 
-    def advance(state, first, batch: pd.DataFrame):
+    def advance(state, first, column):
         before, after = [], []
-        for new_key, start, code in zip(
-            first.tolist(), batch["start_state"].tolist(), batch["code"].tolist()
-        ):
+        for new_key, start, code in zip(first, column("start_state"), column("code")):
             if new_key:
                 state = start
             before.append(state)
             state = maps[code][state]
             after.append(state)
-        return state, batch[kept].assign(state_before=before, state_after=after)
-
-    placed = ordered.hashed_and_sorted(events, keys, ORDER)
-    return ordered.stream_rows(placed, keys, schema, advance)
+        return state, [pa.array(before, pa.int32()), pa.array(after, pa.int32())]
+
+    return ordered.stream_rows(
+        ordered.hashed_and_sorted(events, keys, ORDER),
+        keys,
+        advance,
+        {"state_before": "int", "state_after": "int"},
+        ["vehicle_id", "event_id", "ts", "code"],
+    )
 
 
 def _block_starts(blocks: DataFrame) -> DataFrame:
@@ -124,20 +125,23 @@ def _block_starts(blocks: DataFrame) -> DataFrame:
         compose, f"vehicle_id {vehicle}, block int, start_state int, moves array<int>"
     )
 
-    def advance(state, first, batch: pd.DataFrame):
+    def advance(state, first, column):
         starts = []
-        for new_key, start, moves in zip(first.tolist(), batch["start_state"], batch["moves"]):
-            state = int(start) if new_key else state
+        for new_key, start, moves in zip(first, column("start_state"), column("moves")):
+            state = start if new_key else state
             starts.append(state)
-            state = int(moves[state])
-        return state, batch[["vehicle_id", "block"]].assign(start_state=starts)
+            state = moves[state]
+        return state, [pa.array(starts, pa.int32())]
 
-    placed = ordered.hashed_and_sorted(composed, ["vehicle_id"], ["block"])
     return cut_lineage(
         ordered.stream_rows(
-            placed, ["vehicle_id"], f"vehicle_id {vehicle}, block int, start_state int", advance
+            ordered.hashed_and_sorted(composed, ["vehicle_id"], ["block"]),
+            ["vehicle_id"],
+            advance,
+            {"state": "int"},
+            ["vehicle_id", "block"],
         )
-    )
+    ).withColumnRenamed("state", "start_state")
 
 
 def replay(
@@ -172,10 +176,10 @@ def describe(replayed: DataFrame) -> DataFrame:
     flow_no = (F.col("code") / len(KINDS)).cast("int")
     kind_no = F.col("code") % len(KINDS)
 
-    def by_flow(values: list) -> F.Column:
+    def by_flow(values: list) -> Column:
         return F.array(*[F.lit(v) for v in values])[flow_no]
 
-    def status(column: str):
+    def status(column: str) -> Column:
         return names[(F.col(column) / 2).cast("int")]
 
     flow = by_flow(list(FLOWS))

@@ -8,11 +8,10 @@ each block's start, and the blocks are then replayed in parallel from those stat
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from math import ceil
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,28 +53,39 @@ def cut_into_blocks(
     return cut_lineage(cut)
 
 
-def stream_rows(df: DataFrame, keys: Sequence[str], schema: str, advance: Callable) -> DataFrame:
+def stream_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    advance: Callable,
+    adds: Mapping[str, str],
+    keep: Sequence[str],
+) -> DataFrame:
     """Pass the sorted rows of each partition through ``advance``, one Arrow batch at a time.
 
-    ``advance(carry, first, batch)`` gets what it returned last, a flag per row telling where a new
-    key begins, and the batch; it returns the new carry and the output rows or None. Memory is
-    bounded by one batch, however many rows a key has.
+    ``advance(carry, first, column)`` gets what it returned last, a flag per row telling where a
+    new key begins, and a function that lists a column of the batch. It returns the new carry and
+    the values of each added column (``adds``: name to type). Columns in ``keep`` travel along
+    untouched. Memory is bounded by one batch, however many rows a key has.
     """
-    names = list(keys)
+    names, kept, added = list(keys), list(keep), list(adds)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in kept] + [f"`{c}` {t}" for c, t in adds.items()])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry, last = None, None
         for batch in batches:
-            if batch.empty:
+            if not batch.num_rows:
                 continue
-            columns = [batch[name].to_numpy() for name in names]
-            first = np.zeros(len(batch), bool)
-            for values in columns:
-                first[1:] |= values[1:] != values[:-1]
-            first[0] = last != [values[0] for values in columns]
-            last = [values[-1] for values in columns]
-            carry, out = advance(carry, first, batch)
-            if out is not None:
-                yield out
-
-    return df.mapInPandas(run, schema)
+            first = [False] * batch.num_rows
+            for values in (batch.column(name).to_pylist() for name in names):
+                first = [f or a != b for f, a, b in zip(first, values, [None, *values])]
+            head, tail = ([batch.column(n)[at].as_py() for n in names] for at in (0, -1))
+            first[0] = head != last
+            last = tail
+            carry, columns = advance(carry, first, lambda name: batch.column(name).to_pylist())
+            made = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in kept] + made, [*kept, *added]
+            )
+
+    return df.mapInArrow(run, schema)

@@ -209,6 +209,7 @@ def choose_method(summaries: DataFrame, choices: DataFrame) -> DataFrame:
         ["ride_id"],
         take=["chosen_token"],
         keep_misses=True,
+        first_by=["chosen_token"],
     )
     return (
         picked.withColumn("paid_with_token", F.coalesce("chosen_token", "_stored"))
@@ -233,6 +234,7 @@ def mark_paid(summaries: DataFrame, captures: DataFrame) -> DataFrame:
         ["ride_id"],
         take=["capture_id"],
         keep_misses=True,
+        first_by=["capture_id"],
     )
     new = F.when(F.col("paid_with_token"), F.lit(TOKEN_CAPTURE_MARK)).otherwise(
         F.col("capture_id")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ridewright.functions import money
 
 RATINGS = range(1, 6)
-TOTAL = "decimal(38,10)"
+TOTAL = "decimal(36,10)"
 RUNNING = {
     "rides_count": "rides_accumulate",
     "fiat_revenue": "fiat_accumulate",

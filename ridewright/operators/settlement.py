@@ -53,25 +53,23 @@ def with_owner_terms(rides: DataFrame, positions: DataFrame, rates: DataFrame) -
 
 
 def fold(rides: DataFrame, **limits: int) -> DataFrame:
-    """Which rides the owner's token position covers."""
+    """Payable rides tagged with whether the owner's token position covers them."""
     return greedy.settle(rides, F.col("token_price"), F.col("position"), **limits)
 
 
-def payment_requests(rides: DataFrame, covered: DataFrame, riders: DataFrame) -> DataFrame:
-    """One gateway request per ride.
+def payment_requests(settled: DataFrame, riders: DataFrame) -> DataFrame:
+    """One gateway request per settled ride.
 
     The owner funds the reward of a covered ride in tokens; otherwise the reward is added to the
     commission. Token rides are not charged to a card. The rider's payment method is a plain join.
     """
-    outcome = covered.select(F.col("ride_id").alias("_ride"), "covered")
-    known = lookup(rides, riders, ["rider_id"], take=["payment_method_id"])
-    joined = known.join(outcome, F.col("ride_id") == F.col("_ride")).drop("_ride")
-    reward = F.when(
-        F.col("covered"), F.lit(0).cast("decimal(28,10)")
-    ).otherwise(money.reward_factor_of(F.col("token_awarded"), F.col("rate"), F.col("price")))
+    known = lookup(settled, riders, ["rider_id"], take=["payment_method_id"])
+    reward = F.when(F.col("covered"), F.lit(0).cast("decimal(28,10)")).otherwise(
+        money.reward_factor_of(F.col("token_awarded"), F.col("rate"), F.col("price"))
+    )
     percent = ((F.col("commission_factor") + reward) * F.lit(100)).cast("decimal(28,10)")
     card = ~F.col("paid_with_token")
-    return joined.select(
+    return known.select(
         "ride_id",
         "rider_id",
         "owner_id",
@@ -80,9 +78,7 @@ def payment_requests(rides: DataFrame, covered: DataFrame, riders: DataFrame) ->
         F.when(card, F.col("payment_method_id")).alias("vaulted_shopper_id"),
         F.col("currency_code").alias("currency"),
         F.col("price").alias("amount"),
-        F.array(
-            F.struct(F.col("vendor_id"), percent.alias("commission_percent"))
-        ).alias("vendors"),
+        F.array(F.struct(F.col("vendor_id"), percent.alias("commission_percent"))).alias("vendors"),
     )
 
 
@@ -96,26 +92,20 @@ def authorisation(kind: str, shopper: Column, currency: Column, amount: Column)
     )
 
 
-def rewards_owed(rides: DataFrame, covered: DataFrame) -> DataFrame:
+def rewards_owed(settled: DataFrame) -> DataFrame:
     """Award total of each owner's covered rides, if positive."""
-    paid = covered.where("covered").select(F.col("ride_id").alias("_ride"))
-    owed = rides.join(paid, F.col("ride_id") == F.col("_ride"), "left_semi")
     return (
-        owed.groupBy("owner_id")
+        settled.where("covered")
+        .groupBy("owner_id")
         .agg(F.sum("token_awarded").alias("reward_owed"))
         .where(F.col("reward_owed") > 0)
     )
 
 
-def reward_messages(rides: DataFrame, covered: DataFrame) -> DataFrame:
+def reward_messages(settled: DataFrame) -> DataFrame:
     """Token transfers that pay each uncovered ride's reward from the operator."""
-    joined = rides.join(
-        covered.where(~F.col("covered")).select(F.col("ride_id").alias("_ride")),
-        F.col("ride_id") == F.col("_ride"),
-        "left_semi",
-    )
-    return joined.where(F.col("token_awarded") > 0).select(
-        F.col("ride_id"),
+    return settled.where(~F.col("covered") & (F.col("token_awarded") > 0)).select(
+        "ride_id",
         F.col("end_time").alias("ts"),
         F.lit(OPERATOR_TO_RIDER).alias("transaction_type"),
         "owner_id",
@@ -123,15 +113,11 @@ def reward_messages(rides: DataFrame, covered: DataFrame) -> DataFrame:
     )
 
 
-def _windowed(df: DataFrame, ts: str) -> Column:
-    return F.window(ts, SETTLEMENT_WINDOW)
-
-
 def operator_sums(messages_df: DataFrame, ts: str = "ts") -> DataFrame:
     """One transfer per window: everything the operator owes riders."""
     return (
         operator_transfers(messages_df)
-        .groupBy(_windowed(messages_df, ts).alias("w"))
+        .groupBy(F.window(ts, SETTLEMENT_WINDOW).alias("w"))
         .agg(F.sum("amount").cast("decimal(28,2)").alias("amount"))
         .select(
             F.col("w.start").alias("window_start"),
@@ -150,7 +136,7 @@ def owner_netting(messages_df: DataFrame, ts: str = "ts") -> DataFrame:
     ).otherwise(-F.col("amount"))
     return (
         owner_transfers(messages_df)
-        .groupBy(_windowed(messages_df, ts).alias("w"), "owner_id")
+        .groupBy(F.window(ts, SETTLEMENT_WINDOW).alias("w"), "owner_id")
         .agg(F.sum(signed).cast("decimal(28,2)").alias("net"))
         .where(F.col("net") != 0)
         .select(
