@@ -6,7 +6,7 @@ text where it uses folds and windows, so an error would have to be made twice to
 
 from __future__ import annotations
 
-from ridewright.checks.queries import END_RIDE_BODIES, LIFECYCLE_EVENTS
+from ridewright.checks.queries import COMMANDS, END_RIDE_BODIES, LIFECYCLE_EVENTS
 from ridewright.checks.views import GIVEN, with_views
 from ridewright.operators.lifecycle import FLOWS
 
@@ -620,3 +620,36 @@ select vehicle_id, event_id, s.ts, s.flow, s.kind, status_before, accepted, stat
  case when s.kind = 'request' and accepted then s.command end command, s.flow = 'lock' and s.kind = 'failure' lock_failed
 from run join steps s using (vehicle_id, event_id)""",
 )
+
+
+# Streams: rows appear as far as the watermark got, the earliest input's latest time less the delay.
+
+_oracle(
+    "windowed_stream",
+    ["token_messages"],
+    f""", closed as (select max(ts) - interval 1 hour mark from token_messages)
+select t.* from ({OPERATOR_SUM} union all {NETTING}) t, closed where window_end <= mark""",
+)
+
+_oracle(
+    "command_ack_stream",
+    ["iot_updates"],
+    f""", commands as ({_given(COMMANDS)}),
+updates as (select device_id, ts, state from iot_updates where state is not null),
+reached as (select least((select max(ts) from commands where device_id <> ''), (select max(ts) from updates)) - interval 1 hour mark),
+seconds as (select device_id, state, date_trunc('second', ts) + interval 1 second - interval 1 microsecond second_end, min(ts) first_ts from updates group by all)
+select c.ts, c.event_id, c.device_id, c.command, min(greatest(first_ts, c.ts)) filter (first_ts is not null) ack_ts
+from (select commands.* from commands, reached where device_id <> '' and ts <= mark - interval 360 second) c
+left join seconds s on s.device_id = c.device_id and s.state = c.command and second_end between c.ts and c.ts + interval 360 second
+group by all""",
+)
+
+ORACLES["payment_choice_stream"] = """
+with ended as (select event_id ride_id, ts end_time from events where event_type = 'view'),
+choices as (select event_id ride_id, ts + interval 1 second * cast(event_id % 700 as int) ts, event_id % 2 = 0 by_token from events where event_type = 'view' and event_id % 5 <> 0),
+reached as (select least((select max(end_time) from ended), (select max(ts) from choices)) - interval 1 hour mark)
+select e.ride_id, end_time, coalesce(case when ts <= end_time + interval 400 second then by_token end, false) by_token
+from (select ended.* from ended, reached where end_time <= mark - interval 400 second) e left join choices using (ride_id)
+"""
+
+ORACLES["vehicle_lifecycle_stream"] = ORACLES["vehicle_lifecycle"]

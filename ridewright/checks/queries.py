@@ -25,6 +25,10 @@ from ridewright.operators.lookup import latest_per_key, lookup
 from ridewright.session import apply_runtime_conf
 from ridewright.sinks import export, topics
 from ridewright.sources import streams, tables
+from ridewright.streaming import lifecycle as lifecycle_stream
+from ridewright.streaming import settlement as settlement_stream
+from ridewright.streaming import waiting
+from ridewright.streaming.run import drain
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -608,19 +612,16 @@ def proximity_search(v: Views) -> DataFrame:
 # -- waiting and status -----------------------------------------------------------------------
 
 
-def _commands(v: Views) -> DataFrame:
-    return v.sql(
-        """
+COMMANDS = """
         select event_id, ts, case when user_id % 11 = 0 then '' else concat('dev-', cast(user_id as string)) end device_id,
          case event_type when 'view' then 'unlocked' else 'locked' end command
         from {events} where event_type in ('view', 'click')
-        """
-    )
+"""
 
 
 @query
 def command_ack(v: Views) -> DataFrame:
-    return intervals.acknowledged(_commands(v), v.iot_updates).select(
+    return intervals.acknowledged(v.sql(COMMANDS), v.iot_updates).select(
         "event_id", "device_id", "command", "ack_ts", "acked"
     )
 
@@ -648,3 +649,56 @@ from {events}
 @query
 def vehicle_lifecycle(v: Views) -> DataFrame:
     return lifecycle.replay(v.sql(LIFECYCLE_EVENTS), v.vehicles.select("vehicle_id", "status"))
+
+
+# -- streams ----------------------------------------------------------------------------------
+# The given events arrive as a file stream; rows that need the watermark to pass appear as far as
+# it has passed at the end of the files.
+
+STREAM_DELAY = "1 hour"
+
+
+def _naive(df: DataFrame, *columns: str) -> DataFrame:
+    """Instants without a zone, as the given files hold them."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
+@query
+def windowed_stream(v: Views) -> DataFrame:
+    out = settlement_stream.transfers(v.streamed("token_messages"), STREAM_DELAY)
+    return _naive(drain(out, "windowed"), "window_start", "window_end")
+
+
+@query
+def command_ack_stream(v: Views) -> DataFrame:
+    events = v.arriving("events")
+    commands = v.sql(COMMANDS, events=events).where("device_id <> ''")
+    out = waiting.acknowledgements(commands, v.streamed("iot_updates"), delay=STREAM_DELAY)
+    return _naive(drain(out, "acks"), "ts", "ack_ts")
+
+
+@query
+def payment_choice_stream(v: Views) -> DataFrame:
+    """Views end a ride, and the next event of the numbering is the rider's choice."""
+    ended = v.sql(
+        "select event_id ride_id, ts end_time from {events} where event_type = 'view'",
+        events=v.arriving("events"),
+    )
+    choices = v.sql(
+        """
+        select event_id ride_id, ts + interval '1' second * cast(event_id % 700 as int) ts, event_id % 2 = 0 by_token
+        from {events} where event_type = 'view' and event_id % 5 <> 0
+        """,
+        events=v.arriving("events"),
+    )
+    out = waiting.payment_choices(ended, choices, delay=STREAM_DELAY)
+    return _naive(drain(out, "choices"), "end_time")
+
+
+@query
+def vehicle_lifecycle_stream(v: Views) -> DataFrame:
+    events = v.sql(LIFECYCLE_EVENTS, events=v.arriving("events"))
+    vehicles = v.vehicles.select("vehicle_id", "status")
+    known = events.join(vehicles.select("vehicle_id"), "vehicle_id")
+    out = drain(lifecycle_stream.replay_stream(known, vehicles), "lifecycle")
+    return _naive(out, "ts")

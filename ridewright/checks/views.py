@@ -103,7 +103,17 @@ class Views:
         for word, own in _SPARK_WORDS.items():
             text = text.replace(word, own)
         used = {name: self.given(name) for name in GIVEN if "{" + name + "}" in text}
-        return self._spark.sql(text, **used, **frames)
+        return self._spark.sql(text, **{**used, **frames})
+
+    def arriving(self, name: str) -> DataFrame:
+        """A given table as a file stream."""
+        # a file stream takes folders or patterns, and a table may be a single file
+        path = f"{self._folder}/{name}.{{parquet}}"
+        return self._spark.readStream.schema(self.given(name).schema).parquet(path)
+
+    def streamed(self, view: str, source: str = "events") -> DataFrame:
+        """A derived table over an arriving given table."""
+        return self.sql(VIEWS[view], **{source: self.arriving(source)})
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in VIEWS:

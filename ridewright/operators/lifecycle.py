@@ -79,6 +79,13 @@ def with_event_code(events: DataFrame) -> DataFrame:
     return events.withColumn("code", F.try_element_at(table, pair))
 
 
+def start_states(vehicles: DataFrame) -> DataFrame:
+    """(vehicle_id, start_state) of vehicles with a known status, none in transition."""
+    status = F.array_position(F.array(*[F.lit(s) for s in STATUSES]), F.col("status")) - 1
+    begin = vehicles.select("vehicle_id", (status * 2).cast("int").alias("start_state"))
+    return begin.where("start_state >= 0")
+
+
 def _replay(events: DataFrame, keys: list[str]) -> DataFrame:
     """State before and after each event, from ``start_state`` at the first row of a key."""
     maps = EVENT_MAPS
@@ -157,9 +164,7 @@ def replay(
     vehicle_id, status.
     """
     numbered = with_event_code(events).select("vehicle_id", "event_id", "ts", "code").dropna()
-    status = F.array_position(F.array(*[F.lit(s) for s in STATUSES]), F.col("status")) - 1
-    begin = vehicles.select("vehicle_id", (status * 2).cast("int").alias("start_state"))
-    known = numbered.join(begin.where("start_state >= 0"), "vehicle_id")
+    known = numbered.join(start_states(vehicles), "vehicle_id")
     plain, hot, hot_rows = ordered.split_hot(known, "vehicle_id", max_rows)
     done = _replay(plain, ["vehicle_id"])
     if hot is not None:
