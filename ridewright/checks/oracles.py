@@ -48,13 +48,13 @@ priced as (select *, cast(least(
 
 # net, token part and fiat part at ten digits; the division rounds half up on integers
 SPLIT = f"""split0 as (
- select *, cast(cast(price - cast(price as decimal(38,2)) * commission_factor as decimal(38,8)) * token_share as decimal(26,10)) token_part,
+ select *, cast(cast(price - cast(price as decimal(38,2)) * commission_factor as decimal(38,8)) * token_share as decimal(24,10)) token_part,
   cast(price - cast(price as decimal(38,2)) * commission_factor as decimal(26,8)) net from rated),
 split as (
- select *, case when currency_code = 'TOK' then cast(cast(net - token_part as decimal(32,10)) * cast(rate as decimal(11,6)) as decimal(26,10))
-   else cast(net - token_part as decimal(26,10)) end fiat_revenue,
+ select *, case when currency_code = 'TOK' then cast(cast(net - token_part as decimal(32,10)) * cast(rate as decimal(11,6)) as decimal(24,10))
+   else cast(net - token_part as decimal(24,10)) end fiat_revenue,
   case when currency_code = 'TOK' then token_part
-   else {_decimal(f"(2 * {_scaled('token_part', 10)} * 1000000 + {_scaled('rate', 6)}) // (2 * {_scaled('rate', 6)})", 10, "decimal(26,10)")} end token_revenue
+   else {_decimal(f"(2 * {_scaled('token_part', 10)} * 1000000 + {_scaled('rate', 6)}) // (2 * {_scaled('rate', 6)})", 10, "decimal(24,10)")} end token_revenue
  from split0)"""
 
 DAILY = """daily as (
@@ -534,25 +534,27 @@ select v.vehicle_id, coalesce(p, cast(floor(least(cast(100 as float), greatest(c
 from vehicles v join devices using (device_id) join here on here.vehicle_id = v.vehicle_id left join pct using (device_id) left join volt using (device_id) left join st using (device_id) left join pos using (device_id)""",
 )
 
-# neighbours of the 5-character cell: 13 longitude bits, 12 latitude bits
-_AROUND = "list_sort(list_filter(["
-_AROUND += ", ".join(
-    f"case when (y >> 18) + ({dy}) between 0 and 4095 then left({_interleaved(f'((((x >> 17) + ({dx}) + 8192) % 8192) << 17)', f'(((y >> 18) + ({dy})) << 18)')}, 5) end"
-    for dy in (-1, 0, 1)
-    for dx in (-1, 0, 1)
-)
-_AROUND += "], lambda c: c is not null))"
+POINTS = """points as (
+ select event_id, cast((event_id * 7919 % 180000) * 0.001 - 90 as double) lat, cast((event_id * 104729 % 360000) * 0.001 - 180 as double) lon from events)"""
 
 ORACLES["geohash_cells"] = f"""
-with points as (
- select event_id, cast((event_id * 7919 % 180000) * 0.001 - 90 as double) lat, cast((event_id * 104729 % 360000) * 0.001 - 180 as double) lon from events),
+with {POINTS},
 {_cells("points", "event_id", "lat", "lon", "c")}
 select event_id, gh geohash, {", ".join(f"left(gh, {k}) geo_hash_{k}" for k in range(1, 11))},
- (cast(y as double) + 0.5) * (180.0 / 1073741824.0) - 90.0 centre_lat, (cast(x as double) + 0.5) * (360.0 / 1073741824.0) - 180.0 centre_lon,
- array_to_string({_AROUND}, ' ') around
+ (cast(y as double) + 0.5) * (180.0 / 1073741824.0) - 90.0 centre_lat, (cast(x as double) + 0.5) * (360.0 / 1073741824.0) - 180.0 centre_lon
 from c
 """
 
+# a 5-character cell has 13 longitude bits and 12 latitude bits
+ORACLES["geohash_neighbours"] = f"""
+with {POINTS},
+{_cells("points", "event_id", "lat", "lon", "c")},
+near as (select event_id, left(gh, 5) cell, (((x >> 17) + dx + 8192) % 8192) << 17 x, (y >> 18) + dy row_no
+ from c, (values (-1), (0), (1)) a(dx), (values (-1), (0), (1)) b(dy)),
+rows_left as (select event_id, cell, x, row_no << 18 y from near where row_no between 0 and 4095)
+select event_id, cell, left({_interleaved("x", "y")}, 5) neighbour from rows_left
+"""
+
 # two points share an n-character prefix exactly when their cell numbers at that depth agree
 _oracle(
     "proximity_search",
@@ -564,10 +566,13 @@ searches as (select distinct n, left(gh, n) prefix, x >> (30 - (5 * n + 1) // 2)
 found as (
  select n, prefix, vehicle_id, concat('{{"qrCode":"', qr_code, '","id":', vehicle_id, ',"batteryPercentage":', battery_percentage, ',"status":"', status, '"',
   case when model is null then '' else concat(',"model":"', model, '"') end, ',"geoHash":"', gh, '","operator_name":"', operator_name, '","base_price":', base_price, ',"price_per_minute":', price_per_minute, '}}') card
- from searches join spots on status = 'available' and abs((x >> dx) - sx) <= 1 and abs((y >> dy) - sy) <= 1)
-select s.n prefix_length, s.prefix, cast(0 as bigint) page, count(vehicle_id) vehicles_found,
- concat('[', coalesce(string_agg(card, ',' order by vehicle_id), ''), ']') search_results
-from searches s left join found f on s.n = f.n and s.prefix = f.prefix group by all""",
+ from searches join spots on status = 'available' and abs((x >> dx) - sx) <= 1 and abs((y >> dy) - sy) <= 1),
+sized as (select s.n, s.prefix, vehicle_id, card, count(vehicle_id) over (partition by s.n, s.prefix) vehicles_found
+ from searches s left join found f on s.n = f.n and s.prefix = f.prefix)
+select n prefix_length, prefix, case when vehicles_found <= 1000 then 0
+  else cast(concat('0x', left(md5(cast(vehicle_id as varchar)), 8)) as bigint) % cast(ceil(vehicles_found / 1000) as bigint) end page,
+ any_value(vehicles_found) vehicles_found, concat('[', coalesce(string_agg(card, ',' order by vehicle_id), ''), ']') search_results
+from sized group by 1, 2, 3""",
 )
 
 _oracle(

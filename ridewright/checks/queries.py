@@ -571,28 +571,34 @@ def telemetry_merge(v: Views) -> DataFrame:
     )
 
 
-@query
-def geohash_cells(v: Views) -> DataFrame:
-    """Points over the whole globe; neighbourhoods at the searched length of 5."""
+def _globe(v: Views) -> DataFrame:
     points = v.sql(
         """
         select event_id, cast((event_id * 7919 % 180000) * 0.001 - 90 as double) lat,
          cast((event_id * 104729 % 360000) * 0.001 - 180 as double) lon from {events}
         """
     )
-    cell = geo.geohash(F.col("lat"), F.col("lon"))
-    hashed = points.select("event_id", cell.alias("geohash"))
+    return points.select("event_id", geo.geohash(F.col("lat"), F.col("lon")).alias("geohash"))
+
+
+@query
+def geohash_cells(v: Views) -> DataFrame:
     centre_lat, centre_lon = geo.cell_centre(F.col("geohash"))
-    return hashed.select(
+    return _globe(v).select(
         "event_id",
         "geohash",
         *geo.prefix_columns(F.col("geohash")),
         centre_lat.alias("centre_lat"),
         centre_lon.alias("centre_lon"),
-        F.array_join(F.array_sort(geo.neighbourhood(geo.prefix(F.col("geohash"), 5))), " ").alias("around"),
     )
 
 
+@query
+def geohash_neighbours(v: Views) -> DataFrame:
+    cells = _globe(v).select("event_id", geo.prefix(F.col("geohash"), 5).alias("cell"))
+    return geo.with_neighbours(cells, "cell", "neighbour")
+
+
 def _searches(v: Views) -> DataFrame:
     points = v.sql(
         """

@@ -6,7 +6,7 @@ base-32 digits are the 12-character geohash. Everything stays inside the JVM exp
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The published geohash alphabet, and the digits conv() writes in base 32.
@@ -118,25 +118,31 @@ def cell_centre(cell: Column) -> tuple[Column, Column]:
     return lat, lon
 
 
-def neighbourhood(cell: Column) -> Column:
-    """The cell and its up to eight neighbours, distinct, at the cell's own length.
+def with_neighbours(df: DataFrame, cell: str, out: str) -> DataFrame:
+    """One row per cell of the neighbourhood: the cell itself and its up to eight neighbours.
 
-    Longitude wraps at the date line; rows beyond a pole do not exist.
+    Cells keep the length of ``cell``. Longitude wraps at the date line; cells beyond a pole do not
+    exist. The offsets are exploded first, so each row spells one geohash.
     """
-    lon_idx, lat_idx = _corner(cell)
-    lon_bits, lat_bits = _axis_bits(cell)
-    lon_drop, lat_drop = F.lit(AXIS_BITS) - lon_bits, F.lit(AXIS_BITS) - lat_bits
+    lon_idx, lat_idx = _corner(F.col(cell))
+    lon_bits, lat_bits = _axis_bits(F.col(cell))
     one = F.lit(1).cast("bigint")
-    lon_cell, lat_cell = _shift_right(lon_idx, lon_drop), _shift_right(lat_idx, lat_drop)
-    lon_mask = _shift_left(one, lon_bits) - 1
-    lat_count = _shift_left(one, lat_bits)
-    cells = []
-    for d_lat in (-1, 0, 1):
-        row = lat_cell + d_lat
-        for d_lon in (-1, 0, 1):
-            column = (lon_cell + d_lon).bitwiseAND(lon_mask)
-            text = _hash_text(_shift_left(column, lon_drop), _shift_left(row, lat_drop))
-            cells.append(
-                F.when((row >= 0) & (row < lat_count), F.left(text, F.length(cell)))
-            )
-    return F.array_distinct(F.filter(F.array(*cells), lambda c: c.isNotNull()))
+    offsets = F.array(
+        *[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for y in (-1, 0, 1) for x in (-1, 0, 1)]
+    )
+    placed = df.withColumns(
+        {
+            "_lon": _shift_right(lon_idx, F.lit(AXIS_BITS) - lon_bits),
+            "_lat": _shift_right(lat_idx, F.lit(AXIS_BITS) - lat_bits),
+        }
+    ).withColumn("_by", F.explode(offsets))
+    row = F.col("_lat") + F.col("_by.y")
+    column = (F.col("_lon") + F.col("_by.x")).bitwiseAND(_shift_left(one, lon_bits) - 1)
+    text = _hash_text(
+        _shift_left(column, F.lit(AXIS_BITS) - lon_bits), _shift_left(row, F.lit(AXIS_BITS) - lat_bits)
+    )
+    return (
+        placed.where((row >= 0) & (row < _shift_left(one, lat_bits)))
+        .withColumn(out, F.left(text, F.length(F.col(cell))))
+        .drop("_lon", "_lat", "_by")
+    )

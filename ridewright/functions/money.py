@@ -1,7 +1,7 @@
 """Exact decimal arithmetic for prices, token amounts and commissions.
 
-Every function takes and returns decimal columns. Quotients are built from an integer part and
-a scaled remainder, so rounding is decided on exact integers and never on a rounded quotient.
+Every function takes and returns decimal columns. Quotients are single integer divisions of scaled
+operands, so rounding is decided on exact integers and never on a rounded quotient.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 MONEY = "decimal(18,2)"
 RATE = "decimal(11,6)"
 FACTOR = "decimal(7,6)"
-REVENUE = "decimal(26,10)"
+REVENUE = "decimal(24,10)"
 
 # Fixed value: one token is 10^18 of its smallest unit.
 TOKEN_UNIT_DIGITS = 18
@@ -26,30 +26,38 @@ def _int_div(num: Column, den: Column) -> Column:
     return F.call_function("div", num, den)
 
 
-def _split(num: Column, den: Column) -> tuple[Column, Column, Column]:
-    """Integer quotient, remainder and divisor; a zero divisor gives nulls."""
+def _whole_at(num: Column, den: Column, scale: int, half: bool) -> Column:
+    """``num / den`` in units of ``10^-scale`` as one integer division."""
+    if half:
+        doubled = num * (_pow10(scale) * F.lit(2))
+        return _int_div(doubled + F.when(num < 0, -den).otherwise(den), den * F.lit(2))
+    return _int_div(num * _pow10(scale), den)
+
+
+def _divide(num: Column, den: Column, scale: int, out: str, half: bool) -> Column:
     safe = F.nullif(den, F.lit(0))
+    direct = (_whole_at(num, safe, scale, half).cast("decimal(19,0)") * _one_at(scale)).cast(out)
+    if scale <= 2:
+        return direct
+    # a quotient with more than 18 digits leaves the integer range: split off its integer part
     whole = _int_div(num, safe).cast("decimal(18,0)")
-    return whole, num - whole * safe, safe
+    rest = (num - whole * safe).cast("decimal(24,10)")
+    parted = whole + _whole_at(rest, safe, scale, half).cast("decimal(19,0)") * _one_at(scale)
+    fits = F.abs(num) < safe * F.lit(9 * 10 ** (17 - scale)).cast("decimal(18,0)")
+    return F.when(fits, direct).otherwise(parted.cast(out))
 
 
 def div_down(num: Column, den: Column, scale: int, out: str) -> Column:
     """``num / den`` truncated toward zero at ``scale`` digits; null when ``den`` is 0.
 
-    ``num`` may hold up to ``decimal(26,10)``, ``den`` up to ``decimal(18,6)``.
+    ``num`` may hold up to ``decimal(24,10)``, the positive ``den`` up to ``decimal(18,6)``.
     """
-    whole, rest, safe = _split(num, den)
-    part = _int_div(rest.cast("decimal(26,10)") * _pow10(scale), safe)
-    return (whole + part.cast("decimal(18,0)") * _one_at(scale)).cast(out)
+    return _divide(num, den, scale, out, half=False)
 
 
 def div_half_up(num: Column, den: Column, scale: int, out: str) -> Column:
     """``num / den`` rounded half away from zero at ``scale`` digits; null when ``den`` is 0."""
-    whole, rest, safe = _split(F.abs(num), F.abs(den))
-    twice = rest.cast("decimal(26,10)") * (_pow10(scale) * F.lit(2))
-    part = _int_div(twice + safe, safe * F.lit(2))
-    size = whole + part.cast("decimal(18,0)") * _one_at(scale)
-    return F.when((num < 0) != (den < 0), -size).otherwise(size).cast(out)
+    return _divide(num, den, scale, out, half=True)
 
 
 def _one_at(scale: int) -> Column:
@@ -134,7 +142,7 @@ def revenue_split(
 
 def reward_factor_of(award: Column, rate: Column, price: Column) -> Column:
     """Reward as a share of the fiat price, ten digits, truncated."""
-    return div_down((award * rate).cast("decimal(26,8)"), price, 10, "decimal(28,10)")
+    return div_down((award * rate).cast("decimal(22,8)"), price, 10, "decimal(28,10)")
 
 
 def rider_token_change(paid_with_token: Column, price: Column, rate: Column, award: Column) -> Column:

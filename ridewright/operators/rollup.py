@@ -39,24 +39,38 @@ def daily_vehicle_stats(rides: DataFrame, token_code: str) -> DataFrame:
         F.col("currency_code"),
         token_code,
     )
-    first = F.struct("start_time", "ride_id")
-    photo = F.max_by("parking_image_url", F.when(F.col("end_time").isNotNull(), F.struct("end_time", "ride_id")))
+    # computed once per ride below the aggregate, where the expressions compile into the scan
+    shares = rides.select(
+        "vehicle_id",
+        F.col("effective_date").alias("date"),
+        fiat.alias("fiat"),
+        token.alias("token"),
+        "rating",
+        "start_time",
+        "end_time",
+        "ride_id",
+        "owner_id",
+        "currency_code",
+        "parking_image_url",
+    )
+    ended = F.when(F.col("end_time").isNotNull(), F.struct("end_time", "ride_id"))
+    first = F.min_by(F.struct("owner_id", "currency_code"), F.struct("start_time", "ride_id"))
     return (
-        rides.groupBy("vehicle_id", F.col("effective_date").alias("date"))
+        shares.groupBy("vehicle_id", "date")
         .agg(
+            first.alias("_first"),
             F.count(F.lit(1)).alias("rides_count"),
-            F.sum(fiat).cast(TOTAL).alias("fiat_revenue"),
-            F.sum(token).cast(TOTAL).alias("token_revenue"),
+            F.sum("fiat").cast(TOTAL).alias("fiat_revenue"),
+            F.sum("token").cast(TOTAL).alias("token_revenue"),
             *[F.count_if(F.col("rating") == k).alias(f"rating_{k}_count") for k in RATINGS],
+            F.max_by("parking_image_url", ended).alias("_photo"),
             F.count("end_time").alias("_ended"),
-            photo.alias("_photo"),
-            F.min_by(F.struct("owner_id", "currency_code"), first).alias("_first"),
         )
         .select(
             "vehicle_id",
             "date",
-            F.col("_first.owner_id").alias("owner_id"),
-            F.col("_first.currency_code").alias("currency_code"),
+            "_first.owner_id",
+            "_first.currency_code",
             "rides_count",
             "fiat_revenue",
             "token_revenue",

@@ -97,7 +97,7 @@ def search_results(
     no task or row holds a crowded cell as a whole.
     """
     searches = _searches(requests)
-    around = searches.withColumn("cell", F.explode(geo.neighbourhood(F.col("prefix"))))
+    around = geo.with_neighbours(searches, "prefix", "cell")
     placed = _available_by_cell(vehicles, searches)
     cell = ["prefix_length", "cell"]
     search = ["prefix_length", "prefix"]
@@ -111,8 +111,9 @@ def search_results(
             F.greatest(F.lit(1), F.ceil(F.col("vehicles_found") / F.lit(page_size))).cast("bigint"),
         )
     )
+    spread = F.conv(F.left(F.md5(F.col("vehicle_id").cast("string")), F.lit(8)), 16, 10)
     page = F.when(F.col("pages") == 1, F.lit(0).cast("bigint")).otherwise(
-        F.pmod(F.xxhash64("vehicle_id"), F.col("pages"))
+        spread.cast("bigint") % F.col("pages")
     )
     cards = F.transform(
         F.array_sort(F.collect_list(F.struct("vehicle_id", "card"))), lambda c: c["card"]
