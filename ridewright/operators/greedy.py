@@ -15,7 +15,6 @@ are walked ride by ride.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,40 +51,29 @@ def _fold(rides: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _summary(prices: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _summarise(carry, batch):
     """Per bit length: sum of shorter prices, least price of that length plus shorter ones before."""
+    start, shorter, least = carry or (
+        batch.column("start_cents")[0].as_py(), np.zeros(LENGTHS, np.int64), np.full(LENGTHS, NEVER)
+    )
+    prices = batch.column("price_cents").to_numpy()
     lengths = np.searchsorted(np.int64(1) << np.arange(LENGTHS - 1, dtype=np.int64), prices, "right")
-    shorter = np.zeros(LENGTHS, np.int64)
-    least = np.full(LENGTHS, NEVER, np.int64)
-    for c in range(LENGTHS):
-        small = np.where(lengths < c, prices, 0)
-        shorter[c] = small.sum()
-        same = lengths == c
+    for length in range(LENGTHS):
+        small = np.where(lengths < length, prices, 0)
+        same = lengths == length
         if same.any():
-            before = np.cumsum(small) - small
-            least[c] = (prices + before)[same].min()
-    return shorter, least
+            before = shorter[length] + np.cumsum(small) - small
+            least[length] = min(least[length], (prices + before)[same].min())
+        shorter[length] += small.sum()
+    return start, shorter, least
 
 
 def _summaries(blocks: DataFrame) -> DataFrame:
-    def summarise(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ORDER, kind="stable")
-        shorter, least = _summary(pdf["price_cents"].to_numpy())
-        return pd.DataFrame(
-            {
-                "owner_id": [pdf["owner_id"].iloc[0]],
-                "block": [key[1]],
-                "start_cents": [pdf["start_cents"].iloc[0]],
-                "shorter": [shorter.tolist()],
-                "least": [least.tolist()],
-            }
-        )
-
-    owner = blocks.schema["owner_id"].dataType.simpleString()
-    return blocks.groupBy("owner_id", "block").applyInPandas(
-        summarise,
-        f"owner_id {owner}, block int, start_cents bigint, shorter array<bigint>, least array<bigint>",
-    )
+    """A block is a partition already, so its rows are sorted where they are."""
+    keys = ["owner_id", "block"]
+    narrow = blocks.select(*keys, "start_cents", *ORDER).sortWithinPartitions(*keys, *ORDER)
+    adds = {"start_cents": "bigint", "shorter": "array<bigint>", "least": "array<bigint>"}
+    return ordered.stream_summaries(narrow, keys, _summarise, adds)
 
 
 def _walk(state, first, column):

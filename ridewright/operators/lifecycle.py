@@ -11,7 +11,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,25 +110,18 @@ def _replay(events: DataFrame, keys: list[str]) -> DataFrame:
 
 def _block_starts(blocks: DataFrame) -> DataFrame:
     """State at the start of every block, from the composed maps of the blocks before it."""
-    vehicle = blocks.schema["vehicle_id"].dataType.simpleString()
-    maps, states = EVENT_MAPS, STATES
-
-    def compose(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ORDER, kind="stable")
-        whole = np.arange(states)
-        for code in pdf["code"].tolist():
-            whole = np.asarray(maps[code])[whole]
-        return pd.DataFrame(
-            {
-                "vehicle_id": [pdf["vehicle_id"].iloc[0]],
-                "block": [key[1]],
-                "start_state": [pdf["start_state"].iloc[0]],
-                "moves": [whole.tolist()],
-            }
-        )
-
-    composed = blocks.groupBy("vehicle_id", "block").applyInPandas(
-        compose, f"vehicle_id {vehicle}, block int, start_state int, moves array<int>"
+    maps, states = np.array(EVENT_MAPS), STATES
+    keys = ["vehicle_id", "block"]
+
+    def compose(carry, batch):
+        start, moves = carry or (batch.column("start_state")[0].as_py(), np.arange(states))
+        for code in batch.column("code").to_pylist():
+            moves = maps[code][moves]
+        return start, moves
+
+    narrow = blocks.select(*keys, "start_state", "code", *ORDER).sortWithinPartitions(*keys, *ORDER)
+    composed = ordered.stream_summaries(
+        narrow, keys, compose, {"start_state": "int", "moves": "array<int>"}
     )
 
     def advance(state, first, column):

@@ -21,6 +21,13 @@ from ridewright.session import cut_lineage
 MAX_ROWS_PER_KEY = 1_000_000
 BLOCK_ROWS = 250_000
 
+ARROW_TYPES = {
+    "int": pa.int32(),
+    "bigint": pa.int64(),
+    "array<int>": pa.list_(pa.int32()),
+    "array<bigint>": pa.list_(pa.int64()),
+}
+
 
 def split_hot(df: DataFrame, key: str, max_rows: int) -> tuple[DataFrame, DataFrame | None, int]:
     """(rows of ordinary keys, rows of hot keys or None, hot row count).
@@ -89,3 +96,42 @@ def stream_rows(
             )
 
     return df.mapInArrow(run, schema)
+
+
+def stream_summaries(
+    df: DataFrame, keys: Sequence[str], step: Callable, adds: Mapping[str, str]
+) -> DataFrame:
+    """One row per run of equal keys in the sorted rows of each partition.
+
+    ``step(carry, batch)`` takes None or its last result and rows of one key, and returns one value
+    per added column; what it returned last is the key's row. Only one batch is held at a time.
+    """
+    names = list(keys)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    fields = [*[f"`{k}` {kinds[k]}" for k in keys], *[f"`{c}` {t}" for c, t in adds.items()]]
+    columns = [*keys, *adds]
+    added = [ARROW_TYPES[t] for t in adds.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, carry, done, types = None, None, [], []
+        for batch in batches:
+            types = [*[batch.schema.field(n).type for n in names], *added]
+            rows = list(zip(*[batch.column(n).to_pylist() for n in names]))
+            lo = 0
+            while lo < len(rows):
+                hi = lo + 1
+                while hi < len(rows) and rows[hi] == rows[lo]:
+                    hi += 1
+                if rows[lo] != key:
+                    if key is not None:
+                        done.append((*key, *carry))
+                    key, carry = rows[lo], None
+                carry = step(carry, batch.slice(lo, hi - lo))
+                lo = hi
+        if key is not None:
+            done.append((*key, *carry))
+        if done:
+            made = [pa.array(list(values), kind) for values, kind in zip(zip(*done), types)]
+            yield pa.RecordBatch.from_arrays(made, columns)
+
+    return df.mapInArrow(run, ", ".join(fields))
