@@ -15,18 +15,20 @@ def enrich_end_ride(
     vehicles: DataFrame,
     owners: DataFrame,
     rates: DataFrame,
+    key: str = "ride_id",
 ) -> DataFrame:
     """End-ride messages with the open ride, its vehicle, the owner and the conversion rate.
 
-    Messages without an open ride, vehicle or owner are dropped; a currency without a rate
+    ``key`` names the open ride in a message: the ride, or the rider. Messages without an open ride, vehicle or owner are dropped; a currency without a rate
     converts at 1.
     """
+    wanted = ["ride_id", "rider_id", "vehicle_id", "start_time", "start_geohash", "distance"]
     with_ride = lookup(
         ended,
         active,
-        ["ride_id"],
-        take=["rider_id", "vehicle_id", "start_time"],
-        first_by=["start_time", "rider_id", "vehicle_id"],
+        [key],
+        take=[c for c in wanted if c in active.columns and c != key],
+        first_by=["start_time", "ride_id" if key == "rider_id" else "rider_id", "vehicle_id"],
     )
     with_vehicle = lookup(
         with_ride,

@@ -113,6 +113,24 @@ def reward_messages(settled: DataFrame) -> DataFrame:
     )
 
 
+def token_payment_messages(settled: DataFrame) -> DataFrame:
+    """Transfers the token settlement has to make: an owner's covered awards as one, others alone."""
+    owed = rewards_owed(settled).select(
+        F.lit(OWNER_TO_RIDER).alias("transaction_type"),
+        "owner_id",
+        F.col("reward_owed").cast(money.MONEY).alias("amount"),
+    )
+    own = reward_messages(settled).select(
+        "transaction_type", "owner_id", F.col("amount").cast(money.MONEY).alias("amount")
+    )
+    body = messages.to_message(
+        transactionType=F.col("transaction_type"),
+        ownerId=F.col("owner_id").cast("string"),
+        amount=F.col("amount"),
+    )
+    return owed.unionByName(own).select(F.lit("token-payment").alias("topic"), body.alias("value"))
+
+
 def operator_sums(messages_df: DataFrame, ts: str = "ts") -> DataFrame:
     """One transfer per window: everything the operator owes riders."""
     return (

@@ -12,12 +12,8 @@ from ridewright.operators import keyed
 from ridewright.session import cut_lineage
 
 
-def write_dated(df: DataFrame, path: str, partition: str) -> None:
-    """New table, one folder per partition value; rows of a value are spread by AQE, not one task."""
-    df.write.mode("overwrite").partitionBy(partition).parquet(path)
-
-
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None before its first write."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
@@ -35,14 +31,14 @@ def upsert(
     before the overwrite, so a failed write can be repeated from them.
     """
     spark = incoming.sparkSession
-    stored = _stored(spark, path)
-    if stored is None:
+    table = stored(spark, path)
+    if table is None:
         newest = keyed.latest_per_key(incoming, keys, version)
         newest.write.partitionBy(partition).parquet(path)
         return
     touched = incoming.select(partition).distinct()
-    existing = stored.join(touched, partition, "left_semi").select(*incoming.columns)
-    _replace(cut_lineage(keyed.merge_latest(existing, incoming, keys, version)), path, partition)
+    existing = table.join(touched, partition, "left_semi").select(*incoming.columns)
+    replace_partitions(cut_lineage(keyed.merge_latest(existing, incoming, keys, version)), path, partition)
 
 
 def update(
@@ -54,10 +50,10 @@ def update(
     partition: str,
 ) -> None:
     """Partial-column update of stored rows; ``delta`` carries the partition column."""
-    stored = spark.read.parquet(path)
+    table = spark.read.parquet(path)
     touched = delta.select(partition).distinct()
-    existing = stored.join(touched, partition, "left_semi").select(*stored.columns)
-    _replace(cut_lineage(keyed.apply_update(existing, delta, keys, columns)), path, partition)
+    existing = table.join(touched, partition, "left_semi").select(*table.columns)
+    replace_partitions(cut_lineage(keyed.apply_update(existing, delta, keys, columns)), path, partition)
 
 
 def delete(spark: SparkSession, path: str, gone: DataFrame, keys: Sequence[str], partition: str) -> None:
@@ -65,19 +61,20 @@ def delete(spark: SparkSession, path: str, gone: DataFrame, keys: Sequence[str],
 
     A partition that loses its last row keeps one empty file, so the overwrite reaches it.
     """
-    stored = spark.read.parquet(path)
+    table = spark.read.parquet(path)
     touched = gone.select(partition).distinct()
-    existing = stored.join(touched, partition, "left_semi").select(*stored.columns)
+    existing = table.join(touched, partition, "left_semi").select(*table.columns)
     kept = cut_lineage(keyed.delete_keys(existing, gone, keys))
     emptied = touched.join(kept.select(partition).distinct(), partition, "left_anti")
-    _replace(kept, path, partition)
+    replace_partitions(kept, path, partition)
     # partitions are bounded by the calendar, so their names fit the driver
     for row in emptied.collect():
         empty = kept.drop(partition).limit(0).coalesce(1)
         empty.write.mode("overwrite").parquet(f"{path}/{partition}={row[0]}")
 
 
-def _replace(rows: DataFrame, path: str, partition: str) -> None:
+def replace_partitions(rows: DataFrame, path: str, partition: str) -> None:
+    """Overwrite the partitions ``rows`` has and leave all others; ``rows`` must not read them."""
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
