@@ -69,9 +69,8 @@ def _summarise(carry, batch):
 
 
 def _summaries(blocks: DataFrame) -> DataFrame:
-    """A block is a partition already, so its rows are sorted where they are."""
     keys = ["owner_id", "block"]
-    narrow = blocks.select(*keys, "start_cents", *ORDER).sortWithinPartitions(*keys, *ORDER)
+    narrow = ordered.hashed_and_sorted(blocks.select(*keys, "start_cents", *ORDER), keys, ORDER)
     adds = {"start_cents": "bigint", "shorter": "array<bigint>", "least": "array<bigint>"}
     return ordered.stream_summaries(narrow, keys, _summarise, adds)
 

@@ -119,7 +119,9 @@ def _block_starts(blocks: DataFrame) -> DataFrame:
             moves = maps[code][moves]
         return start, moves
 
-    narrow = blocks.select(*keys, "start_state", "code", *ORDER).sortWithinPartitions(*keys, *ORDER)
+    narrow = ordered.hashed_and_sorted(
+        blocks.select(*keys, "start_state", "code", *ORDER), keys, ORDER
+    )
     composed = ordered.stream_summaries(
         narrow, keys, compose, {"start_state": "int", "moves": "array<int>"}
     )

@@ -15,11 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridewright.session import cut_lineage
+from ridewright.session import cut_lineage, scratch_path
 
 # Above this many rows a key is no longer streamed through one task.
 MAX_ROWS_PER_KEY = 1_000_000
 BLOCK_ROWS = 250_000
+# Blocks grow beyond that size rather than past this number; they are streamed, not held.
+MAX_BLOCKS = 20_000
 
 ARROW_TYPES = {
     "int": pa.int32(),
@@ -51,13 +53,17 @@ def hashed_and_sorted(df: DataFrame, keys: Sequence[str], order: Sequence[str])
 def cut_into_blocks(
     df: DataFrame, key: str, order: Sequence[str], rows: int, block_rows: int
 ) -> DataFrame:
-    """Range-partition by key and order and number the partitions.
+    """Range-partition by key and order, number the partitions, and write them as a table.
 
-    The result is checkpointed: block numbers must not move when a lost task is run again.
+    Block numbers must not move when a lost task is run again, and reading some blocks should not
+    touch the others: the table is partitioned by block and lives in the shared folder.
     """
-    parts = max(2, ceil(rows / block_rows))
+    spark = df.sparkSession
+    parts = min(MAX_BLOCKS, max(2, ceil(rows / block_rows)))
     cut = df.repartitionByRange(parts, key, *order).withColumn("block", F.spark_partition_id())
-    return cut_lineage(cut)
+    path = scratch_path(spark, "blocks")
+    cut.write.partitionBy("block").parquet(path)
+    return spark.read.schema(cut.schema).parquet(path)
 
 
 def stream_rows(

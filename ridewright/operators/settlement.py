@@ -10,6 +10,7 @@ from ridewright.operators import greedy, keyed
 from ridewright.operators.lookup import lookup
 from ridewright.operators.routing import (
     OPERATOR_TO_RIDER,
+    OWNER_INVOLVED,
     OWNER_TO_RIDER,
     RIDER_TO_OWNER,
     operator_transfers,
@@ -170,8 +171,34 @@ def owner_netting(messages_df: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def settlement_batch(messages_df: DataFrame, ts: str = "ts") -> DataFrame:
-    """All transfers of all windows."""
-    return operator_sums(messages_df, ts).unionByName(owner_netting(messages_df, ts))
+    """All transfers of all windows: the operator's sum and the owners' nets.
+
+    The same rows as both branches put together, from one aggregation. On a stream it also keeps
+    one watermark for all kinds, so a kind without messages holds nothing back.
+    """
+    kind = F.col("transaction_type")
+    signed = F.when(kind == RIDER_TO_OWNER, -F.col("amount")).otherwise(F.col("amount"))
+    by_operator = kind == OPERATOR_TO_RIDER
+    return (
+        messages_df.where(kind.isin(OPERATOR_TO_RIDER, *OWNER_INVOLVED))
+        .groupBy(
+            F.window(ts, SETTLEMENT_WINDOW).alias("w"),
+            by_operator.alias("by_operator"),
+            F.when(~by_operator, F.col("owner_id")).alias("owner_id"),
+        )
+        .agg(F.sum(signed).cast("decimal(28,2)").alias("net"))
+        .where(F.col("by_operator") | (F.col("net") != 0))
+        .select(
+            F.col("w.start").alias("window_start"),
+            F.col("w.end").alias("window_end"),
+            F.when(F.col("by_operator"), F.lit(OPERATOR_TO_RIDER))
+            .when(F.col("net") > 0, F.lit(OWNER_TO_RIDER))
+            .otherwise(F.lit(RIDER_TO_OWNER))
+            .alias("transaction_type"),
+            "owner_id",
+            F.when(F.col("by_operator"), F.col("net")).otherwise(F.abs("net")).alias("amount"),
+        )
+    )
 
 
 def with_wallets(transfers: DataFrame, owners: DataFrame, operator: str, rider: str) -> DataFrame:
