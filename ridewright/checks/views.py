@@ -95,9 +95,12 @@ class Views:
 
     def __init__(self, spark: SparkSession, folder: str):
         self._spark, self._folder = spark, folder
+        self._read: dict[str, DataFrame] = {}
 
     def given(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self._read[name]
 
     def sql(self, text: str, **frames: DataFrame) -> DataFrame:
         for word, own in _SPARK_WORDS.items():

@@ -1,7 +1,8 @@
 """Geohash cells as native column expressions.
 
 A point becomes two 30-bit cell indexes; interleaving their bits gives the 60-bit hash whose
-base-32 digits are the 12-character geohash. Everything stays inside the JVM expression tree.
+base-32 digits are the 12-character geohash. Expressions refer to costly parts once or leave them
+free of conditions, so that generated code evaluates each part once per row.
 """
 
 from __future__ import annotations
@@ -17,25 +18,21 @@ FULL_LENGTH = 12
 AXIS_BITS = 30
 EVEN_BITS = 0x5555555555555555
 
+# Six bits moved to the even bit positions: binary digits read as base 4.
+_SPREAD_SIX = [int(f"{n:b}", 4) for n in range(64)]
+
 
 def _cell_index(value: Column, low: float, span: float) -> Column:
-    """Index of the cell holding ``value`` among 2^30 equal cells.
+    """Index of the cell holding ``value`` among 2^30 equal cells; the upper end is in the last.
 
-    Cell borders are exact in binary, so the floating-point guess is corrected against them.
+    Cell borders are exact in binary while the quotient is rounded, so a guess one cell too high
+    is taken back. No conditions: nulls pass through.
     """
     cells = float(1 << AXIS_BITS)
-    top = (1 << AXIS_BITS) - 1
-    guess = F.floor((value - F.lit(low)) * F.lit(cells / span)).cast("bigint")
-
-    def border(index: Column) -> Column:
-        return index.cast("double") * F.lit(span / cells) + F.lit(low)
-
-    fixed = (
-        F.when(value < border(guess), guess - 1)
-        .when(value >= border(guess + 1), guess + 1)
-        .otherwise(guess)
-    )
-    return F.greatest(F.lit(0), F.least(F.lit(top), fixed)).cast("bigint")
+    guess = F.floor(value * F.lit(cells) / F.lit(span)).cast("bigint") - F.lit(int(low * cells / span))
+    border = guess.cast("double") * F.lit(span / cells) + F.lit(low)
+    index = guess - (value < border).cast("bigint")
+    return index - F.shiftright(index, AXIS_BITS)
 
 
 def lon_index(lon: Column) -> Column:
@@ -46,20 +43,21 @@ def lat_index(lat: Column) -> Column:
     return _cell_index(lat, -90.0, 180.0)
 
 
-def _reread(number: Column, write_base: int, read_base: int) -> Column:
-    """Digits of a number in one base, read as a number in another."""
-    digits = F.conv(number.cast("string"), 10, write_base)
-    return F.conv(digits, read_base, 10).cast("bigint")
-
-
 def _spread(index: Column) -> Column:
-    """The bits of ``index`` at the even bit positions: binary digits read as base 4."""
-    return _reread(index, 2, 4)
+    """The bits of ``index`` at the even bit positions."""
+    table = F.array(*[F.lit(v).cast("bigint") for v in _SPREAD_SIX])
+    out = None
+    for low in range(0, AXIS_BITS, 6):
+        six = F.get(table, F.shiftright(index, low).bitwiseAND(F.lit(63)).cast("int"))
+        part = F.shiftleft(six, 2 * low)
+        out = part if out is None else out.bitwiseOR(part)
+    return out
 
 
 def _squeeze(bits: Column) -> Column:
-    """Every second bit of ``bits``, packed; the inverse of :func:`_spread`."""
-    return _reread(bits.bitwiseAND(F.lit(EVEN_BITS).cast("bigint")), 4, 2)
+    """Every second bit of ``bits``, packed: base-4 digits read as binary ones."""
+    digits = F.conv(bits.bitwiseAND(F.lit(EVEN_BITS).cast("bigint")).cast("string"), 10, 4)
+    return F.conv(digits, 2, 10).cast("bigint")
 
 
 def _hash_text(lon_idx: Column, lat_idx: Column) -> Column:
@@ -70,9 +68,7 @@ def _hash_text(lon_idx: Column, lat_idx: Column) -> Column:
 
 def geohash(lat: Column, lon: Column) -> Column:
     """The 12-character geohash of a point; null when either coordinate is null."""
-    return F.when(
-        lat.isNotNull() & lon.isNotNull(), _hash_text(lon_index(lon), lat_index(lat))
-    )
+    return _hash_text(lon_index(lon), lat_index(lat))
 
 
 def prefix(cell: Column, length: Column | int) -> Column:
@@ -84,11 +80,15 @@ def prefix_columns(cell: Column, upto: int = 10) -> list[Column]:
     return [prefix(cell, k).alias(f"geo_hash_{k}") for k in range(1, upto + 1)]
 
 
-def _corner(cell: Column) -> tuple[Column, Column]:
-    """30-bit (lon, lat) indexes of the south-west corner of a cell."""
-    full = F.rpad(cell, FULL_LENGTH, "0")
+def _packed(cell: Column) -> Column:
+    """60-bit hash of the south-west corner of a cell."""
+    full = F.rpad(cell, FULL_LENGTH, GEOHASH_DIGITS[0])
     digits = F.translate(full, GEOHASH_DIGITS[10:], BASE32_DIGITS[10:])
-    packed = F.conv(digits, 32, 10).cast("bigint")
+    return F.conv(digits, 32, 10).cast("bigint")
+
+
+def _corner(packed: Column) -> tuple[Column, Column]:
+    """30-bit (lon, lat) indexes of a 60-bit hash."""
     return _squeeze(F.shiftright(packed, 1)), _squeeze(packed)
 
 
@@ -107,7 +107,7 @@ def _shift_right(value: Column, by: Column) -> Column:
 
 def cell_centre(cell: Column) -> tuple[Column, Column]:
     """(lat, lon) of the middle of a cell."""
-    lon_idx, lat_idx = _corner(cell)
+    lon_idx, lat_idx = _corner(_packed(cell))
     lon_bits, lat_bits = _axis_bits(cell)
     one = F.lit(1).cast("bigint")
     lon_half = _shift_left(one, F.lit(AXIS_BITS) - lon_bits).cast("double") / 2
@@ -124,13 +124,13 @@ def with_neighbours(df: DataFrame, cell: str, out: str) -> DataFrame:
     Cells keep the length of ``cell``. Longitude wraps at the date line; cells beyond a pole do not
     exist. The offsets are exploded first, so each row spells one geohash.
     """
-    lon_idx, lat_idx = _corner(F.col(cell))
+    lon_idx, lat_idx = _corner(F.col("_packed"))
     lon_bits, lat_bits = _axis_bits(F.col(cell))
     one = F.lit(1).cast("bigint")
     offsets = F.array(
         *[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for y in (-1, 0, 1) for x in (-1, 0, 1)]
     )
-    placed = df.withColumns(
+    placed = df.withColumn("_packed", _packed(F.col(cell))).withColumns(
         {
             "_lon": _shift_right(lon_idx, F.lit(AXIS_BITS) - lon_bits),
             "_lat": _shift_right(lat_idx, F.lit(AXIS_BITS) - lat_bits),
@@ -144,5 +144,5 @@ def with_neighbours(df: DataFrame, cell: str, out: str) -> DataFrame:
     return (
         placed.where((row >= 0) & (row < _shift_left(one, lat_bits)))
         .withColumn(out, F.left(text, F.length(F.col(cell))))
-        .drop("_lon", "_lat", "_by")
+        .drop("_packed", "_lon", "_lat", "_by")
     )

@@ -148,7 +148,7 @@ def settle(
         "start_cents", money.to_cents(start)
     )
     work = work.dropna(subset=["owner_id", "price_cents", "start_cents"])
-    plain, hot, hot_rows = ordered.split_hot(work, "owner_id", max_rows)
+    plain, hot, hot_rows = ordered.split_hot(work, "owner_id", max_rows, counted=rides)
     settled = _fold(plain, ["owner_id"])
     if hot is None:
         return settled

@@ -31,13 +31,16 @@ ARROW_TYPES = {
 }
 
 
-def split_hot(df: DataFrame, key: str, max_rows: int) -> tuple[DataFrame, DataFrame | None, int]:
+def split_hot(
+    df: DataFrame, key: str, max_rows: int, counted: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None, int]:
     """(rows of ordinary keys, rows of hot keys or None, hot row count).
 
-    Runs one pre-aggregated count over the key column. There are at most ``rows / max_rows`` hot
+    Runs one pre-aggregated count over the key column, of ``counted`` if given: a frame with at
+    least the rows of ``df`` that is cheaper to count. There are at most ``rows / max_rows`` hot
     keys; their list is a frame, never a driver-side list.
     """
-    hot = df.groupBy(key).count().where(F.col("count") > max_rows)
+    hot = (df if counted is None else counted).groupBy(key).count().where(F.col("count") > max_rows)
     hot_rows = hot.agg(F.sum("count")).first()[0]
     if not hot_rows:
         return df, None, 0

@@ -35,6 +35,12 @@ def test_encode(spark):
     assert bisected(57.64911, 10.40744).startswith("u4pruydqqvj")
 
 
+def test_missing_coordinates(spark):
+    df = spark.createDataFrame([(None, 1.0), (1.0, None), (None, None), (1.0, 1.0)], "lat double, lon double")
+    got = [r.g for r in df.select(geo.geohash(F.col("lat"), F.col("lon")).alias("g")).collect()]
+    assert got == [None, None, None, bisected(1.0, 1.0)]
+
+
 def test_decode_gives_a_point_of_the_cell(spark):
     df = spark.createDataFrame([(bisected(a, b)[:n],) for a, b in points()[:60] for n in (1, 4, 5, 12)], "g string")
     lat, lon = geo.cell_centre(F.col("g"))
