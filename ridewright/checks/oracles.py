@@ -232,6 +232,15 @@ select event_id, vehicle_id, owner_id, device_id, payment_method_id, cast(base_p
 from requests join vehicles on lower(qr_code) = qr join riders using (rider_id)""",
 )
 
+_oracle(
+    "auth_requests",
+    ["vehicles", "riders", "owners"],
+    """, requests as (select event_id, event_type, user_id rider_id, concat('qr', cast(event_id % 300 as varchar)) qr from events)
+select event_id, concat('{"cardTransactionType":"', case event_type when 'error' then 'AUTH_REVERSAL' else 'AUTH_ONLY' end, '","vaultedShopperId":"', payment_method_id,
+ '","currency":"', currency_code, '","amount":', cast(cast(base_price + price_per_minute * 5 as decimal(18,2)) as varchar), '}') request
+from requests join vehicles on lower(qr_code) = qr join riders using (rider_id) join owners using (owner_id)""",
+)
+
 _oracle(
     "token_payment_allowed",
     [*STATS_VIEWS, "riders"],
@@ -575,19 +584,31 @@ select n prefix_length, prefix, case when vehicles_found <= 1000 then 0
 from sized group by 1, 2, 3""",
 )
 
-_oracle(
-    "command_ack",
-    ["iot_updates"],
-    """, commands as (
+# the state at the command's instant, else the first sight of the commanded one in time
+ANSWERED = """commands as (
  select event_id, ts, case when user_id % 11 = 0 then '' else concat('dev-', cast(user_id as varchar)) end device_id, case event_type when 'view' then 'unlocked' else 'locked' end command
  from events where event_type in ('view', 'click')),
 states as (select device_id, ts, max(state) state from iot_updates where state is not null group by all),
 now as (select c.event_id, s.state from commands c asof join states s on c.device_id = s.device_id and c.ts >= s.ts),
 later as (
- select c.event_id, min(s.ts) seen from commands c join states s on c.device_id = s.device_id and s.state = c.command and s.ts between c.ts and c.ts + interval 360 second group by all)
-select event_id, device_id, command, case when device_id = '' or now.state = command then ts else seen end ack_ts,
+ select c.event_id, min(s.ts) seen from commands c join states s on c.device_id = s.device_id and s.state = c.command and s.ts between c.ts and c.ts + interval 360 second group by all),
+answered as (select event_id, ts, device_id, command, case when device_id = '' or now.state = command then ts else seen end ack_ts,
  device_id = '' or coalesce(now.state = command, false) or seen is not null acked
-from commands left join now using (event_id) left join later using (event_id)""",
+from commands left join now using (event_id) left join later using (event_id))"""
+
+_oracle(
+    "command_ack",
+    ["iot_updates"],
+    f", {ANSWERED}\nselect event_id, device_id, command, ack_ts, acked from answered",
+)
+
+_oracle(
+    "command_sends",
+    ["iot_updates"],
+    f""", {ANSWERED}
+select event_id, device_id, command, cast(attempt as int) attempt, ts + interval 1 minute * attempt sent_at
+from answered, range(6) t(attempt)
+where device_id <> '' and (attempt = 0 or ack_ts is null or ts + interval 1 minute * attempt < ack_ts)""",
 )
 
 _oracle(
@@ -627,6 +648,14 @@ from run join steps s using (vehicle_id, event_id)""",
 )
 
 
+_oracle(
+    "plain_status",
+    ["vehicles"],
+    """, last as (select user_id vehicle_id, case event_type when 'view' then 'available' when 'click' then 'onmission' else 'maintenance' end changed
+ from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1)
+select vehicle_id, coalesce(changed, status) status from vehicles left join last using (vehicle_id)""",
+)
+
 # Streams: rows appear as far as the watermark got, the earliest input's latest time less the delay.
 
 _oracle(

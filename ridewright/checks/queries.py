@@ -232,6 +232,26 @@ def auth_amount(v: Views) -> DataFrame:
     )
 
 
+@query
+def auth_requests(v: Views) -> DataFrame:
+    """Authorise on unlock; a ride that could not start is reversed (events of type error)."""
+    requests = v.sql(
+        "select event_id, event_type, user_id rider_id, concat('qr', cast(event_id % 300 as string)) qr_code from {events}"
+    )
+    details = rides.unlock_details(requests, v.vehicles, v.riders, DEFAULT_RIDE_MINUTES)
+    owned = lookup(details, v.owners, ["owner_id"], take=["currency_code"])
+    amount = F.round(F.col("auth_amount"), 2).cast(money.MONEY)
+    parts = (F.col("payment_method_id"), F.col("currency_code"), amount)
+    return owned.select(
+        "event_id",
+        F.when(
+            F.col("event_type") == "error", settlement.authorisation(settlement.AUTH_REVERSAL, *parts)
+        )
+        .otherwise(settlement.authorisation(settlement.AUTH_ONLY, *parts))
+        .alias("request"),
+    )
+
+
 @query
 def token_payment_allowed(v: Views) -> DataFrame:
     return rides.token_payment_allowed(_rated(v), v.riders).select("ride_id", "token_allowed")
@@ -632,6 +652,12 @@ def command_ack(v: Views) -> DataFrame:
     )
 
 
+@query
+def command_sends(v: Views) -> DataFrame:
+    answered = intervals.acknowledged(v.sql(COMMANDS), v.iot_updates)
+    return intervals.sends(answered).select("event_id", "device_id", "command", "attempt", "sent_at")
+
+
 @query
 def payment_choice(v: Views) -> DataFrame:
     ended = v.rides.where(F.col("end_time").isNotNull()).select("ride_id", "end_time")
@@ -657,6 +683,17 @@ def vehicle_lifecycle(v: Views) -> DataFrame:
     return lifecycle.replay(v.sql(LIFECYCLE_EVENTS), v.vehicles.select("vehicle_id", "status"))
 
 
+@query
+def plain_status(v: Views) -> DataFrame:
+    changes = v.sql(
+        """
+        select user_id vehicle_id, event_id, ts, case event_type when 'view' then 'available' when 'click' then 'onmission' else 'maintenance' end status
+        from {events}
+        """
+    )
+    return lifecycle.plain_status(v.vehicles.select("vehicle_id", "status"), changes)
+
+
 # -- streams ----------------------------------------------------------------------------------
 # The given events arrive as a file stream; rows that need the watermark to pass appear as far as
 # it has passed at the end of the files.

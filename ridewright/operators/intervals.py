@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 ACK_LIMIT_SECONDS = 360
 CHOICE_LIMIT_SECONDS = 400
 
+# A command is sent up to six times, a minute apart.
+SENDS = 6
+RESEND_SECONDS = 60
+
 # The states a device can be commanded into.
 COMMANDS = ["locked", "unlocked"]
 
@@ -97,6 +101,20 @@ def acknowledged(
     )
 
 
+def sends(answered: DataFrame) -> DataFrame:
+    """Every time a command goes out: at once, then each minute until it is acknowledged.
+
+    ``answered`` is the result of :func:`acknowledged`. Commands without a device are not sent.
+    """
+    tries = answered.where(F.col("device_id") != "").withColumn(
+        "attempt", F.explode(F.sequence(F.lit(0), F.lit(SENDS - 1)))
+    )
+    at = F.col("ts") + F.make_dt_interval(secs=F.col("attempt") * RESEND_SECONDS)
+    return tries.withColumn("sent_at", at).where(
+        (F.col("attempt") == 0) | F.col("ack_ts").isNull() | (F.col("sent_at") < F.col("ack_ts"))
+    )
+
+
 def payment_choices(
     rides: DataFrame, choices: DataFrame, limit: int = CHOICE_LIMIT_SECONDS
 ) -> DataFrame:

@@ -28,6 +28,12 @@ def test_query(spark, duck, name):
     assert good, note
 
 
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.endswith("_stream")])
+def test_no_query_pairs_all_rows(spark, name):
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_rows_of_flagship(spark):
     import __spark_entry__ as entry
 
