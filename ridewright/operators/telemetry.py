@@ -73,14 +73,15 @@ def _searches(requests: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _available_by_cell(vehicles: DataFrame, searches: DataFrame) -> DataFrame:
+def _available_by_cell(vehicles: DataFrame, requests: DataFrame) -> DataFrame:
     """Available vehicles once per searched prefix length, with the cell at that length."""
     # at most twelve lengths exist, so the list is small whatever the requests
-    lengths = [r[0] for r in searches.select("prefix_length").distinct().collect()]
+    wanted = F.col("prefix_length").between(1, geo.FULL_LENGTH)
+    lengths = [r[0] for r in requests.select("prefix_length").where(wanted).distinct().collect()]
     return (
         vehicles.where((F.col("status") == "available") & F.col("geo_hash").isNotNull())
         .select("vehicle_id", "geo_hash", search_card().alias("card"))
-        .withColumn("prefix_length", F.explode(F.array(*[F.lit(n) for n in sorted(lengths)])))
+        .withColumn("prefix_length", F.explode(F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>")))
         .withColumn("cell", geo.prefix(F.col("geo_hash"), F.col("prefix_length")))
     )
 
@@ -98,7 +99,7 @@ def search_results(
     """
     searches = _searches(requests)
     around = geo.with_neighbours(searches, "prefix", "cell")
-    placed = _available_by_cell(vehicles, searches)
+    placed = _available_by_cell(vehicles, requests)
     cell = ["prefix_length", "cell"]
     search = ["prefix_length", "prefix"]
     per_cell = placed.groupBy(*cell).count()
