@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridewright.llm import decontamination
-from ridewright.llm.common import table
+from ridewright.llm import decontamination, quality, toxicity
+from ridewright.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -18,6 +18,30 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+def judged(scored: DataFrame, modulus: int, held: int) -> DataFrame:
+    """doc_id, held_out, score and predicted of a two-class score."""
+    return scored.withColumnRenamed("id", "doc_id").select(
+        "doc_id",
+        (remainder("doc_id", modulus) == held).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op2_quality_discriminant(spark: SparkSession, folder: str) -> DataFrame:
+    stats = quality.document_statistics(table(spark, folder, "documents"))
+    model = quality.fit(stats, table(spark, folder, "labels"), train=remainder("doc_id", 3) != 1)
+    return judged(quality.score_statistics(stats, model), 3, 1)
+
+
+@query
+def op5_toxicity_deobfuscation(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"), train=remainder("doc_id", 5) != 0)
+    return judged(toxicity.score(docs, model), 5, 0)
+
+
 @query
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
