@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridewright.llm import decontamination, quality, toxicity
+from ridewright.llm import decontamination, near_duplicates, quality, toxicity
 from ridewright.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,12 @@ def op5_toxicity_deobfuscation(spark: SparkSession, folder: str) -> DataFrame:
     return judged(toxicity.score(docs, model), 5, 0)
 
 
+@query
+def op7_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates.classes(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "n_links")
+
+
 @query
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
