@@ -27,6 +27,49 @@ select doc_id, cast(len(ws) as bigint) n_words, coalesce(n_hit, 0) n_hit, coales
 from w left join covered using (r) left join items using (r)
 """
 
+
+
+def _mixing(sweeps: int = 12) -> str:
+    steps, last = [], "goals"
+    for sweep in range(sweeps):
+        for d in ("source", "lang", "topic"):
+            name = f"s{sweep}_{d}"
+            steps.append(
+                f"{name} as materialized (select * replace (case when sum(weight) over (partition by {d}) > 0 "
+                f"then weight * goal_{d} / sum(weight) over (partition by {d}) else 0 end as weight) from {last})"
+            )
+            last = name
+    margin = lambda d, t: f"pow(sum(tokens) over (partition by {d}), {t})"
+    return rf"""
+with recursive d as (
+  select doc_id, source, lang,
+    case when contains(text, ' | ') then 'table' when contains(lower(text), 'licen') then 'notice'
+      when length(text) >= 4000 then 'long prose' when length(text) >= 800 then 'prose' else 'short' end topic,
+    cast(coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0) as bigint) n_tokens
+  from documents),
+cells as materialized (
+  select source, lang, topic, cast(sum(n_tokens) as double) tokens from d group by all having sum(n_tokens) > 0),
+raised as materialized (
+  select *, {margin("source", 0.5)} rs, {margin("lang", 0.7)} rl, {margin("topic", 0.7)} rt,
+    count(*) over (partition by source) cs, count(*) over (partition by lang) cl,
+    count(*) over (partition by topic) ct, sum(tokens) over () total from cells),
+goals as materialized (
+  select source, lang, topic, tokens, tokens weight, rs / sum(rs / cs) over () * total goal_source,
+    rl / sum(rl / cl) over () * total goal_lang, rt / sum(rt / ct) over () * total goal_topic from raised),
+{", ".join(steps)},
+chances as (select *, weight / tokens / max(weight / tokens) over () chance from {last}),
+drawn as (
+  select d.*, case when n_tokens > 0 then coalesce(chance, 0) else 0 end probability
+  from d left join chances c on d.source is not distinct from c.source and d.lang is not distinct from c.lang
+    and d.topic is not distinct from c.topic)
+select doc_id, source, lang, topic, n_tokens, round(probability, 6) probability,
+  cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || '/mix-1'), 1, 12) as bigint) / 281474976710656.0
+    < probability kept
+from drawn
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op6_target_mixing": _mixing(),
     "op8_benchmark_decontamination": DECONTAMINATION,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridewright.llm import decontamination, near_duplicates, quality, toxicity
+from ridewright.llm import decontamination, mixing, near_duplicates, quality, toxicity
 from ridewright.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,14 @@ def op5_toxicity_deobfuscation(spark: SparkSession, folder: str) -> DataFrame:
     return judged(toxicity.score(docs, model), 5, 0)
 
 
+@query
+def op6_target_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents").drop("n_chars"))
+    return mixed.select(
+        "doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "kept"
+    )
+
+
 @query
 def op7_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates.classes(table(spark, folder, "documents"))
