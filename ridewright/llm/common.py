@@ -53,6 +53,14 @@ def raw_texts(column: pa.Array) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
-def map_batches(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
-    prepare(df.sparkSession)
+def map_batches(
+    df: DataFrame,
+    step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: T.StructType,
+    rows: int = BATCH_ROWS,
+) -> DataFrame:
+    """mapInArrow over batches of at most ``rows`` rows; the limit is a setting read when the plan is made."""
+    spark = df.sparkSession
+    prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     return df.mapInArrow(step, schema)

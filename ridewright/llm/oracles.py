@@ -28,6 +28,23 @@ from w left join covered using (r) left join items using (r)
 """
 
 
+# Base32 reads the 40 hex digits in eight groups of five, each four letters of five bits.
+WARC = """
+with p as (
+  select page_id, strlen(coalesce(html, '')) payload_bytes, sha1(coalesce(html, '')) h from pages),
+d as (
+  select page_id, payload_bytes, array_to_string(list_transform(generate_series(0, 31), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      cast(1 + ((cast('0x' || substr(h, cast(5 * (i // 4) + 1 as bigint), 5) as bigint) >> cast(15 - 5 * (i % 4) as int)) & 31) as bigint),
+      1)), '') payload_digest
+  from p),
+m as (select *, max(page_id) over (partition by payload_digest, payload_bytes) head from d)
+select page_id, payload_bytes, payload_digest,
+  case when page_id = head then 'response' else 'revisit' end record_type,
+  case when page_id = head then null else head end refers_to
+from m
+"""
+
 
 def _mixing(sweeps: int = 12) -> str:
     steps, last = [], "goals"
@@ -45,7 +62,8 @@ with recursive d as (
   select doc_id, source, lang,
     case when contains(text, ' | ') then 'table' when contains(lower(text), 'licen') then 'notice'
       when length(text) >= 4000 then 'long prose' when length(text) >= 800 then 'prose' else 'short' end topic,
-    cast(coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0) as bigint) n_tokens
+    cast(coalesce(len(regexp_extract_all(text, '[^ 	-
+]+')), 0) as bigint) n_tokens
   from documents),
 cells as materialized (
   select source, lang, topic, cast(sum(n_tokens) as double) tokens from d group by all having sum(n_tokens) > 0),
@@ -71,5 +89,6 @@ from drawn
 
 ORACLES: dict[str, str] = {
     "op6_target_mixing": _mixing(),
+    "op9_warc_normaliser": WARC,
     "op8_benchmark_decontamination": DECONTAMINATION,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridewright.llm import decontamination, mixing, near_duplicates, quality, toxicity
+from ridewright.llm import decontamination, mixing, near_duplicates, quality, toxicity, warc
 from ridewright.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,11 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op9_warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
+    members, index = warc.archive(table(spark, folder, "pages"))
+    return warc.read_back(index, members, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )

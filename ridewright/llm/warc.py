@@ -9,13 +9,15 @@ Records are then read back by offset from the normalised archives alone.
 from __future__ import annotations
 
 import zlib
+from base64 import b32encode
 from collections.abc import Iterator
+from hashlib import sha1
 from urllib.parse import urlparse
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +27,6 @@ from ridewright.session import scratch_path
 RECORDS_PER_ARCHIVE = 2_000
 LEVEL = 3
 CHUNK = 1 << 20
-READ_GAP = 8 << 20
 DATE = "2024-01-01T00:00:00Z"
 # The record types and headers of the archive format.
 VERSION, REVISIT_PROFILE = "WARC/1.1", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -197,11 +198,105 @@ def _rewrite(target: str):
     return step
 
 
-def normalise(df_spark, source: str, target: str, index: str) -> DataFrame:
+def normalise(spark: SparkSession, source: str, target: str, index: str) -> DataFrame:
     """Rewrite all archives of ``source`` below ``target``; the sidecar index is a table at ``index``."""
     system, root = _place(target)
     system.create_dir(root, recursive=True)
-    files = df_spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path", "content")
-    df_spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
-    files.mapInArrow(_rewrite(target), INDEX).write.parquet(index)
-    return df_spark.read.schema(INDEX).parquet(index)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path", "content")
+    map_batches(files, _rewrite(target), INDEX, rows=1).write.parquet(index)
+    return spark.read.schema(INDEX).parquet(index)
+
+
+RECORD = T.StructType(
+    [
+        T.StructField("page_id", T.LongType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("record_type", T.StringType()),
+        T.StructField("payload_bytes", T.LongType()),
+        T.StructField("payload_digest", T.StringType()),
+        T.StructField("refers_to", T.LongType()),
+        T.StructField("payload", T.BinaryType()),
+    ]
+)
+
+
+def _fetch(folder: str, with_payload: bool):
+    """Read the records that index rows point at, each by its own seek; checks payload and digest."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = _place(folder)
+        name, source = None, None
+        for batch in batches:
+            rows = []
+            columns = (batch.column(c).to_pylist() for c in ("archive", "offset", "length"))
+            for archive, offset, length in zip(*columns, strict=True):
+                if archive != name:
+                    if source is not None:
+                        source.close()
+                    name, source = archive, system.open_input_file(f"{root}/{archive}")
+                rows.append(_parse(zlib.decompress(source.read_at(length, offset), 31), with_payload))
+            yield pa.RecordBatch.from_pylist(rows, schema=ARROW_RECORD)
+        if source is not None:
+            source.close()
+
+    return step
+
+
+ARROW_RECORD = pa.schema(
+    [
+        ("page_id", pa.int64()),
+        ("url", pa.string()),
+        ("record_type", pa.string()),
+        ("payload_bytes", pa.int64()),
+        ("payload_digest", pa.string()),
+        ("refers_to", pa.int64()),
+        ("payload", pa.binary()),
+    ]
+)
+
+
+def _parse(record: bytes, with_payload: bool) -> dict:
+    end = record.find(b"\r\n\r\n")
+    fields = header(record[:end])
+    number = lambda key: int(fields[key]) if key in fields else None
+    kind, body = fields[b"warc-type"].decode(), record[end + 4 : end + 4 + int(fields[b"content-length"])]
+    size, digest = number(b"x-payload-length"), fields[b"warc-payload-digest"].decode().removeprefix("sha1:")
+    if kind == "response":
+        size, found = len(body), b32encode(sha1(body).digest()).decode()
+        if found != digest:
+            raise ValueError(f"payload of record {fields[b'warc-record-id']!r} does not match its digest")
+    return {
+        "page_id": number(b"x-page-id"),
+        "url": fields[b"warc-target-uri"].decode(),
+        "record_type": kind,
+        "payload_bytes": size,
+        "payload_digest": digest,
+        "refers_to": number(b"x-refers-to-page-id"),
+        "payload": body if with_payload and kind == "response" else None,
+    }
+
+
+def read_back(index: DataFrame, folder: str, *, with_payload: bool = True) -> DataFrame:
+    """The records that rows of a sidecar index name, in any selection of them."""
+    return map_batches(index.select("archive", "offset", "length"), _fetch(folder, with_payload), RECORD)
+
+
+def archive(
+    pages: DataFrame,
+    *,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    payload_col: str = "html",
+    min_bytes: int = 0,
+    folder: str | None = None,
+) -> tuple[str, DataFrame]:
+    """Write pages as whole-file gzip archives, normalise them; (normalised folder, sidecar index).
+
+    See :func:`records` for equal payloads, nulls and repeated rows. Ids are whole numbers; other columns
+    of ``pages`` are not archived. An empty table gives no archives and an empty index.
+    """
+    spark = pages.sparkSession
+    folder = folder or scratch_path(spark, "warc")
+    raw, members, index = f"{folder}/raw", f"{folder}/members", f"{folder}/index"
+    write_monolithic(records(pages, id_col=id_col, url_col=url_col, payload_col=payload_col, min_bytes=min_bytes), raw)
+    return members, normalise(spark, raw, members, index)
