@@ -53,7 +53,7 @@ def op6_target_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates.classes(table(spark, folder, "documents"))
-    return found.select(F.col("id").alias("doc_id"), "class_id", "n_links")
+    return found.select(F.col("id").alias("doc_id"), "class_id")
 
 
 @query
