@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridewright.llm import decontamination, mixing, near_duplicates, quality, toxicity, warc
+from ridewright.llm import decontamination, fingerprints, language, mixing, near_duplicates, quality, toxicity, warc
 from ridewright.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,14 @@ def op2_quality_discriminant(spark: SparkSession, folder: str) -> DataFrame:
     return judged(quality.score_statistics(stats, model), 3, 1)
 
 
+@query
+def op4_language_spans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs, train=remainder("doc_id", 4) != 2)
+    found = language.identify(docs, model, with_spans=False).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op5_toxicity_deobfuscation(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -77,3 +85,10 @@ def op9_warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_back(index, members, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query
+def op10_imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    terms = fingerprints.lexicon(docs)
+    return fingerprints.compare_with_next(docs, terms).withColumnRenamed("id", "doc_id")
