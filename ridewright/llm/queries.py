@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridewright.llm import decontamination, fingerprints, language, mixing, near_duplicates, quality, toxicity, warc
+from ridewright.llm import decontamination, extraction, fingerprints, language, mixing, near_duplicates, quality, toxicity, warc
 from ridewright.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def op2_quality_discriminant(spark: SparkSession, folder: str) -> DataFrame:
     return judged(quality.score_statistics(stats, model), 3, 1)
 
 
+@query
+def op3_mincut_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op4_language_spans(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
