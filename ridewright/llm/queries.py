@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridewright.llm import decontamination, extraction, fingerprints, language, mixing, near_duplicates, quality, toxicity, warc
+from ridewright.llm import context_tree, decontamination, extraction, fingerprints, language, mixing, near_duplicates, quality, toxicity, warc
 from ridewright.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,15 @@ def judged(scored: DataFrame, modulus: int, held: int) -> DataFrame:
     )
 
 
+@query
+def op1_context_tree_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = context_tree.fit(docs, train=remainder("doc_id", 7) != 2)
+    scored = context_tree.score(docs, model).withColumnRenamed("id", "doc_id")
+    columns = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+    return scored.select("doc_id", (remainder("doc_id", 7) == 2).alias("held_out"), *columns)
+
+
 @query
 def op2_quality_discriminant(spark: SparkSession, folder: str) -> DataFrame:
     stats = quality.document_statistics(table(spark, folder, "documents"))
