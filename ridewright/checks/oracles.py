@@ -91,14 +91,16 @@ positions as (
  select o.*, cast(l.delta_cents as bigint) delta_cents, cast(coalesce(o.token_balance_base, 0) + cast(l.delta_cents as decimal(28,0)) * 0.01 as decimal(22,2)) as position
  from owners o join (select owner_id, sum(cast(amount * 100 as bigint)) delta_cents from ledger group by all) l using (owner_id))"""
 
+# rate and currency are stored on the ride and differ from today's
 PAYABLE = """payable as (
- select * from rides where end_time >= timestamp '2024-01-15' and end_time <= timestamp '2024-03-15'
+ select *, case k % 2 when 0 then 'USD' else 'ILS' end ride_currency,
+  case when k % 13 > 0 then cast(0.2 + (k % 7) * 0.15 as decimal(11,6)) end ride_rate from rides where end_time >= timestamp '2024-01-15' and end_time <= timestamp '2024-03-15'
   and capture_transaction_id is null and paid_with_token is not null)"""
 
-# the fold, a ride per recursion step
+# the fold over the rides not paid with tokens, a ride per recursion step
 FOLD = f"""due0 as (
- select p.*, q.currency_code, q.commission_factor, q.vendor_id, q.position, cast(coalesce(x.rate, 1) as decimal(11,6)) rate
- from payable p join positions q using (owner_id) left join rates x using (currency_code)),
+ select p.*, p.ride_currency currency_code, q.commission_factor, q.vendor_id, q.position, cast(coalesce(p.ride_rate, 1) as decimal(11,6)) rate
+ from payable p join positions q using (owner_id) where not paid_with_token),
 due as (
  select *, {_scaled(_token_price("price", "rate"), 2)} price_cents,
   row_number() over (partition by owner_id order by end_time, ride_id, price) turn from due0),
@@ -292,23 +294,26 @@ qualify row_number() over (partition by rider_id order by start_time desc, ride_
 )
 
 
-def _significant(value: str) -> str:
-    """Two significant digits by trying each magnitude."""
-    cents = f"cast({value} * 100 as bigint)"
-    arms = " ".join(
-        f"when {cents} < {10 ** (n + 2)} then (({cents} + {10**n // 2}) // {10**n}) * {10**n}" for n in range(1, 15)
-    )
-    return f"cast(cast(case when {cents} < 100 then {cents} {arms} end as decimal(18,0)) * 0.01 as decimal(18,2))"
+def _significant(value: str, scale: int) -> str:
+    """Two significant digits as plain text, by trying each magnitude; 99.5 and more of one is the next."""
+    units = f"cast({value} * {10**scale} as bigint)"
+    arms = []
+    for n in range(1, 15):
+        number = f"cast(({units} + {10**n // 2}) // {10**n} * {10**n} as decimal(18,0)) * cast({10.0**-scale:.{scale}f} as decimal(4,{scale}))"
+        places = max(scale - n, 0)
+        arms.append(f"when {units} < {10 ** (n + 2) - 10**n // 2} then cast(cast({number} as decimal(24,{places})) as varchar)")
+    whole = f"cast(cast({value} as decimal(24,{scale})) as varchar)"
+    return f"case when {units} < 100 then {whole} {' '.join(arms)} end"
 
 
 _oracle(
     "invoice_rows",
     ["owners", "riders", "rides"],
     f""", paid as (select *, (epoch_ms(end_time) - epoch_ms(start_time)) // 1000 secs from rides where end_time is not null and paid_with_token is not null)
-select ride_id, 'Ride with ' || company_name title, strftime(start_time, '%d/%m/%y, %H:%M') started,
- cast(secs // 60 as varchar) || ':' || cast(secs % 60 as varchar) || ' mins' duration, {_significant("cast(distance as decimal(18,2))")} distance,
- case when paid_with_token then '- ' else '' end || cast({_significant("price")} as varchar) || ' ' || currency_code total,
- strftime(start_time, '%y-%m-%d_%H-%M') || '_' || cast(rider_id as varchar) || '.pdf' object_name,
+select ride_id, 'Ride with ' || company_name title, strftime(end_time, '%d/%m/%y, %H:%M') printed,
+ cast(secs // 60 as varchar) || ':' || cast(secs % 60 as varchar) || ' mins' duration, {_significant("distance", 3)} distance,
+ case when paid_with_token then '- ' else '' end || {_significant("price", 2)} || ' ' || currency_code total,
+ strftime(end_time, '%y-%m-%d_%H-%M') || '_' || cast(rider_id as varchar) || '.pdf' object_name,
  case when not paid_with_token and card is not null then lpad(cast(rider_id % 10000 as varchar), 4, '0') end card_last4,
  case when not paid_with_token then card end card_brand
 from paid join owners using (owner_id) join riders using (rider_id)""",
@@ -322,7 +327,7 @@ qualify row_number() over (partition by user_id order by ts desc, event_id desc)
 _oracle(
     "keyed_update",
     ["vehicles", "iot_updates"],
-    """, newest as (select device_id, battery_percentage level from iot_updates where battery_percentage is not null
+    """, newest as (select device_id, battery_percentage level from iot_updates where battery_percentage is not null or battery_voltage is not null
  qualify row_number() over (partition by device_id order by ts desc, event_id desc) = 1)
 select vehicle_id, device_id, status, coalesce(level, battery_percentage) battery_percentage
 from vehicles left join newest using (device_id) where device_id <> ''""",
@@ -378,7 +383,8 @@ _oracle(
     "settlement_fold",
     SETTLE_VIEWS,
     f""", {LEDGER}, {PAYABLE}, {FOLD}
-select owner_id, ride_id, cast(price_cents as bigint) price_cents, covered, cast(left_cents as bigint) left_cents from fold""",
+select owner_id, ride_id, cast(price_cents as bigint) price_cents, covered, cast(left_cents as bigint) left_cents from fold
+union all select owner_id, ride_id, null, null, null from payable join positions using (owner_id) where paid_with_token""",
 )
 
 _oracle(
@@ -404,8 +410,7 @@ _oracle(
 shares as (
  select d.*, f.covered, case when f.covered then 0 else ({_scaled("token_awarded", 2)} * {_scaled("rate", 6)} * 10000000000) // ({_scaled("price", 2)} * 1000000) end share
  from due d join fold f on d.owner_id = f.owner_id and d.turn = f.turn)
-select ride_id, owner_id, covered, case when not paid_with_token then 'AUTH_CAPTURE' end card_transaction_type,
- case when not paid_with_token then payment_method_id end vaulted_shopper_id, currency_code currency, price amount, vendor_id,
+select ride_id, owner_id, covered, 'AUTH_CAPTURE' card_transaction_type, payment_method_id vaulted_shopper_id, currency_code currency, price amount, vendor_id,
  cast(cast(commission_factor as decimal(28,10)) * 100 + {_decimal("share", 10, "decimal(28,10)")} * 100 as decimal(28,10)) commission_percent
 from shares join riders using (rider_id)""",
 )
@@ -533,14 +538,13 @@ _oracle(
     "telemetry_merge",
     ["vehicles", "iot_updates"],
     f""", {_cells("vehicles", "vehicle_id", "lat", "lon", "here")}, {_cells("iot_updates", "event_id, device_id, ts", "lat", "lon", "there")},
-pct as (select device_id, battery_percentage p from iot_updates where battery_percentage is not null qualify row_number() over (partition by device_id order by ts desc, event_id desc) = 1),
-volt as (select device_id, battery_voltage u from iot_updates where battery_voltage is not null qualify row_number() over (partition by device_id order by ts desc, event_id desc) = 1),
+bat as (select device_id, battery_percentage p, battery_voltage u from iot_updates where battery_percentage is not null or battery_voltage is not null qualify row_number() over (partition by device_id order by ts desc, event_id desc) = 1),
 st as (select device_id, state from iot_updates where state is not null qualify row_number() over (partition by device_id order by ts desc, event_id desc) = 1),
 pos as (select device_id, gh from there where gh is not null qualify row_number() over (partition by device_id order by ts desc, event_id desc) = 1),
 devices as (select distinct device_id from iot_updates)
 select v.vehicle_id, coalesce(p, cast(floor(least(cast(100 as float), greatest(cast(0 as float), cast(battery_alpha as float) * cast(u as float) + cast(battery_beta as float)))) as int), battery_percentage) battery_percentage,
  coalesce(state, 'locked') device_state, coalesce(pos.gh, here.gh) geo_hash
-from vehicles v join devices using (device_id) join here on here.vehicle_id = v.vehicle_id left join pct using (device_id) left join volt using (device_id) left join st using (device_id) left join pos using (device_id)""",
+from vehicles v join devices using (device_id) join here on here.vehicle_id = v.vehicle_id left join bat using (device_id) left join st using (device_id) left join pos using (device_id)""",
 )
 
 POINTS = """points as (

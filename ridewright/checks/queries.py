@@ -416,9 +416,11 @@ def txn_type_filter(v: Views) -> DataFrame:
 def _settled(v: Views) -> DataFrame:
     positions = settlement.owner_positions(v.owners, _ledger(v))
     payable = _payable(v).select(
-        "ride_id", "rider_id", "owner_id", "end_time", "price", "paid_with_token", "token_awarded"
-    )
-    return settlement.fold(settlement.with_owner_terms(payable, positions, v.rates))
+        "ride_id", "rider_id", "owner_id", "end_time", "price", "paid_with_token", "token_awarded",
+        F.expr("case k % 2 when 0 then 'USD' else 'ILS' end").alias("currency_code"),
+        F.expr("case when k % 13 > 0 then cast(0.2 + (k % 7) * 0.15 as decimal(11,6)) end").alias("conversion_rate"),
+    )
+    return settlement.fold(settlement.with_owner_terms(payable, positions))
 
 
 @query

@@ -163,6 +163,23 @@ def from_token_units(units: Column) -> Column:
     return from_cents(_int_div(units, _pow10(TOKEN_UNIT_DIGITS - 2)))
 
 
+def two_digits_text(amount: Column, scale: int) -> Column:
+    """A non-negative decimal with ``scale`` places as plain text of two significant digits, half up.
+
+    Places that rounding removes are not printed: 53000.00 is ``53000``, 4.247 is ``4.2``, 0.05 stays.
+    """
+    units = (amount * F.lit(10**scale)).cast("bigint")
+    drop = F.greatest(F.length(units.cast("string")) - 2, F.lit(0))
+    step = F.pow(F.lit(10.0), drop).cast("bigint")
+    head = _int_div(units + _int_div(step, F.lit(2).cast("bigint")), step)
+    places = F.lit(scale) - drop - F.when(head >= 100, 1).otherwise(0)
+    value = (head * step).cast("decimal(20,0)") / F.lit(10**scale).cast("decimal(5,0)")
+    text = value.cast("decimal(20,0)").cast("string")
+    for n in range(1, scale + 1):
+        text = F.when(places == n, value.cast(f"decimal(24,{n})").cast("string")).otherwise(text)
+    return text
+
+
 def two_significant(amount: Column) -> Column:
     """A non-negative ``decimal(18,2)`` amount rounded half up to two significant digits."""
     cents = to_cents(amount)

@@ -299,16 +299,16 @@ def invoice_rows(rides: DataFrame, riders: DataFrame, owners: DataFrame, cards:
     return full.select(
         "ride_id",
         F.concat(F.lit("Ride with "), F.col("company_name")).alias("title"),
-        F.date_format("start_time", "dd/MM/yy, HH:mm").alias("started"),
+        F.date_format("end_time", "dd/MM/yy, HH:mm").alias("printed"),
         F.concat(minutes.cast("string"), F.lit(":"), (seconds % 60).cast("string"), F.lit(" mins")).alias(
             "duration"
         ),
-        money.two_significant(F.col("distance").cast(money.MONEY)).alias("distance"),
+        money.two_digits_text(F.coalesce(F.col("distance"), F.lit(0)).cast("decimal(18,3)"), 3).alias("distance"),
         F.concat(
-            sign, money.two_significant(F.col("price")).cast("string"), F.lit(" "), F.col("currency_code")
+            sign, money.two_digits_text(F.col("price"), 2), F.lit(" "), F.col("currency_code")
         ).alias("total"),
         F.concat(
-            F.date_format("start_time", "yy-MM-dd_HH-mm"),
+            F.date_format("end_time", "yy-MM-dd_HH-mm"),
             F.lit("_"),
             F.col("rider_id").cast("string"),
             F.lit(".pdf"),

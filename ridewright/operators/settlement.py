@@ -34,49 +34,48 @@ def owner_positions(owners: DataFrame, ledger: DataFrame) -> DataFrame:
     )
 
 
-def with_owner_terms(rides: DataFrame, positions: DataFrame, rates: DataFrame) -> DataFrame:
-    """Payable rides with owner terms, position and token price; rides of unknown owners drop."""
-    terms = lookup(
-        rides,
-        positions,
-        ["owner_id"],
-        take=["currency_code", "commission_factor", "vendor_id", "position"],
-    )
-    rated = lookup(
-        terms,
-        rates,
-        ["currency_code"],
-        take=["rate"],
-        keep_misses=True,
-        defaults={"rate": F.lit(1).cast(money.RATE)},
+def with_owner_terms(rides: DataFrame, positions: DataFrame) -> DataFrame:
+    """Payable rides with owner terms, position and token price; rides of unknown owners drop.
+
+    Rate and currency are those stored on the ride when it ended, not today's; a ride without a rate
+    counts at rate 1.
+    """
+    terms = lookup(rides, positions, ["owner_id"], take=["commission_factor", "vendor_id", "position"])
+    rate = F.coalesce(F.col("conversion_rate"), F.lit(1)).cast(money.RATE)
+    return terms.withColumn("conversion_rate", rate).withColumn(
+        "token_price", money.token_price(F.col("price"), F.col("conversion_rate"))
     )
-    return rated.withColumn("token_price", money.token_price(F.col("price"), F.col("rate")))
 
 
 def fold(rides: DataFrame, **limits: int) -> DataFrame:
-    """Payable rides tagged with whether the owner's token position covers them."""
-    return greedy.settle(rides, F.col("token_price"), F.col("position"), **limits)
+    """Card-paid rides tagged with whether the owner's token position covers them.
+
+    Rides paid with tokens use up no position and earn no award here; they pass through with null tags.
+    """
+    with_token = F.coalesce(F.col("paid_with_token"), F.lit(False))
+    folded = greedy.settle(rides.where(~with_token), F.col("token_price"), F.col("position"), **limits)
+    return folded.unionByName(rides.where(with_token), allowMissingColumns=True)
 
 
 def payment_requests(settled: DataFrame, riders: DataFrame) -> DataFrame:
-    """One gateway request per settled ride.
+    """One gateway request per settled card ride.
 
     The owner funds the reward of a covered ride in tokens; otherwise the reward is added to the
-    commission. Token rides are not charged to a card. The rider's payment method is a plain join.
+    commission. Rides paid with tokens ask nothing of the gateway. The rider's payment method is a plain join.
     """
-    known = lookup(settled, riders, ["rider_id"], take=["payment_method_id"])
+    card = settled.where(~F.coalesce(F.col("paid_with_token"), F.lit(False)))
+    known = lookup(card, riders, ["rider_id"], take=["payment_method_id"])
     reward = F.when(F.col("covered"), F.lit(0).cast("decimal(28,10)")).otherwise(
-        money.reward_factor_of(F.col("token_awarded"), F.col("rate"), F.col("price"))
+        money.reward_factor_of(F.col("token_awarded"), F.col("conversion_rate"), F.col("price"))
     )
     percent = ((F.col("commission_factor") + reward) * F.lit(100)).cast("decimal(28,10)")
-    card = ~F.col("paid_with_token")
     return known.select(
         "ride_id",
         "rider_id",
         "owner_id",
         "covered",
-        F.when(card, F.lit(AUTH_CAPTURE)).alias("card_transaction_type"),
-        F.when(card, F.col("payment_method_id")).alias("vaulted_shopper_id"),
+        F.lit(AUTH_CAPTURE).alias("card_transaction_type"),
+        F.col("payment_method_id").alias("vaulted_shopper_id"),
         F.col("currency_code").alias("currency"),
         F.col("price").alias("amount"),
         F.array(F.struct(F.col("vendor_id"), percent.alias("commission_percent"))).alias("vendors"),

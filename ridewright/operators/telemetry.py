@@ -13,18 +13,20 @@ TELEMETRY_FIELDS = ["battery_percentage", "battery_voltage", "state", "geohash"]
 def latest_fields(updates: DataFrame, version: list[str]) -> DataFrame:
     """Per device, the newest non-null value of each field.
 
-    Fields are independent of each other, and the aggregates merge before the shuffle.
+    Battery percentage and voltage come from one message, the newest that has either; the other fields
+    are independent of each other. The aggregates merge before the shuffle.
     """
     located = updates.withColumn(
         "geohash", F.coalesce(F.col("geohash"), geo.geohash(F.col("lat"), F.col("lon")))
     )
     at = F.struct(*version)
-    return located.groupBy("device_id").agg(
-        *[
-            F.max_by(field, F.when(F.col(field).isNotNull(), at)).alias(field)
-            for field in TELEMETRY_FIELDS
-        ]
+    battery = F.struct("battery_percentage", "battery_voltage")
+    charged = F.col("battery_percentage").isNotNull() | F.col("battery_voltage").isNotNull()
+    newest = located.groupBy("device_id").agg(
+        F.max_by(battery, F.when(charged, at)).alias("battery"),
+        *[F.max_by(field, F.when(F.col(field).isNotNull(), at)).alias(field) for field in ("state", "geohash")],
     )
+    return newest.select("device_id", "battery.battery_percentage", "battery.battery_voltage", "state", "geohash")
 
 
 def merge_telemetry(vehicles: DataFrame, newest: DataFrame) -> DataFrame:

@@ -45,12 +45,10 @@ def rider_payment(store: Store, as_of: datetime, interval_ms: int, run_id: int)
     """Request payment of recently ended rides; returns the settled rides of this run.
 
     Rides an earlier run has requested are left alone, so overlapping runs pay nothing twice.
-    Only the days the look-back touches are read.
+    A ride of any length is found: it may have begun on any day before the look-back's end.
     """
     since, until = routing.look_back(as_of, interval_ms)
-    days = F.col("effective_date").between(
-        F.lit((since - timedelta(days=2)).date()), F.lit((until + timedelta(days=1)).date())
-    )
+    days = F.col("effective_date") <= F.lit((until + timedelta(days=1)).date())
     due = routing.payable_rides(store.read("rides_summary").where(days), since, until)
     asked = sink.stored(store.spark, store.path("payment_requests"))
     if asked is not None:
@@ -67,11 +65,13 @@ def rider_payment(store: Store, as_of: datetime, interval_ms: int, run_id: int)
         "price",
         "paid_with_token",
         "token_awarded",
+        "currency_code",
+        "conversion_rate",
     )
     settled = store.stage(
         "rider_payment",
         run_id,
-        settlement.fold(settlement.with_owner_terms(narrow, positions, store.read("rates"))),
+        settlement.fold(settlement.with_owner_terms(narrow, positions)),
     )
     requests = settlement.payment_requests(settled, store.read("riders"))
     requests.write.mode("overwrite").parquet(f"{store.path('payment_requests')}/run={run_id}")
