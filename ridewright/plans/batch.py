@@ -73,7 +73,10 @@ def rider_payment(store: Store, as_of: datetime, interval_ms: int, run_id: int)
         run_id,
         settlement.fold(settlement.with_owner_terms(narrow, positions)),
     )
-    requests = settlement.payment_requests(settled, store.read("riders"))
+    # rides paid with tokens ask nothing, but are noted as dealt with by this run
+    requests = settlement.payment_requests(settled, store.read("riders")).unionByName(
+        settled.where("paid_with_token").select("ride_id"), allowMissingColumns=True
+    )
     requests.write.mode("overwrite").parquet(f"{store.path('payment_requests')}/run={run_id}")
     owed = settlement.rewards_owed(settled).select(
         F.col("owner_id"), (-F.col("reward_owed")).cast(money.MONEY).alias("amount")

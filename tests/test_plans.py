@@ -85,7 +85,8 @@ def test_a_ride(spark, store):
 
     as_of = over + timedelta(minutes=1)
     settled = batch.rider_payment(store, as_of, 600_000, 1)
-    assert [(r.covered, r.price_cents) for r in settled.collect()] == [(True, 2400)]
+    # a ride paid with tokens stays out of the fold and books no award
+    assert [(r.covered, r.price_cents) for r in settled.collect()] == [(None, None)]
     assert batch.rider_payment(store, as_of, 600_000, 2).count() == 0
     captures = spark.createDataFrame([], "ride_id string, capture_id string")
     batch.apply_captures(store, settled, captures)
