@@ -141,6 +141,8 @@ def occurrences(index: TestIndex, words: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def longest(doc: np.ndarray, at: np.ndarray, item: np.ndarray, start: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
     """Merge windows that continue one another in the same document, item and diagonal."""
+    if not len(doc):
+        return [doc] * 5
     order = np.lexsort((start, at - start, item, doc))
     doc, at, item, start, size = (x[order] for x in (doc, at, item, start, size))
     fresh = np.ones(len(doc), bool)
