@@ -111,7 +111,7 @@ def test_decontamination(spark, rows):
     assert len(found) == rows.count()
     hits = {r.doc_id: (r.n_words, r.n_hit, r.items) for r in found}
     if hits:
-        assert hits[1] == (18, 12, ["1"]) and hits[8] == (3, 3, ["2"]) and hits[2] == hits[3] == hits[5] == (0, 0, [])
+        assert hits[1] == (19, 12, ["1"]) and hits[8] == (3, 3, ["2"]) and hits[2] == hits[3] == hits[5] == (0, 0, [])
     kept = decontamination.decontaminate(rows, benchmark)
     assert kept.schema == rows.schema and sorted(r.doc_id for r in kept.collect()) == ([2, 3, 5, 6, 7] if hits else [])
 
