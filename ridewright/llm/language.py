@@ -245,7 +245,9 @@ def identify(
             words = [WORD.findall(t.decode("utf-8", "replace").lower()) if t else [] for t in raw_texts(batch.column("text"))]
             if not own.languages:
                 words = [[] for _ in words]
-            labels = own.viterbi([own.word_scores(w) if w else np.empty((0, len(own.languages))) for w in words], penalty)
+            flat = [w for ws in words for w in ws]
+            scores = own.word_scores(flat) if flat else np.empty((0, len(own.languages)))
+            labels = own.viterbi(np.split(scores, np.cumsum([len(ws) for ws in words])[:-1]), penalty)
             picked, shares, spans = [], [], []
             for ws, ls in zip(words, labels, strict=True):
                 if not ws:
