@@ -6,10 +6,11 @@ estimate against the product of its longer contexts; the weights follow from the
 tree is built from summed counts: first bottom-up for the weighted probabilities, then top-down for the
 mixture at each context.
 
-Subtrees below two context bytes are independent and are built side by side; above them there are at most
-256 x 255 + 255 nodes. The finished nodes are kept in a table of a fixed number of slots, in which the
-node with more observations wins; a node that lost its slot is predicted by its next shorter context. So
-the model's size does not depend on the corpus.
+Subtrees below two context bytes are independent and are built side by side, shard by shard; above them
+there are at most 256 x 255 + 255 nodes, which every task gets. Nothing of the tree is dropped and no task
+holds more of it than one shard, so the model grows with the corpus: their number follows the number of
+distinct byte strings learned. Texts are scored in blocks: each block asks every shard for the code lengths
+of its distinct byte strings and adds the answers up by text.
 """
 
 from __future__ import annotations
@@ -25,29 +26,31 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ridewright.llm.common import map_batches, raw_texts, stored
 
 DEPTH = 5
-SLOT_BITS = 22
+SHARD_GRAMS = 100_000
+TEXT_BLOCK = 4 << 20  # bytes of text that ask together
 BLOCK = 2_000_000
 FLUSH_GRAMS = 1_500_000
 FLUSH_WORDS = 400_000
 FREQUENT_WORDS = 1 << 17
 BORDER = 0xFF  # never occurs in UTF-8: stands before the beginning and closes a text
 END = b"\n"  # never inside a token: the end of a text in the token counts
+SPREAD = 2654435761
 U = np.uint64
 
 
-def spread(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
+def shard_of(grams: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each gram, by its two nearest context bytes; :func:`shard_column` says the same."""
+    return ((grams >> U(8) & U(0xFFFF)) * U(SPREAD) >> U(16)) % U(shards)
 
 
-def node_hash(depth: int, keys: np.ndarray) -> np.ndarray:
-    """Hash of a decision node: its context bytes and the bits read so far."""
-    return spread(keys * U(0x9E3779B97F4A7C15) + U((depth + 1) * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF))
+def shard_column(gram: str, shards: int) -> Column:
+    near = F.shiftright(gram, 8).bitwiseAND(F.lit(0xFFFF))
+    return F.shiftright(near * F.lit(SPREAD), 16) % F.lit(shards)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -233,18 +236,73 @@ def _count(depth: int):
     return step
 
 
+TREE = T.StructType(
+    [
+        T.StructField("shard", T.LongType()),
+        T.StructField("grams", T.BinaryType()),
+        T.StructField("counts", T.BinaryType()),
+    ]
+)
+LEVEL = T.StructType(
+    [T.StructField("key", T.LongType()), *(T.StructField(c, T.DoubleType()) for c in ("zeros", "ones", "weighted"))]
+)
+
+
+def _packed(shards: int):
+    """Counted grams as rows of (shard, grams, counts), at most ``BLOCK`` grams a row."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, counts = _gathered(batches)
+        for shard, mine in by_shard(grams, shards):
+            for at in range(0, len(mine), BLOCK):
+                part = mine[at : at + BLOCK]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "shard": pa.array([shard], pa.int64()),
+                        "grams": pa.array([grams[part].tobytes()], pa.binary()),
+                        "counts": pa.array([counts[part].tobytes()], pa.binary()),
+                    }
+                )
+
+    return step
+
+
+def by_shard(grams: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard that occurs with the places of its grams, in ascending order of both."""
+    own = shard_of(grams, shards)
+    order = np.argsort(own, kind="stable")
+    heads = np.flatnonzero(np.diff(own[order], prepend=U(shards)))
+    for places in np.split(order, heads[1:]) if len(order) else ():
+        yield int(own[places[0]]), places
+
+
 def _subtrees(depth: int):
-    """Counts of a partition's grams to the level of two context bytes: (key, zeros, ones, weighted)."""
+    """Counts of each row's grams to the level of two context bytes: (key, zeros, ones, weighted)."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = bottom_up(*_gathered(batches), depth, 2)[-1]
-        names = ("key", "zeros", "ones", "weighted")
-        values = (level.keys.astype(np.int64), level.zeros, level.ones, level.weighted)
-        yield pa.RecordBatch.from_pydict({n: pa.array(v) for n, v in zip(names, values, strict=True)})
+        for grams, counts in _shards(batches):
+            level = bottom_up(grams, counts, depth, 2)[-1]
+            values = (level.keys.astype(np.int64), level.zeros, level.ones, level.weighted)
+            yield pa.RecordBatch.from_pydict({n: pa.array(v) for n, v in zip(LEVEL.names, values, strict=True)})
 
     return step
 
 
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Grams and counts of each shard of rows that are sorted by shard."""
+    here, grams, counts = None, [], []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["shard"] != here and grams:
+                yield np.concatenate(grams), np.concatenate(counts)
+                grams, counts = [], []
+            here = row["shard"]
+            grams.append(np.frombuffer(row["grams"], U))
+            counts.append(np.frombuffer(row["counts"], np.float64))
+    if grams:
+        yield np.concatenate(grams), np.concatenate(counts)
+
+
 def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
     parts = [(b.column("gram").to_numpy().astype(U), b.column("n").to_numpy().astype(np.float64)) for b in batches]
     if not parts:
@@ -252,87 +310,61 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
-NODE = T.StructType(
-    [
-        T.StructField("slot", T.LongType()),
-        T.StructField("n", T.DoubleType()),
-        T.StructField("mark", T.LongType()),
-        T.StructField("chance", T.DoubleType()),
-    ]
-)
-
-
-def node_rows(found: list[tuple], slot_bits: int) -> pa.RecordBatch:
-    hashes = np.concatenate([node_hash(d, keys) for d, keys, *_ in found])
-    return pa.RecordBatch.from_pydict(
-        {
-            "slot": pa.array((hashes & U((1 << slot_bits) - 1)).astype(np.int64)),
-            "n": pa.array(np.concatenate([f[2] for f in found])),
-            "mark": pa.array((hashes >> U(32)).astype(np.int64)),
-            "chance": pa.array(np.concatenate([f[3] for f in found])),
-        }
-    )
-
-
-def _nodes(depth: int, slot_bits: int, shared):
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, counts = _gathered(batches)
-        if len(grams):
-            yield node_rows(top_down(bottom_up(grams, counts, depth, 2), shared.value, depth), slot_bits)
-
-    return step
+class Lookup:
+    """Code lengths from the nodes of :func:`top_down`; ``grams`` are those learned, whose lengths are kept ready."""
 
+    def __init__(self, nodes: list[tuple], grams: np.ndarray) -> None:
+        self.nodes = [(d, keys, chance) for d, keys, _, chance, _, _ in sorted(nodes, key=lambda x: -x[0])]
+        self.grams = np.sort(grams)
+        self.ready = self._walk(self.grams)
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slots of a partition as three byte strings, so that a table of fixed size reaches the driver in few rows."""
-    for b in batches:
-        yield pa.RecordBatch.from_pydict(
-            {
-                "slot": pa.array([b.column("slot").to_numpy().astype(np.uint32).tobytes()], pa.binary()),
-                "mark": pa.array([b.column("mark").to_numpy().astype(np.uint32).tobytes()], pa.binary()),
-                "chance": pa.array([b.column("chance").to_numpy().astype(np.float32).tobytes()], pa.binary()),
-            }
-        )
+    def log2_bytes(self, grams: np.ndarray) -> np.ndarray:
+        """log2 probability of the lowest byte of each gram after the others."""
+        at, hit = found(self.grams, grams)
+        total = np.empty(len(grams))
+        total[hit] = self.ready[at[hit]]
+        total[~hit] = self._walk(grams[~hit])
+        return total
+
+    def _walk(self, grams: np.ndarray) -> np.ndarray:
+        """Bit by bit: the longest context that has been seen predicts; without any a bit has 1/2."""
+        total, byte = np.zeros(len(grams)), grams & U(255)
+        for k in range(8):
+            node = U(1 << k) | byte >> U(8 - k)
+            chance, open_ = np.full(len(grams), 0.5), np.arange(len(grams))
+            for d, keys, chances in self.nodes:
+                at, hit = found(keys, shorter(grams[open_] >> U(8) << U(8), d + 1) | node[open_])
+                chance[open_[hit]] = chances[at[hit]]
+                open_ = open_[~hit]
+                if not len(open_):
+                    break
+            bit = (byte >> U(7 - k) & U(1)).astype(bool)
+            total += np.log2(np.clip(np.where(bit, chance, 1 - chance), 1e-12, 1.0))
+        return total
+
+
+def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the wanted in sorted keys and whether they are there."""
+    at = np.searchsorted(keys, wanted)
+    if not len(keys):
+        return at, np.zeros(len(wanted), bool)
+    at[at == len(keys)] = 0
+    return at, keys[at] == wanted
 
 
 @dataclass
 class ContextTree:
-    """The slot table and, for the yardstick, the training tokens."""
+    """The counted grams by shard, the nodes above the shards and, for the yardstick, the training tokens."""
 
     depth: int
-    slot_bits: int
-    marks: np.ndarray
-    chances: np.ndarray
-    vocabulary: DataFrame | None
+    shards: int
+    tree: DataFrame
+    upper: list[tuple]
+    vocabulary: DataFrame
     train_tokens: int
     distinct_tokens: int
     frequent: dict[bytes, int]
 
-    def log2_bytes(self, grams: np.ndarray) -> np.ndarray:
-        """log2 probability of the lowest byte of each gram after the others."""
-        return log2_bytes(self.marks, self.chances, self.depth, self.slot_bits, grams)
-
-
-def log2_bytes(marks: np.ndarray, chances: np.ndarray, depth: int, slot_bits: int, grams: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(grams))
-    byte, mask = grams & U(255), U((1 << slot_bits) - 1)
-    for k in range(8):
-        node = U(1 << k) | byte >> U(8 - k)
-        chance = np.full(len(grams), 0.5)
-        open_ = np.arange(len(grams))
-        for d in range(depth, -1, -1):
-            keys = shorter(grams[open_] >> U(8) << U(8), d + 1) | node[open_]
-            hashes = node_hash(d, keys)
-            slot = (hashes & mask).astype(np.int64)
-            hit = marks[slot] == (hashes >> U(32)).astype(np.uint32)
-            chance[open_[hit]] = chances[slot[hit]]
-            open_ = open_[~hit]
-            if not len(open_):
-                break
-        bit = (byte >> U(7 - k) & U(1)).astype(bool)
-        total += np.log2(np.clip(np.where(bit, chance, 1 - chance), 1e-12, 1.0))
-    return total
-
 
 def fit(
     docs: DataFrame,
@@ -340,97 +372,166 @@ def fit(
     train: Column | None = None,
     text_col: str = "text",
     depth: int = DEPTH,
-    slot_bits: int = SLOT_BITS,
+    shard_grams: int = SHARD_GRAMS,
 ) -> ContextTree:
     """Learn from the texts of the rows for which ``train`` holds; null counts as empty, ends are learned too.
 
     ``depth`` is 2 to 7 context bytes. An empty table gives a model in which every bit has probability 1/2.
     """
-    spark = docs.sparkSession
     rows = (docs.where(train) if train is not None else docs).select(text_col)
     counted = stored(
         map_batches(rows, _count(depth), COUNTS).groupBy("gram", "word").agg(F.sum("n").alias("n")), "counts"
     )
-    near = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))
-    grams = counted.where("gram is not null").select("gram", "n").repartition(near)
-    level = T.StructType([T.StructField("key", T.LongType()), *(T.StructField(c, T.DoubleType()) for c in ("zeros", "ones", "weighted"))])
-    upper = map_batches(grams, _subtrees(depth), level).groupBy(F.col("key").bitwiseAND(F.lit(0xFFFF)).alias("key"))
+    grams = counted.where("gram is not null").select("gram", "n")
+    shards = max(1, math.ceil(grams.count() / shard_grams))
+    dealt = grams.repartition(shards, shard_column("gram", shards))
+    tree = stored(map_batches(dealt, _packed(shards), TREE, rows=1 << 16), "tree")
+    kept = tree.repartition(shards, "shard").sortWithinPartitions("shard")
+    upper = map_batches(kept, _subtrees(depth), LEVEL).groupBy(F.col("key").bitwiseAND(F.lit(0xFFFF)).alias("key"))
     top = upper.agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "weighted"))).collect()  # at most 256 x 255 rows
     columns = (np.array([r[c] for r in top], np.float64) for c in ("zeros", "ones", "weighted"))
     keys, zeros, ones, below = summed(np.array([r.key for r in top], U), *columns)
     one = weigh(keys, zeros, ones, below)
     none = weigh(*summed(shorter(one.keys, 1), one.zeros, one.ones, one.weighted))
-    upper_nodes = top_down([one, none], None, 1)
-    _, keys, _, _, mixed, left = upper_nodes[-1]
-    base = spark.sparkContext.broadcast((keys, mixed, left))
-    nodes = map_batches(grams, _nodes(depth, slot_bits, base), NODE)
-    if len(keys):
-        nodes = nodes.unionByName(spark.createDataFrame(pa.Table.from_batches([node_rows(upper_nodes, slot_bits)])))
-    best = nodes.groupBy("slot").agg(F.max(F.struct("n", "mark", "chance")).alias("m")).select("slot", "m.mark", "m.chance")
-    packed = T.StructType([T.StructField(c, T.BinaryType()) for c in ("slot", "mark", "chance")])
-    marks, chances = np.zeros(1 << slot_bits, np.uint32), np.full(1 << slot_bits, 0.5, np.float32)
-    for r in map_batches(best, _packed, packed, rows=1 << 16).toLocalIterator():  # at most 2**slot_bits slots in all
-        slot = np.frombuffer(r.slot, np.uint32)
-        marks[slot], chances[slot] = np.frombuffer(r.mark, np.uint32), np.frombuffer(r.chance, np.float32)
     words = counted.where("word is not null").select("word", "n")
     size = words.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     frequent = words.orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS).collect()
-    return ContextTree(depth, slot_bits, marks, chances, words, size["n"], size["v"], {bytes(r.word): r.n for r in frequent})
+    known = {bytes(r.word): r.n for r in frequent}
+    return ContextTree(depth, shards, tree, top_down([one, none], None, 1), words, size["n"], size["v"], known)
 
 
-def _score(shared, id_name: str, text_name: str):
+def _blocks(depth: int, shards: int, block: int):
+    """Texts in blocks of about ``block`` bytes, with the distinct grams that they ask of each shard."""
+
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, chances, depth, slot_bits, frequent = shared.value
-        place, number = TaskContext.get().partitionId() << 40, 0
-        logs = {w: math.log10(n + 1) for w, n in frequent.items()}
-        known = logs.keys()
-        for batch in batches:
-            texts = [t or b"" for t in raw_texts(batch.column(text_name))]
-            n_tokens, n_known, base, rare = [], [], [], []
-            for raw in texts:
-                seen = Counter(tokens_of(raw))
-                common = seen.keys() & known
-                n_tokens.append(seen.total())
-                n_known.append(sum(map(seen.__getitem__, common)))
-                base.append(math.fsum(logs[w] * seen[w] for w in common))
-                rare.append([(w, n) for w, n in seen.items() if w not in known])
-            yield pa.RecordBatch.from_pydict(
+        place, number = TaskContext.get().partitionId() << 32, 0
+        ids, texts, size, kind = [], [], 0, None
+
+        def out() -> pa.RecordBatch:
+            buffer, begins, sizes = padded(texts, depth)
+            grams = distinct_grams(buffer, begins, sizes, depth)
+            asked = [{"shard": s, "grams": grams[at].tobytes()} for s, at in by_shard(grams, shards)]
+            return pa.RecordBatch.from_pydict(
                 {
-                    "row": pa.array(np.arange(number, number + len(texts)) + place),
-                    "id": batch.column(id_name),
-                    "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
-                    "n_tokens": pa.array(n_tokens, pa.int64()),
-                    "n_known": pa.array(n_known, pa.int64()),
-                    "base": pa.array(base, pa.float64()),
-                    "bits": pa.array(score_texts(texts, marks, chances, depth, slot_bits)),
-                    "rare": pa.array([[{"word": w, "n": n} for w, n in x] for x in rare], ARROW_RARE),
+                    "block": pa.array([place + number], pa.int64()),
+                    "ids": pa.array([ids], pa.list_(kind)),
+                    "buffer": pa.array([buffer.tobytes()], pa.binary()),
+                    "begins": pa.array([begins], pa.list_(pa.int64())),
+                    "sizes": pa.array([sizes], pa.list_(pa.int64())),
+                    "asked": pa.array([asked], ARROW_ASKED),
                 }
             )
-            number += len(texts)
+
+        for batch in batches:
+            kind = batch.column("id").type
+            for one, raw in zip(batch.column("id").to_pylist(), raw_texts(batch.column("text")), strict=True):
+                ids.append(one)
+                texts.append(raw or b"")
+                size += len(texts[-1]) + depth
+                if size >= block:
+                    yield out()
+                    ids, texts, size, number = [], [], 0, number + 1
+        if texts:
+            yield out()
+
+    return step
+
+
+def distinct_grams(buffer: np.ndarray, begins: np.ndarray, sizes: np.ndarray, depth: int) -> np.ndarray:
+    inside, grams = counted_places(begins, sizes, len(buffer)), np.empty(0, U)
+    for at in range(depth, len(buffer), BLOCK):
+        end = min(at + BLOCK, len(buffer))
+        grams = np.union1d(grams, grams_of(buffer, at, end, depth)[inside[at:end]])
+    return grams
+
+
+def _answers(depth: int, shared):
+    """Rows sorted by shard, its counted grams first: the code lengths that each block asked for, in its order."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        upper = shared.value
+        base = (upper[-1][1], *upper[-1][4:])
+        here, grams, counts, lookup = None, [], [], None
+        for batch in batches:
+            blocks, bits = [], []
+            for row in batch.to_pylist():
+                if row["shard"] != here:
+                    here, grams, counts, lookup = row["shard"], [], [], None
+                asked = np.frombuffer(row["grams"], U)
+                if row["block"] is None:
+                    grams.append(asked)
+                    counts.append(np.frombuffer(row["counts"], np.float64))
+                    continue
+                if lookup is None:
+                    learned = np.concatenate([np.empty(0, U), *grams])
+                    nodes = top_down(bottom_up(learned, np.concatenate([np.empty(0), *counts]), depth, 2), base, depth) if grams else []
+                    lookup = Lookup([*upper, *nodes], learned)
+                    grams, counts = [], []
+                blocks.append(row["block"])
+                bits.append({"shard": here, "bits": lookup.log2_bytes(asked).astype(np.float32).tobytes()})
+            yield pa.RecordBatch.from_pydict(
+                {"block": pa.array(blocks, pa.int64()), "answer": pa.array(bits, ARROW_ANSWER)}
+            )
 
     return step
 
 
+def _score(depth: int, shared, id_type: pa.DataType):
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        logs = {w: math.log10(n + 1) for w, n in shared.value[0].items()}
+        shards, known = shared.value[1], logs.keys()
+        for batch in batches:
+            for row in batch.to_pylist():
+                buffer = np.frombuffer(row["buffer"], np.uint8)
+                begins, sizes = np.array(row["begins"], np.int64), np.array(row["sizes"], np.int64)
+                answers = {a["shard"]: np.frombuffer(a["bits"], np.float32) for a in row["answers"]}
+                texts = [row["buffer"][b : b + n - 1] for b, n in zip(row["begins"], row["sizes"], strict=True)]
+                n_tokens, n_known, base, rare = [], [], [], []
+                for raw in texts:
+                    seen = Counter(tokens_of(raw))
+                    common = seen.keys() & known
+                    n_tokens.append(seen.total())
+                    n_known.append(sum(map(seen.__getitem__, common)))
+                    base.append(math.fsum(logs[w] * seen[w] for w in common))
+                    rare.append([(w, n) for w, n in seen.items() if w not in known])
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "block": pa.array([row["block"]] * len(texts), pa.int64()),
+                        "place": pa.array(np.arange(len(texts))),
+                        "id": pa.array(row["ids"], id_type),
+                        "n_bytes": pa.array(sizes - 1),
+                        "n_tokens": pa.array(n_tokens, pa.int64()),
+                        "n_known": pa.array(n_known, pa.int64()),
+                        "base": pa.array(base, pa.float64()),
+                        "bits": pa.array(score_block(buffer, begins, sizes, depth, shards, answers)),
+                        "rare": pa.array([[{"word": w, "n": n} for w, n in x] for x in rare], ARROW_RARE),
+                    }
+                )
+
+    return step
+
+
+ARROW_ASKED = pa.list_(pa.struct([("shard", pa.int64()), ("grams", pa.binary())]))
+ARROW_ANSWER = pa.struct([("shard", pa.int64()), ("bits", pa.binary())])
+ANSWER = T.StructType([T.StructField("shard", T.LongType()), T.StructField("bits", T.BinaryType())])
+ASKED = T.ArrayType(T.StructType([T.StructField("shard", T.LongType()), T.StructField("grams", T.BinaryType())]))
 ARROW_RARE = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
 RARE = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())]))
 
 
-def score_texts(texts: list[bytes], marks: np.ndarray, chances: np.ndarray, depth: int, slot_bits: int) -> np.ndarray:
-    """log2 probability of each text and its end, block by block over one buffer."""
-    out = np.zeros(len(texts))
-    if not texts:
-        return out
-    buffer, begins, sizes = padded(texts, depth)
+def score_block(
+    buffer: np.ndarray, begins: np.ndarray, sizes: np.ndarray, depth: int, shards: int, answers: dict[int, np.ndarray]
+) -> np.ndarray:
+    """log2 probability of each text and its end from the answers of all shards, piece by piece."""
+    grams = distinct_grams(buffer, begins, sizes, depth)
+    bits = np.empty(len(grams))
+    for shard, at in by_shard(grams, shards):
+        bits[at] = answers[shard]
+    out = np.zeros(len(begins))
     for at in range(depth, len(buffer), BLOCK):
         end = min(at + BLOCK, len(buffer))
-        grams = grams_of(buffer, at, end, depth)
-        order = np.argsort(grams)
-        ranked = grams[order]
-        fresh = np.append(True, ranked[1:] != ranked[:-1])
-        each = log2_bytes(marks, chances, depth, slot_bits, ranked[fresh])
-        value = np.empty(end - at)
-        value[order] = each[np.cumsum(fresh) - 1]
-        value = np.concatenate([[0.0], np.cumsum(value)])
+        places, hit = found(grams, grams_of(buffer, at, end, depth))
+        value = np.concatenate([[0.0], np.cumsum(np.where(hit, bits[places], 0.0))])
         low, high = np.clip(begins, at, end) - at, np.clip(begins + sizes, at, end) - at
         out += value[high] - value[low]
     return out
@@ -445,16 +546,44 @@ def score(docs: DataFrame, model: ContextTree, *, id_col: str = "doc_id", text_c
     answered one by one.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.marks, model.chances, model.depth, model.slot_bits, model.frequent))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    lists = [T.StructField(c, T.ArrayType(T.LongType())) for c in ("begins", "sizes")]
+    schema = T.StructType(
+        [
+            T.StructField("block", T.LongType()),
+            T.StructField("ids", T.ArrayType(rows.schema["id"].dataType)),
+            T.StructField("buffer", T.BinaryType()),
+            *lists,
+            T.StructField("asked", ASKED),
+        ]
+    )
+    blocks = stored(map_batches(rows, _blocks(model.depth, model.shards, TEXT_BLOCK), schema), "blocks")
+    asked = blocks.select("block", F.explode("asked").alias("a")).select("a.shard", "block", "a.grams", F.lit(None).cast("binary").alias("counts"))
+    both = model.tree.select("shard", F.lit(None).cast("long").alias("block"), "grams", "counts").unionByName(asked)
+    both = both.repartition(model.shards, "shard").sortWithinPartitions("shard", F.col("block").asc_nulls_first())
+    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("answer", ANSWER)])
+    answers = map_batches(both, _answers(model.depth, spark.sparkContext.broadcast(model.upper)), schema)
+    answers = answers.groupBy("block").agg(F.collect_list("answer").alias("answers"))  # one per shard
+    shared = spark.sparkContext.broadcast((model.frequent, model.shards))
     longs = [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_tokens", "n_known")]
     doubles = [T.StructField(c, T.DoubleType()) for c in ("base", "bits")]
-    schema = T.StructType([T.StructField("row", T.LongType()), rows.schema["id"], *longs, *doubles, T.StructField("rare", RARE)])
-    scored = stored(map_batches(rows, _score(shared, "id", "text"), schema), "scores")
-    met = scored.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.n").alias("k"))
-    met = met.join(model.vocabulary, "word").groupBy("row")
+    schema = T.StructType(
+        [
+            T.StructField("block", T.LongType()),
+            T.StructField("place", T.LongType()),
+            T.StructField("id", rows.schema["id"].dataType),
+            *longs,
+            *doubles,
+            T.StructField("rare", RARE),
+        ]
+    )
+    step = _score(model.depth, shared, to_arrow_type(rows.schema["id"].dataType))
+    answered = blocks.drop("asked").join(answers, "block")
+    scored = stored(map_batches(answered, step, schema, rows=4), "scores")
+    met = scored.select("block", "place", F.explode("rare").alias("r")).select("block", "place", F.col("r.word").alias("word"), F.col("r.n").alias("k"))
+    met = met.join(model.vocabulary, "word").groupBy("block", "place")
     met = met.agg(F.sum("k").alias("more"), F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("part"))
-    out = scored.drop("rare").join(met, "row", "left")
+    out = scored.drop("rare").join(met, ["block", "place"], "left")
     below = math.log10(model.train_tokens + model.distinct_tokens + 1)
     base = F.col("base") + F.coalesce("part", F.lit(0.0)) - F.col("n_tokens") * F.lit(below)
     return out.select(

@@ -99,18 +99,37 @@ def test_tree_weights_are_those_of_the_definition():
 
 def test_bytes_after_a_context_sum_to_one():
     text = b"abracadabra " * 40
-    depth, bits = 3, 12
+    depth, shards = 3, 4
     buffer, begins, sizes = context_tree.padded([text], depth)
     keys, counts = np.unique(context_tree.grams_of(buffer, depth, len(buffer), depth)[: sizes[0]], return_counts=True)
-    rows = context_tree.node_rows(context_tree.top_down(context_tree.bottom_up(keys, counts.astype(float), depth, 0), None, depth), bits)
-    marks, chances = np.zeros(1 << bits, np.uint32), np.full(1 << bits, 0.5, np.float32)
-    slot = rows.column("slot").to_numpy()
-    marks[slot], chances[slot] = rows.column("mark").to_numpy(), rows.column("chance").to_numpy()
+    nodes = context_tree.top_down(context_tree.bottom_up(keys, counts.astype(float), depth, 0), None, depth)
+    lookup = context_tree.Lookup(nodes, keys)
     for context in (b"abr", b"zzz", b"\xff\xff\xff"):
         grams = (np.uint64(int.from_bytes(context, "big")) << np.uint64(8)) | np.arange(256, dtype=np.uint64)
-        assert np.exp2(context_tree.log2_bytes(marks, chances, depth, bits, grams)).sum() == pytest.approx(1, abs=1e-4)
-    whole = context_tree.score_texts([text, b"", b"qqq"], marks, chances, depth, bits)
+        assert np.exp2(lookup.log2_bytes(grams)).sum() == pytest.approx(1, abs=1e-9)
+        assert lookup._walk(grams) == pytest.approx(lookup.log2_bytes(grams))
+    buffer, begins, sizes = context_tree.padded([text, b"", b"qqq"], depth)
+    asked = context_tree.distinct_grams(buffer, begins, sizes, depth)
+    answers = {s: lookup.log2_bytes(asked[at]) for s, at in context_tree.by_shard(asked, shards)}
+    whole = context_tree.score_block(buffer, begins, sizes, depth, shards, answers)
     assert whole[0] / len(text) > -0.5 and whole[2] / 3 < -4
+    first = context_tree.grams_of(buffer, depth, len(buffer), depth)[: sizes[0]]
+    assert whole[0] == pytest.approx(lookup.log2_bytes(first).sum())
+
+
+def test_sharded_scores_equal_the_whole_tree(spark):
+    texts = ["abracadabra " * 9, "", "the quiet river", "abra the river", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    depth, raw = 3, [(t or "").encode() for t in texts]
+    learned = [context_tree.grams_of(*context_tree.padded([t], depth)[:1], depth, len(t) + 1 + depth, depth) for t in raw]
+    keys, counts = np.unique(np.concatenate(learned), return_counts=True)
+    nodes = context_tree.top_down(context_tree.bottom_up(keys, counts.astype(float), depth, 0), None, depth)
+    lookup = context_tree.Lookup(nodes, keys)
+    model = context_tree.fit(docs, depth=depth, shard_grams=20)
+    assert model.shards > 1
+    scores = {r.id: r.score for r in context_tree.score(docs, model).collect()}
+    for i, grams in enumerate(learned):
+        assert scores[i] == pytest.approx(lookup.log2_bytes(grams).sum() * math.log10(2), rel=1e-5)
 
 
 def brute_cut(prices, edges):

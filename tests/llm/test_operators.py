@@ -27,7 +27,7 @@ def rows(request, odd_rows, no_rows):
 
 def test_context_tree(rows):
     n = rows.count()
-    model = context_tree.fit(rows, slot_bits=12, depth=3)
+    model = context_tree.fit(rows, shard_grams=500, depth=3)
     found = context_tree.score(rows, model).collect()
     assert len(found) == n and all(r.score <= 0 and r.base_score <= 0 for r in found)
     assert {r.n_tokens for r in found if r.id in (2, 3)} <= {1}
