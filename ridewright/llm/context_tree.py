@@ -9,13 +9,15 @@ mixture at each context.
 Subtrees below two context bytes are independent and are built side by side, shard by shard; above them
 there are at most 256 x 255 + 255 nodes, which every task gets. Nothing of the tree is dropped and no task
 holds more of it than one shard, so the model grows with the corpus: their number follows the number of
-distinct byte strings learned. Texts are scored in blocks: each block asks every shard for the code lengths
-of its distinct byte strings and adds the answers up by text.
+distinct byte strings learned. Texts are scored in blocks: code lengths of the most frequent byte strings,
+at most ``FREQUENT_GRAMS``, are known everywhere; a block asks the shards for those of its other distinct
+strings and adds all up by text.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,11 +34,12 @@ from ridewright.llm.common import map_batches, raw_texts, stored
 
 DEPTH = 5
 SHARD_GRAMS = 100_000
-TEXT_BLOCK = 4 << 20  # bytes of text that ask together
+TEXT_BLOCK = 8 << 20  # bytes of text that ask together
 BLOCK = 2_000_000
 FLUSH_GRAMS = 1_500_000
 FLUSH_WORDS = 400_000
 FREQUENT_WORDS = 1 << 17
+FREQUENT_GRAMS = 1 << 20
 BORDER = 0xFF  # never occurs in UTF-8: stands before the beginning and closes a text
 END = b"\n"  # never inside a token: the end of a text in the token counts
 SPREAD = 2654435761
@@ -310,6 +313,28 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
+def _frequent(depth: int, shared, least: int):
+    """The grams seen ``least`` times or more with their code lengths, as two byte strings per shard."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for grams, counts in _shards(batches):
+            often = np.sort(grams[counts >= least])
+            if len(often):
+                bits = Lookup(nodes_of(shared.value, grams, counts, depth), often).ready
+                yield pa.RecordBatch.from_pydict(
+                    {"grams": pa.array([often.tobytes()], pa.binary()), "bits": pa.array([bits.tobytes()], pa.binary())}
+                )
+
+    return step
+
+
+def nodes_of(upper: list[tuple], grams: np.ndarray, counts: np.ndarray, depth: int) -> list[tuple]:
+    """All nodes that a shard's grams can meet."""
+    if not len(grams):
+        return upper
+    return [*upper, *top_down(bottom_up(grams, counts, depth, 2), (upper[-1][1], *upper[-1][4:]), depth)]
+
+
 class Lookup:
     """Code lengths from the nodes of :func:`top_down`; ``grams`` are those learned, whose lengths are kept ready."""
 
@@ -360,6 +385,8 @@ class ContextTree:
     shards: int
     tree: DataFrame
     upper: list[tuple]
+    often: np.ndarray
+    often_bits: np.ndarray
     vocabulary: DataFrame
     train_tokens: int
     distinct_tokens: int
@@ -396,11 +423,43 @@ def fit(
     words = counted.where("word is not null").select("word", "n")
     size = words.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     frequent = words.orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS).collect()
+    upper = top_down([one, none], None, 1)
+    often, bits = frequent_grams(grams, kept, depth, upper)
     known = {bytes(r.word): r.n for r in frequent}
-    return ContextTree(depth, shards, tree, top_down([one, none], None, 1), words, size["n"], size["v"], known)
+    return ContextTree(depth, shards, tree, upper, often, bits, words, size["n"], size["v"], known)
+
+
+def frequent_grams(grams: DataFrame, tree: DataFrame, depth: int, upper: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent grams in order and their code lengths; all grams of equal counts, at most ``FREQUENT_GRAMS``."""
+    spark = grams.sparkSession
+    step = F.floor(F.log2("n") * 16)  # at most 64 x 16 rows
+    total, least = 0, None
+    for r in grams.groupBy(step.alias("s")).agg(F.count("*").alias("k"), F.min("n").alias("n")).orderBy(F.desc("s")).collect():
+        total += r.k
+        if total > FREQUENT_GRAMS:
+            break
+        least = r.n
+    if least is None:
+        return np.empty(0, U), np.empty(0)
+    schema = T.StructType([T.StructField(c, T.BinaryType()) for c in ("grams", "bits")])
+    rows = map_batches(tree, _frequent(depth, spark.sparkContext.broadcast(upper), least), schema).collect()
+    keys = np.concatenate([np.frombuffer(r.grams, U) for r in rows])
+    order = np.argsort(keys)
+    return keys[order], np.concatenate([np.frombuffer(r.bits) for r in rows])[order]
+
+
+def packed_ranks(grams: np.ndarray) -> bytes:
+    """Ascending grams as compressed differences, byte planes apart."""
+    planes = np.diff(grams, prepend=U(0)).view(np.uint8).reshape(-1, 8).T
+    return zlib.compress(planes.tobytes(), 1)
+
+
+def unpacked_ranks(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(U).ravel(), dtype=U)
 
 
-def _blocks(depth: int, shards: int, block: int):
+def _blocks(depth: int, shards: int, block: int, shared):
     """Texts in blocks of about ``block`` bytes, with the distinct grams that they ask of each shard."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -410,12 +469,13 @@ def _blocks(depth: int, shards: int, block: int):
         def out() -> pa.RecordBatch:
             buffer, begins, sizes = padded(texts, depth)
             grams = distinct_grams(buffer, begins, sizes, depth)
-            asked = [{"shard": s, "grams": grams[at].tobytes()} for s, at in by_shard(grams, shards)]
+            grams = grams[~found(shared.value[0], grams)[1]]
+            asked = [{"shard": s, "grams": packed_ranks(grams[at])} for s, at in by_shard(grams, shards)]
             return pa.RecordBatch.from_pydict(
                 {
                     "block": pa.array([place + number], pa.int64()),
                     "ids": pa.array([ids], pa.list_(kind)),
-                    "buffer": pa.array([buffer.tobytes()], pa.binary()),
+                    "buffer": pa.array([zlib.compress(buffer.tobytes(), 1)], pa.binary()),
                     "begins": pa.array([begins], pa.list_(pa.int64())),
                     "sizes": pa.array([sizes], pa.list_(pa.int64())),
                     "asked": pa.array([asked], ARROW_ASKED),
@@ -449,26 +509,23 @@ def _answers(depth: int, shared):
     """Rows sorted by shard, its counted grams first: the code lengths that each block asked for, in its order."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        upper = shared.value
-        base = (upper[-1][1], *upper[-1][4:])
         here, grams, counts, lookup = None, [], [], None
         for batch in batches:
             blocks, bits = [], []
             for row in batch.to_pylist():
                 if row["shard"] != here:
                     here, grams, counts, lookup = row["shard"], [], [], None
-                asked = np.frombuffer(row["grams"], U)
                 if row["block"] is None:
-                    grams.append(asked)
+                    grams.append(np.frombuffer(row["grams"], U))
                     counts.append(np.frombuffer(row["counts"], np.float64))
                     continue
                 if lookup is None:
                     learned = np.concatenate([np.empty(0, U), *grams])
-                    nodes = top_down(bottom_up(learned, np.concatenate([np.empty(0), *counts]), depth, 2), base, depth) if grams else []
-                    lookup = Lookup([*upper, *nodes], learned)
+                    nodes = nodes_of(shared.value, learned, np.concatenate([np.empty(0), *counts]), depth)
+                    lookup = Lookup(nodes, learned)
                     grams, counts = [], []
                 blocks.append(row["block"])
-                bits.append({"shard": here, "bits": lookup.log2_bytes(asked).astype(np.float32).tobytes()})
+                bits.append({"shard": here, "bits": lookup.log2_bytes(unpacked_ranks(row["grams"])).astype(np.float32).tobytes()})
             yield pa.RecordBatch.from_pydict(
                 {"block": pa.array(blocks, pa.int64()), "answer": pa.array(bits, ARROW_ANSWER)}
             )
@@ -478,14 +535,16 @@ def _answers(depth: int, shared):
 
 def _score(depth: int, shared, id_type: pa.DataType):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = {w: math.log10(n + 1) for w, n in shared.value[0].items()}
-        shards, known = shared.value[1], logs.keys()
+        words, shards, often = shared.value
+        logs = {w: math.log10(n + 1) for w, n in words.items()}
+        known = logs.keys()
         for batch in batches:
             for row in batch.to_pylist():
-                buffer = np.frombuffer(row["buffer"], np.uint8)
+                raw = zlib.decompress(row["buffer"])
+                buffer = np.frombuffer(raw, np.uint8)
                 begins, sizes = np.array(row["begins"], np.int64), np.array(row["sizes"], np.int64)
-                answers = {a["shard"]: np.frombuffer(a["bits"], np.float32) for a in row["answers"]}
-                texts = [row["buffer"][b : b + n - 1] for b, n in zip(row["begins"], row["sizes"], strict=True)]
+                answers = {a["shard"]: np.frombuffer(a["bits"], np.float32) for a in row["answers"] or ()}
+                texts = [raw[b : b + n - 1] for b, n in zip(row["begins"], row["sizes"], strict=True)]
                 n_tokens, n_known, base, rare = [], [], [], []
                 for raw in texts:
                     seen = Counter(tokens_of(raw))
@@ -503,7 +562,7 @@ def _score(depth: int, shared, id_type: pa.DataType):
                         "n_tokens": pa.array(n_tokens, pa.int64()),
                         "n_known": pa.array(n_known, pa.int64()),
                         "base": pa.array(base, pa.float64()),
-                        "bits": pa.array(score_block(buffer, begins, sizes, depth, shards, answers)),
+                        "bits": pa.array(score_block(buffer, begins, sizes, depth, shards, often, answers)),
                         "rare": pa.array([[{"word": w, "n": n} for w, n in x] for x in rare], ARROW_RARE),
                     }
                 )
@@ -520,13 +579,22 @@ RARE = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.Struct
 
 
 def score_block(
-    buffer: np.ndarray, begins: np.ndarray, sizes: np.ndarray, depth: int, shards: int, answers: dict[int, np.ndarray]
+    buffer: np.ndarray,
+    begins: np.ndarray,
+    sizes: np.ndarray,
+    depth: int,
+    shards: int,
+    often: tuple[np.ndarray, np.ndarray],
+    answers: dict[int, np.ndarray],
 ) -> np.ndarray:
-    """log2 probability of each text and its end from the answers of all shards, piece by piece."""
+    """log2 probability of each text and its end from frequent grams and the shards' answers, piece by piece."""
     grams = distinct_grams(buffer, begins, sizes, depth)
     bits = np.empty(len(grams))
-    for shard, at in by_shard(grams, shards):
-        bits[at] = answers[shard]
+    at, hit = found(often[0], grams)
+    bits[hit] = often[1][at[hit]]
+    rest = np.flatnonzero(~hit)
+    for shard, mine in by_shard(grams[rest], shards):
+        bits[rest[mine]] = answers[shard]
     out = np.zeros(len(begins))
     for at in range(depth, len(buffer), BLOCK):
         end = min(at + BLOCK, len(buffer))
@@ -557,14 +625,15 @@ def score(docs: DataFrame, model: ContextTree, *, id_col: str = "doc_id", text_c
             T.StructField("asked", ASKED),
         ]
     )
-    blocks = stored(map_batches(rows, _blocks(model.depth, model.shards, TEXT_BLOCK), schema), "blocks")
+    often = spark.sparkContext.broadcast((model.often, model.often_bits))
+    blocks = stored(map_batches(rows, _blocks(model.depth, model.shards, TEXT_BLOCK, often), schema), "blocks")
     asked = blocks.select("block", F.explode("asked").alias("a")).select("a.shard", "block", "a.grams", F.lit(None).cast("binary").alias("counts"))
     both = model.tree.select("shard", F.lit(None).cast("long").alias("block"), "grams", "counts").unionByName(asked)
     both = both.repartition(model.shards, "shard").sortWithinPartitions("shard", F.col("block").asc_nulls_first())
     schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("answer", ANSWER)])
     answers = map_batches(both, _answers(model.depth, spark.sparkContext.broadcast(model.upper)), schema)
     answers = answers.groupBy("block").agg(F.collect_list("answer").alias("answers"))  # one per shard
-    shared = spark.sparkContext.broadcast((model.frequent, model.shards))
+    shared = spark.sparkContext.broadcast((model.frequent, model.shards, (model.often, model.often_bits)))
     longs = [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_tokens", "n_known")]
     doubles = [T.StructField(c, T.DoubleType()) for c in ("base", "bits")]
     schema = T.StructType(
@@ -578,7 +647,7 @@ def score(docs: DataFrame, model: ContextTree, *, id_col: str = "doc_id", text_c
         ]
     )
     step = _score(model.depth, shared, to_arrow_type(rows.schema["id"].dataType))
-    answered = blocks.drop("asked").join(answers, "block")
+    answered = blocks.drop("asked").join(answers, "block", "left")
     scored = stored(map_batches(answered, step, schema, rows=4), "scores")
     met = scored.select("block", "place", F.explode("rare").alias("r")).select("block", "place", F.col("r.word").alias("word"), F.col("r.n").alias("k"))
     met = met.join(model.vocabulary, "word").groupBy("block", "place")

@@ -111,13 +111,16 @@ def test_bytes_after_a_context_sum_to_one():
     buffer, begins, sizes = context_tree.padded([text, b"", b"qqq"], depth)
     asked = context_tree.distinct_grams(buffer, begins, sizes, depth)
     answers = {s: lookup.log2_bytes(asked[at]) for s, at in context_tree.by_shard(asked, shards)}
-    whole = context_tree.score_block(buffer, begins, sizes, depth, shards, answers)
+    none = (np.empty(0, np.uint64), np.empty(0))
+    whole = context_tree.score_block(buffer, begins, sizes, depth, shards, none, answers)
     assert whole[0] / len(text) > -0.5 and whole[2] / 3 < -4
     first = context_tree.grams_of(buffer, depth, len(buffer), depth)[: sizes[0]]
     assert whole[0] == pytest.approx(lookup.log2_bytes(first).sum())
 
 
-def test_sharded_scores_equal_the_whole_tree(spark):
+@pytest.mark.parametrize("frequent", [1 << 20, 30, 0])
+def test_sharded_scores_equal_the_whole_tree(spark, monkeypatch, frequent):
+    monkeypatch.setattr(context_tree, "FREQUENT_GRAMS", frequent)
     texts = ["abracadabra " * 9, "", "the quiet river", "abra the river", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
     depth, raw = 3, [(t or "").encode() for t in texts]
