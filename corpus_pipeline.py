@@ -15,6 +15,7 @@ from ridewright.llm import decontamination, mixing, near_duplicates, quality, to
 from ridewright.llm.common import remainder, stored, table
 
 ORACLE_SQL: str | None = None
+KEPT_SHARE = 0.5  # of the clean tokens that the mixed corpus holds
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -41,9 +42,9 @@ def keep_unseen(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def keep_mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The sample that follows the target weights, with its probability."""
+    """The sample of ``KEPT_SHARE`` of the tokens that follows the target weights, with its probability."""
     columns = docs.columns
-    mixed = mixing.mix(docs, prefix="mix_")
+    mixed = mixing.mix(docs, prefix="mix_", kept_share=KEPT_SHARE)
     return mixed.where("mix_kept").select(*(f"`{c}`" for c in columns), "mix_topic", "mix_n_tokens", "mix_probability")
 
 

@@ -3,6 +3,10 @@
 Token counts are summed to cells (source, language, topic). The cell weights are raked to the three
 target marginals in turn until they settle. A document is then kept with a probability proportional
 to weight / tokens of its cell, decided by a hash of its id, so that a rerun keeps the same rows.
+
+Without a kept share the largest ratio gets probability one, so the scarcest cell for its target decides how
+much of all others is kept. With one, the sample has that share of the tokens: categories and cells that
+cannot give what their targets ask are kept whole, and the others make up for them.
 """
 
 from __future__ import annotations
@@ -50,22 +54,48 @@ def flattened(cells: DataFrame, dimension: str, temperature: float) -> DataFrame
     return sums.select("category", F.pow("n", F.lit(temperature)).alias("share"))
 
 
-def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
+def filled(rows: DataFrame, budget: float) -> DataFrame:
+    """``rows`` (share, room) with amount: the least of room and a level times share, ``budget`` in all.
+
+    The level rises while more rows are full; where no room is left, amounts sum to less than ``budget``.
+    """
+    share, room = F.col("share"), F.col("room")
+    level, n_full = 0.0, -1
+    while True:
+        full = (share > 0) & (room <= F.lit(level) * share)
+        sums = rows.agg(
+            F.count_if(full).alias("n"),
+            F.sum(F.when(full, room).otherwise(0.0)).alias("given"),
+            F.sum(F.when(~full, share).otherwise(0.0)).alias("share"),
+        ).first()
+        if sums["n"] == n_full:
+            break
+        n_full = sums["n"]
+        level = max(0.0, budget - sums["given"]) / sums["share"] if sums["share"] else float("inf")
+    amount = F.when(share > 0, F.least(room, F.lit(level) * share)).otherwise(0.0)
+    return rows.withColumn("amount", amount)
+
+
+def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = SWEEPS, budget: float | None = None) -> DataFrame:
     """The cells (dimensions, tokens) with a column weight whose marginals follow ``targets``.
 
     Each target lists (category, share) with one row per category; null is a category of its own.
     Categories that no cell has are left out, those without a target get share 0, and shares are scaled
     to sum to one over the categories present. Few cells are held in one partition, where the windows
     need no shuffle; a larger table is shuffled by each dimension in turn. Lineage is cut every few
-    sweeps.
+    sweeps. With a ``budget`` the weights sum to it and none exceeds the tokens of its cell; a category whose
+    goal exceeds its tokens gives them all, and the goals of the others rise in proportion.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0.0
     out = cells.withColumn("weight", F.col("tokens"))
     for dimension, target in targets.items():
-        present = cells.select(F.col(dimension).alias("c")).distinct()
-        present = cut_lineage(target.join(present, F.col("category").eqNullSafe(F.col("c"))).select("c", "share"))
-        shares = present.agg(F.sum("share")).first()[0] or 1.0
-        goal = present.select("c", (F.col("share") / F.lit(shares) * F.lit(total)).alias(f"goal_{dimension}"))
+        present = cells.groupBy(F.col(dimension).alias("c")).agg(F.sum("tokens").alias("room"))
+        present = cut_lineage(target.join(present, F.col("category").eqNullSafe(F.col("c"))).select("c", "share", "room"))
+        if budget is None:
+            shares = present.agg(F.sum("share")).first()[0] or 1.0
+            goal = present.select("c", (F.col("share") / F.lit(shares) * F.lit(total)).alias(f"goal_{dimension}"))
+        else:
+            goal = filled(present, budget).select("c", F.col("amount").alias(f"goal_{dimension}"))
         out = out.join(goal, F.col(dimension).eqNullSafe(F.col("c")), "left").drop("c").fillna(0.0, [f"goal_{dimension}"])
     out = cut_lineage(out)
     if out.count() <= SMALL_CELLS:
@@ -74,10 +104,15 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = SWEEP
         for dimension in targets:
             margin = F.sum("weight").over(Window.partitionBy(dimension))
             raised = F.when(margin > 0, F.col("weight") * F.col(f"goal_{dimension}") / margin).otherwise(0.0)
-            out = out.withColumn("weight", raised)
+            out = out.withColumn("weight", raised if budget is None else F.least(raised, F.col("tokens")))
         if sweep % SWEEPS_PER_JOB == 0 or sweep == sweeps:
             out = cut_lineage(out)
-    return out.drop(*(f"goal_{d}" for d in targets))
+    out = out.drop(*(f"goal_{d}" for d in targets))
+    if budget is None:
+        return out
+    # what full cells could not take goes to the others in proportion
+    left = out.withColumnsRenamed({"weight": "share", "tokens": "room"})
+    return filled(left, budget).drop("share").withColumnsRenamed({"room": "tokens", "amount": "weight"})
 
 
 def mix(
@@ -90,6 +125,7 @@ def mix(
     lang_col: str = "lang",
     topic: Column | None = None,
     token_budget: float | None = None,
+    kept_share: float | None = None,
     sweeps: int = SWEEPS,
     seed: str = SEED,
     prefix: str = "",
@@ -99,7 +135,9 @@ def mix(
     ``targets`` maps source, lang and topic to tables (category, share); a dimension without one takes
     the token shares of its categories, flattened by its temperature. Probabilities are scaled so that
     the largest is one, or lower where that would exceed ``token_budget`` expected tokens, so all
-    marginals of the sample follow the targets in expectation. Null categories form a category,
+    marginals of the sample follow the targets in expectation; the scarcest cell bounds the whole sample
+    then. ``kept_share`` asks for that share of all tokens instead (at most ``token_budget``): cells too
+    small for their target are kept whole, the others follow the targets. Null categories form a category,
     null and empty texts have no tokens and are never kept, equal ids share their draw, and columns of
     ``docs`` named like a result are replaced.
     """
@@ -111,10 +149,16 @@ def mix(
     cells = cut_lineage(cells.agg(F.sum(names["n_tokens"]).cast("double").alias("tokens")).where("tokens > 0"))
     given = targets or {}
     goals = {d: given[d] if d in given else flattened(cells, d, TEMPERATURES[d]) for d in dimensions}
-    raked = rake(cells, goals, sweeps).withColumn("ratio", F.col("weight") / F.col("tokens"))
+    budget = None
+    if kept_share is not None:
+        budget = kept_share * (cells.agg(F.sum("tokens")).first()[0] or 0.0)
+        budget = budget if token_budget is None else min(budget, token_budget)
+    raked = rake(cells, goals, sweeps, budget).withColumn("ratio", F.col("weight") / F.col("tokens"))
     number = raked.agg(F.max("ratio").alias("top"), F.sum("weight").alias("all"), F.count("*").alias("n")).first()
     scale = 1 / number["top"] if number["top"] else 0.0
-    if token_budget is not None and number["all"]:
+    if budget is not None:
+        scale = 1.0
+    elif token_budget is not None and number["all"]:
         scale = min(scale, token_budget / number["all"])
     chance = raked.select(*(F.col(d).alias(f"__{d}") for d in dimensions), (F.col("ratio") * scale).alias("__chance"))
     if number["n"] <= SMALL_CELLS:
