@@ -3,16 +3,17 @@
 A page is cut into blocks of text at block-level tags. A fixed linear classifier prices each block as
 content or boilerplate; the price is the capacity of an edge to one of two terminals. Neighbouring blocks and
 blocks near one another in the tree are joined by smoothness edges. The minimum cut, found by maximum
-flow, separates the content from the rest.
+flow, separates the content from the rest. Words in class, id and role count against what their element
+holds, but not on html, body, main and article, not as part of state names, and not on page wrappers.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import lru_cache
 from html import unescape
 
@@ -43,6 +44,9 @@ AGAINST = frozenset(
     "subscribe subscription newsletter signup login search widget copyright legal toolbar masthead topbar alert tags "
     "complementary contentinfo".split()
 )
+WHOLE = frozenset("html body main article".split())  # their names describe the page, not what they hold
+STATE_FIRST = frozenset("has no not with without tag category".split())
+STATE_LAST = frozenset("open opened closed enabled disabled collapsed expanded on off".split())
 FOR = frozenset("article content entry main post story body text prose".split())
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z", re.S
@@ -52,6 +56,7 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=]|$)|display\s*:\s*none|aria-hidden\s
 RIGHTS = re.compile(r"^\s*(?:©|\(c\)|copyright\b)|all rights reserved", re.I)
 
 ADJACENT, SIBLING = 0.6, 0.4
+MOST, NEARLY_ALL, PARAGRAPH = 0.5, 0.9, 100  # shares of the text that a wrapper holds; letters of a paragraph
 
 
 @dataclass
@@ -60,7 +65,7 @@ class Block:
     path: tuple[int, ...]
     tag: str
     outside: bool
-    against: int
+    against: tuple[int, ...]  # numbers of the elements around it with words against content
     inside: bool
     links: int
 
@@ -70,14 +75,19 @@ class Element:
     tag: str
     number: int
     outside: bool
-    against: int
+    against: tuple[int, ...]
     inside: bool
 
 
 @lru_cache(maxsize=4096)
 def names_in(attributes: str) -> tuple[int, bool, bool]:
     """(words against, a word for, hidden) of an element's attributes."""
-    words = {w for m in NAMES.finditer(attributes) for w in re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower())}
+    words: set[str] = set()
+    for m in NAMES.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            parts = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+            if len(parts) < 2 or not (parts[0] in STATE_FIRST or parts[-1] in STATE_LAST):
+                words.update(parts)
     return len(words & AGAINST), bool(words & FOR), bool(HIDDEN.search(attributes))
 
 
@@ -85,8 +95,9 @@ def names_in(attributes: str) -> tuple[int, bool, bool]:
 class Page:
     """Open elements and finished blocks while the tags of a page go by."""
 
-    stack: list[Element] = field(default_factory=lambda: [Element("", 0, False, 0, False)])
+    stack: list[Element] = field(default_factory=lambda: [Element("", 0, False, (), False)])
     blocks: list[Block] = field(default_factory=list)
+    landmarks: list[tuple[str, tuple[int, ...], tuple[int, ...]]] = field(default_factory=list)  # main, article, h1
     pieces: list[str] = field(default_factory=list)
     links: int = 0
     anchors: int = 0
@@ -126,10 +137,16 @@ class Page:
             self.stack.pop()
         up = self.stack[-1]
         bad, good, hidden = names_in(attributes) if attributes else (0, False, False)
+        named = bad > 0
+        if tag in WHOLE:
+            bad = 0
         inside = up.inside or tag in ("article", "main") or (good and not bad)
         outside = up.outside or hidden or tag in OUTSIDE or (tag == "header" and not inside)
         self.count += 1
-        self.stack.append(Element(tag, self.count, outside, up.against + bad, inside))
+        against = (*up.against, self.count) if bad else up.against
+        self.stack.append(Element(tag, self.count, outside, against, inside))
+        if not outside and (tag in ("main", "h1") or (tag == "article" and not named)):
+            self.landmarks.append((tag, tuple(e.number for e in self.stack), against))
 
     def close(self, tag: str, until: frozenset[str] = frozenset()) -> None:
         """Close the nearest open element of this name, unless one of ``until`` stands before it."""
@@ -171,9 +188,42 @@ def blocks_of(html: str) -> list[Block]:
         else:
             page.open(tag, found[3])
     page.flush()
+    wrappers = wrappers_of(page.blocks, page.landmarks)
+    if wrappers:
+        for block in page.blocks:
+            block.against = tuple(e for e in block.against if e not in wrappers)
     return page.blocks
 
 
+def wrappers_of(blocks: list[Block], landmarks: list[tuple[str, tuple[int, ...], tuple[int, ...]]]) -> set[int]:
+    """Elements with words against content that wrap the page instead of describing a part of it.
+
+    Such an element holds most of the text and all of main, article and h1 that nothing else speaks against,
+    or nearly all of the text; without main and h1 there must be no paragraph of content beside it.
+    """
+    held: Counter[int] = Counter()
+    whole = 0
+    for block in blocks:
+        if not block.outside:
+            whole += len(block.text)
+            for e in block.against:
+                held[e] += len(block.text)
+    big = {e for e, n in held.items() if n > MOST * whole}
+    if not big:
+        return big
+    marks = [(tag, path) for tag, path, against in landmarks if big.issuperset(against)]
+    beside = [b for b in blocks if len(b.text) >= PARAGRAPH and not b.outside and big.issuperset(b.against)]
+    beside = [b for b in beside if price(replace(b, against=())) > 0]
+
+    def wraps(e: int) -> bool:
+        alone = all(e in b.path for b in beside)
+        if marks and all(e in path for _, path in marks) and (alone or any(tag != "article" for tag, _ in marks)):
+            return True
+        return held[e] > NEARLY_ALL * whole and alone
+
+    return {e for e in big if wraps(e)}
+
+
 def price(block: Block) -> float:
     """Positive for content, negative for boilerplate."""
     letters = len(block.text)
