@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, folder) and works on all rows that the one before kept. ``run`` writes
 every stage to the shared folder and reads it again. The stages learn, match and search as SQL cannot,
-so there is no statement; the tests hold the whole run against a brute-force version.
+so there is no statement; tests hold the functions of the stages against brute force, not the whole run.
 """
 
 from __future__ import annotations
