@@ -20,10 +20,13 @@ WORD_TABLE = bytes(
 )
 
 
-def prepare(spark: SparkSession) -> None:
-    """Batches handed to Python hold a bounded number of rows and bytes, whatever the text lengths."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+def cut(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``rows`` rows, and of BATCH_BYTES or a single row; an empty batch stays one."""
+    for batch in batches:
+        per_row = max(1, batch.nbytes // max(1, batch.num_rows))
+        size = max(1, min(rows, BATCH_BYTES // per_row))
+        for lo in range(0, max(1, batch.num_rows), size):
+            yield batch.slice(lo, size)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -59,8 +62,8 @@ def map_batches(
     schema: T.StructType,
     rows: int = BATCH_ROWS,
 ) -> DataFrame:
-    """mapInArrow over batches of at most ``rows`` rows; the limit is a setting read when the plan is made."""
-    spark = df.sparkSession
-    prepare(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
-    return df.mapInArrow(step, schema)
+    """mapInArrow over batches of at most ``rows`` rows, cut inside the step: no session setting is touched.
+
+    Spark itself hands over at most 64 MB of rows at once.
+    """
+    return df.mapInArrow(lambda batches: step(cut(batches, rows)), schema)
