@@ -87,8 +87,65 @@ from drawn
 """
 
 
+# crc32 in SQL: a table of 256 remainders, then one step for each byte.
+CRC_TABLE = """
+crc_table as materialized (
+  select list(v order by x) remainders from (
+    select x, list_reduce([x::ubigint] || list_transform(generate_series(1, 8), lambda i: i::ubigint),
+      lambda c, i: case when c % 2 = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end) v
+    from range(256) r(x)))"""
+
+
+def _crc(text: str) -> str:
+    """crc32 of a text column, beside crc_table."""
+    octets = (
+        f"list_transform(generate_series(1, strlen({text})), "
+        f"lambda i: ('0x' || substr(hex({text}), cast(2 * i - 1 as bigint), 2))::ubigint)"
+    )
+    return (
+        f"xor(list_reduce([4294967295::ubigint] || {octets}, "
+        f"lambda c, b: xor(c >> 8, remainders[cast(xor(c, b) % 256 as bigint) + 1])), 4294967295::ubigint)"
+    )
+
+
+IMPORTANCE = rf"""
+with {CRC_TABLE},
+d as (
+  select doc_id, row_number() over () r,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws from documents),
+b as (
+  select unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) w from benchmark),
+dw as materialized (select r, w, count(*) n from (select r, unnest(ws) w from d) group by all),
+words as (select w, sum(s) s, sum(t) t from (
+  select w, n s, 0 t from dw union all select w, 0, 1 from b) group by w),
+hashed as materialized (select w, s, t, cast({_crc("w")} as bigint) % 10000 bucket from words, crc_table),
+sums as (select bucket, sum(s)::double s, sum(t)::double t from hashed group by bucket),
+whole as (select sum(s)::double s, sum(t)::double t from hashed),
+gains as (
+  select bucket, cast(floor(1000 * ln((sums.t + 1) * (whole.s + 10000) / ((sums.s + 1) * (whole.t + 10000)))) as bigint) gain
+  from sums, whole),
+sum_of as (select r, sum(n * gain) g from dw join hashed using (w) join gains using (bucket) group by r),
+weighed as (
+  select doc_id, cast(len(ws) as bigint) n_features,
+    case when len(ws) = 0 then 0 else (cast(g as bigint) - ((cast(g as bigint) % len(ws)) + len(ws)) % len(ws)) // len(ws) end weight,
+    ('0x' || substr(sha256('2024:' || coalesce(cast(doc_id as varchar), '')), 1, 8))::bigint h
+  from d left join sum_of using (r)),
+scored as (
+  select doc_id, n_features, cast(weight as bigint) weight,
+    cast(weight as bigint) + cast(floor(-1000 * ln(-ln((h + 0.5) / 4294967296.0))) as bigint) score from weighed),
+ranked as (
+  select *, row_number() over (order by n_features >= 20 desc, score desc, doc_id nulls last, n_features, weight) k,
+    count(*) filter (n_features >= 20) over () fit from scored)
+select doc_id, n_features, weight, score, case when n_features >= 20 and k <= 10 * fit // 100 then k end "rank"
+from ranked
+"""
+
+
 ORACLES: dict[str, str] = {
     "op6_target_mixing": _mixing(),
     "op9_warc_normaliser": WARC,
     "op8_benchmark_decontamination": DECONTAMINATION,
+    "op13_importance_resampling": IMPORTANCE,
 }

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridewright.llm import context_tree, decontamination, extraction, fingerprints, language, mixing, near_duplicates, quality, toxicity, warc
+from ridewright.llm import (
+    context_tree,
+    decontamination,
+    extraction,
+    fingerprints,
+    importance,
+    language,
+    mixing,
+    near_duplicates,
+    quality,
+    toxicity,
+    warc,
+)
 from ridewright.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +118,11 @@ def op10_imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     terms = fingerprints.lexicon(docs)
     return fingerprints.compare_with_next(docs, terms).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = importance.fit(docs, table(spark, folder, "benchmark"))
+    drawn = importance.draw(importance.weigh(docs, model)).withColumnRenamed("id", "doc_id")
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
