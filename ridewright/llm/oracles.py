@@ -143,9 +143,42 @@ from ranked
 """
 
 
+# Places where a word is the one p words on are grouped to stretches; one of n places is n + p words long.
+PERIODIC = rf"""
+with {CRC_TABLE},
+d as (select doc_id, row_number() over () r, coalesce(cast(doc_id as varchar), '') k,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') ws from documents),
+hashed as materialized (select doc_id, r, ws, len(ws) n, case when k = '' then 0 else cast({_crc("k")} as bigint) end h from d, crc_table),
+places as (select *, (h // 10) % n a, 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) p from hashed where n > 0),
+edited as (select r, n, case when h % 10 = 0
+  then list_transform(generate_series(0, n - 1), lambda i: ws[cast(1 + case when i < a then i else a + (i - a) % p end as bigint)])
+  else ws end ws from places),
+words as materialized (select r, n, unnest(generate_series(0, n - 1)) i, unnest(ws) w from edited),
+same as (
+  select x.r, y.i - x.i p, x.i from words x join words y on x.r = y.r and x.w = y.w and y.i > x.i and 4 * (y.i - x.i) <= x.n),
+stretches as (
+  select r, p, min(i) start, count(*) + p length
+  from (select r, p, i, i - row_number() over (partition by r, p order by i) g from same) group by r, p, g),
+runs as materialized (
+  select r, start, length, min(p) period from stretches where length >= greatest(6, 4 * p) group by all),
+lists as (
+  select r, count(*) n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) l
+  from runs group by r),
+best as (
+  select r, start, length, period, 1000 * length // period exponent_milli from runs
+  qualify row_number() over (partition by r order by length / period desc, start, period) = 1),
+gone as (select distinct r, unnest(generate_series(start + period, start + length - 1)) i from runs),
+kept as (select r, string_agg(w, ' ' order by i) t from words anti join gone using (r, i) group by r)
+select doc_id, coalesce(n_runs, 0) n_runs, start, length, period, cast(exponent_milli as bigint) exponent_milli,
+  sha256(coalesce(l, '')) runs_sha256, sha256(coalesce(t, '')) collapsed_sha256
+from d left join lists using (r) left join best using (r) left join kept using (r)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op6_target_mixing": _mixing(),
     "op9_warc_normaliser": WARC,
     "op8_benchmark_decontamination": DECONTAMINATION,
+    "op11_periodic_runs": PERIODIC,
     "op13_importance_resampling": IMPORTANCE,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from ridewright.llm import (
     language,
     mixing,
     near_duplicates,
+    periodic,
     quality,
     toxicity,
     warc,
@@ -126,3 +128,29 @@ def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     model = importance.fit(docs, table(spark, folder, "benchmark"))
     drawn = importance.draw(importance.weigh(docs, model)).withColumnRenamed("id", "doc_id")
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def repeated_end(key: object, words: list[bytes]) -> list[bytes]:
+    """For a tenth of the ids, the words from some place on repeat those after that place."""
+    h, n = zlib.crc32(b"" if key is None else str(key).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.periodic_runs(table(spark, folder, "documents"), edit=repeated_end)
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    best = F.col("strongest")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.call_function("div", best["length"] * 1000, best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
