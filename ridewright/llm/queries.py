@@ -15,6 +15,7 @@ from ridewright.llm import (
     fingerprints,
     importance,
     language,
+    licences,
     mixing,
     near_duplicates,
     periodic,
@@ -154,3 +155,21 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_licence_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.licences(table(spark, folder, "documents"))
+    starts = F.col("phrases")["start"]
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    base = F.col("phrases")["label"]
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        F.size("phrases").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, F.col("spans")["label"])).alias("labels"),
+        "score",
+    )
