@@ -592,12 +592,12 @@ from sized group by 1, 2, 3""",
 ANSWERED = """commands as (
  select event_id, ts, case when user_id % 11 = 0 then '' else concat('dev-', cast(user_id as varchar)) end device_id, case event_type when 'view' then 'unlocked' else 'locked' end command
  from events where event_type in ('view', 'click')),
-states as (select device_id, ts, max(state) state from iot_updates where state is not null group by all),
-now as (select c.event_id, s.state from commands c asof join states s on c.device_id = s.device_id and c.ts >= s.ts),
+states as (select device_id, ts, list(distinct state) seen from iot_updates where state is not null group by all),
+now as (select c.event_id, list_contains(s.seen, c.command) done from commands c asof join states s on c.device_id = s.device_id and c.ts >= s.ts),
 later as (
- select c.event_id, min(s.ts) seen from commands c join states s on c.device_id = s.device_id and s.state = c.command and s.ts between c.ts and c.ts + interval 360 second group by all),
-answered as (select event_id, ts, device_id, command, case when device_id = '' or now.state = command then ts else seen end ack_ts,
- device_id = '' or coalesce(now.state = command, false) or seen is not null acked
+ select c.event_id, min(s.ts) seen from commands c join states s on c.device_id = s.device_id and list_contains(s.seen, c.command) and s.ts between c.ts and c.ts + interval 360 second group by all),
+answered as (select event_id, ts, device_id, command, case when device_id = '' or now.done then ts else seen end ack_ts,
+ device_id = '' or coalesce(now.done, false) or seen is not null acked
 from commands left join now using (event_id) left join later using (event_id))"""
 
 _oracle(
@@ -660,34 +660,23 @@ _oracle(
 select vehicle_id, coalesce(changed, status) status from vehicles left join last using (vehicle_id)""",
 )
 
-# Streams: rows appear as far as the watermark got, the earliest input's latest time less the delay.
+# Streams: the same rows as the batch operators give.
 
-_oracle(
-    "windowed_stream",
-    ["token_messages"],
-    f""", closed as (select max(ts) - interval 1 hour mark from token_messages)
-select t.* from ({OPERATOR_SUM} union all {NETTING}) t, closed where window_end <= mark""",
-)
+_oracle("windowed_stream", ["token_messages"], f"\n{OPERATOR_SUM} union all {NETTING}")
 
 _oracle(
     "command_ack_stream",
     ["iot_updates"],
-    f""", commands as ({_given(COMMANDS)}),
-updates as (select device_id, ts, state from iot_updates where state is not null),
-reached as (select least((select max(ts) from commands where device_id <> ''), (select max(ts) from updates)) - interval 1 hour mark),
-seconds as (select device_id, state, date_trunc('second', ts) + interval 1 second - interval 1 microsecond second_end, min(ts) first_ts from updates group by all)
-select c.ts, c.event_id, c.device_id, c.command, min(greatest(first_ts, c.ts)) filter (first_ts is not null) ack_ts
-from (select commands.* from commands, reached where device_id <> '' and ts <= mark - interval 360 second) c
-left join seconds s on s.device_id = c.device_id and s.state = c.command and second_end between c.ts and c.ts + interval 360 second
-group by all""",
+    f", {ANSWERED}\nselect event_id, device_id, command, ts, ack_ts from answered",
 )
 
+ORACLES["command_sends_stream"] = ORACLES["command_sends"]
+
 ORACLES["payment_choice_stream"] = """
-with ended as (select event_id ride_id, ts end_time from events where event_type = 'view'),
-choices as (select event_id ride_id, ts + interval 1 second * cast(event_id % 700 as int) ts, event_id % 2 = 0 by_token from events where event_type = 'view' and event_id % 5 <> 0),
-reached as (select least((select max(end_time) from ended), (select max(ts) from choices)) - interval 1 hour mark)
-select e.ride_id, end_time, coalesce(case when ts <= end_time + interval 400 second then by_token end, false) by_token
-from (select ended.* from ended, reached where end_time <= mark - interval 400 second) e left join choices using (ride_id)
+with choices as (select event_id ride_id, ts + interval 1 second * cast(event_id % 1300 - 600 as int) ts, event_id % 2 = 0 by_token
+ from events where event_type = 'view' and event_id % 5 <> 0)
+select e.event_id ride_id, e.ts end_time, coalesce(c.by_token and c.ts <= e.ts + interval 400 second, false) by_token
+from events e left join choices c on c.ride_id = e.event_id where event_type = 'view'
 """
 
 ORACLES["vehicle_lifecycle_stream"] = ORACLES["vehicle_lifecycle"]

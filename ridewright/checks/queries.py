@@ -697,8 +697,7 @@ def plain_status(v: Views) -> DataFrame:
 
 
 # -- streams ----------------------------------------------------------------------------------
-# The given events arrive as a file stream; rows that need the watermark to pass appear as far as
-# it has passed at the end of the files.
+# The given events arrive as a file stream; a closing tick at the end lets the watermark pass all of them.
 
 STREAM_DELAY = "1 hour"
 
@@ -710,34 +709,41 @@ def _naive(df: DataFrame, *columns: str) -> DataFrame:
 
 @query
 def windowed_stream(v: Views) -> DataFrame:
-    out = settlement_stream.transfers(v.streamed("token_messages"), STREAM_DELAY)
-    return _naive(drain(out, "windowed"), "window_start", "window_end")
+    out = drain(lambda ticks: settlement_stream.transfers(v.streamed("token_messages"), STREAM_DELAY, ticks), "windowed")
+    return _naive(out, "window_start", "window_end")
+
+
+def _exchanged(v: Views, build: Callable[..., DataFrame], label: str) -> DataFrame:
+    commands, updates = v.sql(COMMANDS, events=v.arriving("events")), v.streamed("iot_updates")
+    return drain(lambda ticks: build(commands, updates, delay=STREAM_DELAY, ticks=ticks), label)
 
 
 @query
 def command_ack_stream(v: Views) -> DataFrame:
-    events = v.arriving("events")
-    commands = v.sql(COMMANDS, events=events).where("device_id <> ''")
-    out = waiting.acknowledgements(commands, v.streamed("iot_updates"), delay=STREAM_DELAY)
-    return _naive(drain(out, "acks"), "ts", "ack_ts")
+    return _naive(_exchanged(v, waiting.acknowledgements, "acks"), "ts", "ack_ts")
+
+
+@query
+def command_sends_stream(v: Views) -> DataFrame:
+    return _naive(_exchanged(v, waiting.sends, "sends"), "sent_at")
 
 
 @query
 def payment_choice_stream(v: Views) -> DataFrame:
-    """Views end a ride, and the next event of the numbering is the rider's choice."""
+    """Views end a ride; the rider chooses up to ten minutes before that or after it."""
     ended = v.sql(
         "select event_id ride_id, ts end_time from {events} where event_type = 'view'",
         events=v.arriving("events"),
     )
     choices = v.sql(
         """
-        select event_id ride_id, ts + interval '1' second * cast(event_id % 700 as int) ts, event_id % 2 = 0 by_token
+        select event_id ride_id, ts + interval '1' second * cast(event_id % 1300 - 600 as int) ts, event_id % 2 = 0 by_token
         from {events} where event_type = 'view' and event_id % 5 <> 0
         """,
         events=v.arriving("events"),
     )
-    out = waiting.payment_choices(ended, choices, delay=STREAM_DELAY)
-    return _naive(drain(out, "choices"), "end_time")
+    out = drain(lambda ticks: waiting.payment_choices(ended, choices, delay=STREAM_DELAY, ticks=ticks), "choices")
+    return _naive(out, "end_time")
 
 
 @query
@@ -745,5 +751,5 @@ def vehicle_lifecycle_stream(v: Views) -> DataFrame:
     events = v.sql(LIFECYCLE_EVENTS, events=v.arriving("events"))
     vehicles = v.vehicles.select("vehicle_id", "status")
     known = events.join(vehicles.select("vehicle_id"), "vehicle_id")
-    out = drain(lifecycle_stream.replay_stream(known, vehicles), "lifecycle")
+    out = drain(lambda ticks: lifecycle_stream.replay_stream(known, vehicles), "lifecycle")
     return _naive(out, "ts")

@@ -17,6 +17,14 @@ RESEND_SECONDS = 60
 COMMANDS = ["locked", "unlocked"]
 
 
+def state_bits(state: Column) -> Column:
+    """A bit for each state that can be commanded, none for any other: several states of an instant fit one number."""
+    bits = F.lit(0)
+    for i, name in enumerate(COMMANDS):
+        bits = F.when(state == name, F.lit(1 << i)).otherwise(bits)
+    return bits
+
+
 def _bucket(ts: Column, seconds: int) -> Column:
     micros = F.unix_micros(ts.cast("timestamp"))
     return F.call_function("div", micros, F.lit(seconds * 1_000_000).cast("bigint"))
@@ -29,7 +37,8 @@ def acknowledged(
 
     ``commands``: device_id, ts, command and any other columns; ``updates``: device_id, ts, state.
     A device already in the commanded state acknowledges at once, and a command without a device
-    counts as done. Adds ``ack_ts`` and ``acked``.
+    counts as done. A device that reports several states for one instant is in each of them until its
+    next report. Adds ``ack_ts`` and ``acked``.
 
     Time is cut into buckets as long as the limit, so an answer lies in the command's bucket or
     the next one. Sorting happens per (device, bucket) over distinct instants; what crosses a
@@ -39,21 +48,21 @@ def acknowledged(
     instants = (
         updates.where(F.col("state").isNotNull() & (F.col("device_id") != ""))
         .groupBy("device_id", "ts")
-        .agg(F.max("state").alias("state"))
+        .agg(F.bit_or(state_bits(F.col("state"))).alias("states"))
     )
     asked = commands.where(F.col("device_id") != "").select("device_id", "ts", "command").distinct()
     points = (
         instants.unionByName(asked, allowMissingColumns=True)
         .withColumn("bucket", _bucket(F.col("ts"), limit))
-        .select("device_id", "bucket", "ts", "state", "command")
+        .select("device_id", "bucket", "ts", "states", "command")
     )
 
     def sighting(state: str) -> Column:
-        return F.min(F.when(F.col("state") == state, F.col("ts")))
+        return F.min(F.when(F.col("states").bitwiseAND(state_bits(F.lit(state))) != 0, F.col("ts")))
 
     piece = ["device_id", "bucket"]
     summary = points.groupBy(*piece).agg(
-        F.max_by("state", F.when(F.col("state").isNotNull(), F.col("ts"))).alias("last_state"),
+        F.max_by("states", F.when(F.col("states").isNotNull(), F.col("ts"))).alias("last_states"),
         *[sighting(s).alias(f"first_{s}") for s in COMMANDS],
     )
     along = Window.partitionBy("device_id").orderBy("bucket")
@@ -61,21 +70,21 @@ def acknowledged(
     adjacent = F.lead("bucket").over(along) == F.col("bucket") + 1
     borders = summary.select(
         *piece,
-        F.last("last_state", ignorenulls=True).over(before).alias("carried"),
+        F.last("last_states", ignorenulls=True).over(before).alias("carried"),
         *[
             F.when(adjacent, F.lead(f"first_{s}").over(along)).alias(f"later_{s}")
             for s in COMMANDS
         ],
     )
-    inside = Window.partitionBy(*piece).orderBy("ts")
-    upto = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = inside.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    # the states known at an instant come from the rows up to it, the next sightings from one pass backwards
+    up_to = Window.partitionBy(*piece).orderBy("ts").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    back_to = Window.partitionBy(*piece).orderBy(F.desc("ts")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     local = points.select(
         *piece,
         "ts",
         "command",
-        F.last("state", ignorenulls=True).over(upto).alias("now"),
-        *[sighting(s).over(onward).alias(f"next_{s}") for s in COMMANDS],
+        F.last("states", ignorenulls=True).over(up_to).alias("now"),
+        *[sighting(s).over(back_to).alias(f"next_{s}") for s in COMMANDS],
     ).where(F.col("command").isNotNull())
 
     seen_at = F.coalesce(
@@ -89,7 +98,7 @@ def acknowledged(
         "device_id",
         "ts",
         "command",
-        F.when(F.coalesce("now", "carried") == F.col("command"), F.col("ts"))
+        F.when(F.coalesce("now", "carried").bitwiseAND(state_bits(F.col("command"))) != 0, F.col("ts"))
         .when(in_time, seen_at)
         .alias("_ack"),
     )

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ridewright.operators import settlement
+from ridewright.streaming.run import timed
 
 DEFAULT_DELAY = "10 minutes"
 
 
-def transfers(messages: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
+def transfers(messages: DataFrame, delay: str = DEFAULT_DELAY, ticks: DataFrame | None = None) -> DataFrame:
     """Net transfers of each closed window; messages later than ``delay`` are dropped.
 
-    A window's rows appear once, when the watermark passes its end.
+    A window's rows appear once, when the watermark passes its end; ``ticks`` close it while no messages come.
     """
-    timed = messages.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-    return settlement.settlement_batch(timed)
+    return settlement.settlement_batch(timed(messages, "ts", delay, ticks))
