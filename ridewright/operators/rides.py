@@ -22,7 +22,7 @@ def enrich_end_ride(
     ``key`` names the open ride in a message: the ride, or the rider. Messages without an open ride, vehicle or owner are dropped; a currency without a rate
     converts at 1.
     """
-    wanted = ["ride_id", "rider_id", "vehicle_id", "start_time", "start_geohash", "distance"]
+    wanted = ["ride_id", "rider_id", "vehicle_id", "start_time", "distance", *CARRIED_OVER]
     with_ride = lookup(
         ended,
         active,
@@ -87,6 +87,10 @@ def with_local_date(rides: DataFrame, zones: DataFrame, prefix_length: int) -> D
     ).drop("_cell")
 
 
+# What the open ride hands to the summary.
+CARRIED_OVER = ["auth_transaction_id", "start_geohash", "last_geohash"]
+
+
 def ride_summaries(priced: DataFrame) -> DataFrame:
     """The row stored for a finished ride: unrated, payment method and capture still open."""
     return priced.select(
@@ -109,6 +113,7 @@ def ride_summaries(priced: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("capture_transaction_id"),
         "token_awarded",
         "distance",
+        *[F.col(c) if c in priced.columns else F.lit(None).cast("string").alias(c) for c in CARRIED_OVER],
     )
 
 
@@ -159,6 +164,7 @@ def open_rides(unlocked: DataFrame) -> DataFrame:
         F.col("battery_percentage").alias("start_battery"),
         F.col("battery_percentage").alias("last_battery"),
         F.lit(0).cast("decimal(18,3)").alias("distance"),
+        F.lit(None).cast("string").alias("auth_transaction_id"),
     )
 
 

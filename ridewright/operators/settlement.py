@@ -65,10 +65,7 @@ def payment_requests(settled: DataFrame, riders: DataFrame) -> DataFrame:
     """
     card = settled.where(~F.coalesce(F.col("paid_with_token"), F.lit(False)))
     known = lookup(card, riders, ["rider_id"], take=["payment_method_id"])
-    reward = F.when(F.col("covered"), F.lit(0).cast("decimal(28,10)")).otherwise(
-        money.reward_factor_of(F.col("token_awarded"), F.col("conversion_rate"), F.col("price"))
-    )
-    percent = ((F.col("commission_factor") + reward) * F.lit(100)).cast("decimal(28,10)")
+    percent = ((F.col("commission_factor") + reward_commission(known)) * F.lit(100)).cast("decimal(28,10)")
     return known.select(
         "ride_id",
         "rider_id",
@@ -92,6 +89,54 @@ def authorisation(kind: str, shopper: Column, currency: Column, amount: Column)
     )
 
 
+def auth_reversals(settled: DataFrame) -> DataFrame:
+    """Requests that give back what was authorised when the ride began, also for rides paid with tokens."""
+    held = settled.where(F.col("auth_transaction_id").isNotNull())
+    return held.select(
+        "ride_id",
+        messages.to_message(
+            cardTransactionType=F.lit(AUTH_REVERSAL), transactionId=F.col("auth_transaction_id")
+        ).alias("request"),
+    )
+
+
+def payments(settled: DataFrame, riders: DataFrame, captures: DataFrame) -> DataFrame:
+    """A row for each card ride that was captured.
+
+    ``captures``: ride_id, capture_id (null if it failed), captured_at; of several answers to a ride the first
+    capture counts.
+    """
+    card = settled.where(~F.coalesce(F.col("paid_with_token"), F.lit(False)))
+    taken = lookup(
+        card,
+        captures.where(F.col("capture_id").isNotNull()),
+        ["ride_id"],
+        take=["capture_id", "captured_at"],
+        first_by=["captured_at", "capture_id"],
+    )
+    known = lookup(taken, riders, ["rider_id"], take=["payment_method_id"])
+    return known.select(
+        "ride_id",
+        "owner_id",
+        "rider_id",
+        F.col("captured_at").alias("transaction_time"),
+        F.col("capture_id").alias("transaction_id"),
+        F.col("payment_method_id").alias("vaulted_shopper_id"),
+        "vendor_id",
+        "commission_factor",
+        reward_commission(known).alias("reward_commission_factor"),
+        "currency_code",
+        F.col("price").alias("amount"),
+    )
+
+
+def reward_commission(settled: DataFrame) -> Column:
+    """The share of the price that pays an uncovered reward; nothing where the owner funds it in tokens."""
+    return F.when(settled["covered"], F.lit(0).cast("decimal(28,10)")).otherwise(
+        money.reward_factor_of(settled["token_awarded"], settled["conversion_rate"], settled["price"])
+    )
+
+
 def rewards_owed(settled: DataFrame) -> DataFrame:
     """Award total of each owner's covered rides, if positive."""
     return (

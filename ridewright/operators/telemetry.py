@@ -29,6 +29,19 @@ def latest_fields(updates: DataFrame, version: list[str]) -> DataFrame:
     return newest.select("device_id", "battery.battery_percentage", "battery.battery_voltage", "state", "geohash")
 
 
+def timed_fields(updates: DataFrame, ts: str) -> DataFrame:
+    """Like :func:`latest_fields`, with the instant of each value: battery_ts, state_ts and geohash_ts."""
+    newest = latest_fields(updates, [ts])
+    located = F.col("geohash").isNotNull() | (F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    charged = F.col("battery_percentage").isNotNull() | F.col("battery_voltage").isNotNull()
+    instants = updates.groupBy("device_id").agg(
+        F.max(F.when(charged, F.col(ts))).alias("battery_ts"),
+        F.max(F.when(F.col("state").isNotNull(), F.col(ts))).alias("state_ts"),
+        F.max(F.when(located, F.col(ts))).alias("geohash_ts"),
+    )
+    return newest.join(instants, "device_id")
+
+
 def merge_telemetry(vehicles: DataFrame, newest: DataFrame) -> DataFrame:
     """Vehicles that reported, with reported fields replaced and the rest kept.
 

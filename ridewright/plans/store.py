@@ -1,37 +1,40 @@
-"""The stored tables of one deployment, and how each is keyed and partitioned."""
+"""The stored tables of one deployment, and how each is keyed and cut."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridewright import schemas
 from ridewright.sinks import tables
-
-# Tables keyed by an id are spread over this many folders, so an upsert rewrites only the folders
-# its keys fall into.
-BUCKETS = 64
+from ridewright.sinks.files import Folder
+from ridewright.sinks.versioned import VersionedTable
 
 KEYS = {
     "vehicles": ["vehicle_id"],
     "owners": ["owner_id"],
     "riders": ["rider_id"],
     "rates": ["currency_code"],
-    "active_rides": ["rider_id"],
+    "active_rides": ["rider_id", "ride_id"],
+    "authorisations": ["ride_id"],
     "rides_summary": ["ride_id"],
+    "rides_ended": ["ride_id"],
     "vehicle_stats_daily": ["vehicle_id", "date"],
     "owner_stats_daily": ["owner_id", "date"],
-    "search_results": ["prefix_length", "prefix", "page"],
-    "job_states": ["job_id"],
+    "payments": ["ride_id"],
+    "transfers": ["transfer_id"],
 }
 DATED = {
     "rides_summary": "effective_date",
+    "rides_ended": "end_day",
     "vehicle_stats_daily": "date",
     "owner_stats_daily": "date",
 }
+EXPIRING = ["job_states", "search_results"]
 
 
 def ride_key(rider: Column, vehicle: Column, start: Column) -> Column:
@@ -43,59 +46,44 @@ def ride_key(rider: Column, vehicle: Column, start: Column) -> Column:
 class Store:
     spark: SparkSession
     folder: str
-    buckets: int = BUCKETS
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def partition(self, name: str) -> str:
-        return DATED.get(name, "bucket")
+    def table(self, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, self.path(name), schemas.TABLES[name], KEYS[name], DATED.get(name))
 
-    def read(self, name: str) -> DataFrame:
-        """A table without its bucket column; an unwritten table with a known schema is empty."""
-        stored = tables.stored(self.spark, self.path(name))
-        if stored is None:
-            return self.spark.createDataFrame([], schemas.TABLES[name])
-        return stored.drop("bucket")
+    def read(self, name: str, keys: DataFrame | None = None, parts: Sequence[object] | None = None) -> DataFrame:
+        """A table, none of it before its first write; ``keys`` or ``parts`` restrict the files that are read."""
+        return self.table(name).read(keys, parts)
 
-    def _placed(self, name: str, df: DataFrame) -> DataFrame:
-        if name in DATED:
-            return df
-        return df.withColumn("bucket", F.pmod(F.xxhash64(KEYS[name][0]), F.lit(self.buckets)))
+    def put(self, name: str, rows: DataFrame, at: str | Column, job: str, batch: int) -> None:
+        self.table(name).put(rows, at, job, batch)
 
-    def upsert(self, name: str, df: DataFrame, version: Sequence[str]) -> None:
-        tables.upsert(
-            self._placed(name, df), self.path(name), KEYS[name], version, self.partition(name)
-        )
+    def set(
+        self, name: str, rows: DataFrame, at: str | Column, columns: Mapping[str, Column], job: str, batch: int
+    ) -> None:
+        self.table(name).set(rows, at, columns, job, batch)
+
+    def remove(self, name: str, rows: DataFrame, at: str | Column, job: str, batch: int) -> None:
+        self.table(name).remove(rows, at, job, batch)
 
-    def update(self, name: str, delta: DataFrame, columns: dict[str, Column]) -> None:
-        if tables.stored(self.spark, self.path(name)) is not None:
-            tables.update(
-                self.spark,
-                self.path(name),
-                self._placed(name, delta),
-                KEYS[name],
-                columns,
-                self.partition(name),
-            )
-
-    def delete(self, name: str, gone: DataFrame) -> None:
-        if tables.stored(self.spark, self.path(name)) is not None:
-            tables.delete(
-                self.spark, self.path(name), self._placed(name, gone), KEYS[name], self.partition(name)
-            )
-
-    def replace_days(self, name: str, df: DataFrame) -> None:
-        """Write whole days; days not in ``df`` stay as they are."""
-        tables.replace_partitions(df, self.path(name), DATED[name])
+    def upkeep(self, now: datetime) -> None:
+        """Compact what has grown, and remove what no reader needs any more or what has expired (UTC)."""
+        for name in KEYS:
+            if self.table(name).exists():
+                self.table(name).compact()
+                self.table(name).vacuum()
+        for name in EXPIRING:
+            tables.remove_expired(self.spark, self.path(name), now)
 
     def stage(self, job: str, batch_id: int, df: DataFrame) -> DataFrame:
         """The rows a micro-batch computed, written once per batch id and read back.
 
-        A repeated batch gets the rows of the first attempt, whatever was stored since.
+        A repeated batch gets the rows of the first attempt that was finished, whatever was stored since.
         """
         path = f"{self.folder}/staged/{job}/batch={batch_id}"
-        if tables.stored(self.spark, path) is None:
+        if not Folder(self.spark, path).complete():
             df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -105,6 +93,18 @@ class Store:
             f"{self.folder}/outbox/{job}/batch={batch_id}"
         )
 
+    def land(self, name: str, job: str, batch_id: int, rows: DataFrame) -> None:
+        """Rows for a stream that reads ``path(name)``; a batch that was landed is not landed again."""
+        path = f"{self.path(name)}/{job}/batch={batch_id}"
+        if not Folder(self.spark, path).complete():
+            rows.write.mode("overwrite").parquet(path)
+
+    def landed(self, name: str, schema: str) -> DataFrame:
+        """What was landed under a name, as a stream."""
+        if not Folder(self.spark, self.path(name)).exists():
+            self.spark.createDataFrame([], schema).write.mode("append").parquet(f"{self.path(name)}/none")
+        return self.spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(self.path(name))
+
     def append_ledger(self, name: str, entries: DataFrame, job: str, batch_id: int) -> None:
         entries.write.mode("overwrite").parquet(f"{self.path(name)}/job={job}/batch={batch_id}")
 

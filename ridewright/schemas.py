@@ -9,6 +9,8 @@ TEXT, FLAG, INT, SHORT = T.StringType(), T.BooleanType(), T.IntegerType(), T.Sho
 FLOAT, INSTANT = T.FloatType(), T.TimestampType()
 MONEY, RATE, FACTOR = T.DecimalType(18, 2), T.DecimalType(11, 6), T.DecimalType(7, 6)
 DISTANCE, BATTERY = T.DecimalType(18, 3), T.DecimalType(10, 4)
+DAY, COUNT = T.DateType(), T.LongType()
+SUM, FEE, AWARD = T.DecimalType(36, 10), T.DecimalType(26, 8), T.DecimalType(28, 8)
 
 
 def _struct(**fields: T.DataType) -> T.StructType:
@@ -65,6 +67,12 @@ MESSAGES = {
         alarm=FLAG,
         state=TEXT,
     ),
+    "payment-choice": _struct(
+        riderId=TEXT,
+        vehicleId=TEXT,
+        startTime=INSTANT,
+        paymentMethodToken=FLAG,
+    ),
     "update-balance": _struct(
         riderId=TEXT,
         vehicleId=TEXT,
@@ -102,6 +110,7 @@ TABLES = {
         battery_beta=BATTERY,
         geo_hash=TEXT,
         device_state=TEXT,
+        in_transition=FLAG,
     ),
     "owners": _struct(
         owner_id=TEXT,
@@ -133,5 +142,90 @@ TABLES = {
         start_battery=INT,
         last_battery=INT,
         distance=DISTANCE,
+        auth_transaction_id=TEXT,
+    ),
+    "authorisations": _struct(
+        ride_id=TEXT,
+        auth_transaction_id=TEXT,
+    ),
+}
+_RIDE = dict(
+    ride_id=TEXT,
+    rider_id=TEXT,
+    vehicle_id=TEXT,
+    owner_id=TEXT,
+    start_time=INSTANT,
+    end_time=INSTANT,
+    effective_date=DAY,
+    parking_image_url=TEXT,
+    rating=INT,
+    price=MONEY,
+    currency_code=TEXT,
+    conversion_rate=RATE,
+    commission=FEE,
+    commission_factor=FACTOR,
+    token_share=FACTOR,
+    paid_with_token=FLAG,
+    capture_transaction_id=TEXT,
+    token_awarded=AWARD,
+    distance=DISTANCE,
+    auth_transaction_id=TEXT,
+    start_geohash=TEXT,
+    last_geohash=TEXT,
+)
+_RATINGS = {f"rating_{k}_count": COUNT for k in range(1, 6)}
+TABLES |= {
+    "rides_summary": _struct(**_RIDE),
+    # the same rides by the day on which they ended, for runs that look back from now
+    "rides_ended": _struct(**_RIDE, end_day=DAY),
+    "vehicle_stats_daily": _struct(
+        vehicle_id=TEXT,
+        date=DAY,
+        owner_id=TEXT,
+        currency_code=TEXT,
+        rides_count=COUNT,
+        fiat_revenue=SUM,
+        token_revenue=SUM,
+        **_RATINGS,
+        last_parking_image_url=TEXT,
+        rides_accumulate=COUNT,
+        fiat_accumulate=SUM,
+        token_accumulate=SUM,
+    ),
+    "owner_stats_daily": _struct(
+        owner_id=TEXT,
+        date=DAY,
+        currency_code=TEXT,
+        vehicles_count=COUNT,
+        rides_count=COUNT,
+        fiat_revenue=SUM,
+        token_revenue=SUM,
+        rides_accumulate=COUNT,
+        fiat_accumulate=SUM,
+        token_accumulate=SUM,
+    ),
+    "payments": _struct(
+        ride_id=TEXT,
+        owner_id=TEXT,
+        rider_id=TEXT,
+        transaction_time=INSTANT,
+        transaction_id=TEXT,
+        vaulted_shopper_id=TEXT,
+        vendor_id=TEXT,
+        commission_factor=FACTOR,
+        reward_commission_factor=T.DecimalType(28, 10),
+        currency_code=TEXT,
+        amount=MONEY,
+    ),
+    "transfers": _struct(
+        transfer_id=TEXT,
+        from_address=TEXT,
+        to_address=TEXT,
+        owner_id=TEXT,
+        transaction_type=TEXT,
+        amount=T.DecimalType(28, 2),
+        queued_at=INSTANT,
+        state=TEXT,
+        changed_at=INSTANT,
     ),
 }

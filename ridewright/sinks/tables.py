@@ -1,19 +1,22 @@
-"""Keyed tables on plain Parquet. One writer per table; readers see whole partitions."""
+"""Rows that expire, and ledgers, on plain Parquet. Keyed tables are in :mod:`ridewright.sinks.versioned`."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ridewright.operators import keyed
-from ridewright.session import cut_lineage
+from ridewright.sinks.files import Folder
+
+# Expiring rows are kept in folders by the hour until which they live, in UTC.
+HOUR_SQL, HOUR_PYTHON = "yyyyMMddHH", "%Y%m%d%H"
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None before its first write."""
+    """The rows at ``path``, or None before their first write."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
@@ -22,70 +25,37 @@ def stored(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def upsert(
-    incoming: DataFrame, path: str, keys: Sequence[str], version: Sequence[str], partition: str
-) -> None:
-    """Last write wins by key. Only partitions with incoming rows are read and replaced.
-
-    ``partition`` must be part of the key or depend on it. The merged rows are checkpointed
-    before the overwrite, so a failed write can be repeated from them.
-    """
-    spark = incoming.sparkSession
-    table = stored(spark, path)
-    if table is None:
-        newest = keyed.latest_per_key(incoming, keys, version)
-        newest.write.partitionBy(partition).parquet(path)
-        return
-    touched = incoming.select(partition).distinct()
-    existing = table.join(touched, partition, "left_semi").select(*incoming.columns)
-    replace_partitions(cut_lineage(keyed.merge_latest(existing, incoming, keys, version)), path, partition)
-
-
-def update(
-    spark: SparkSession,
-    path: str,
-    delta: DataFrame,
-    keys: Sequence[str],
-    columns: dict[str, Column],
-    partition: str,
-) -> None:
-    """Partial-column update of stored rows; ``delta`` carries the partition column."""
-    table = spark.read.parquet(path)
-    touched = delta.select(partition).distinct()
-    existing = table.join(touched, partition, "left_semi").select(*table.columns)
-    replace_partitions(cut_lineage(keyed.apply_update(existing, delta, keys, columns)), path, partition)
-
-
-def delete(spark: SparkSession, path: str, gone: DataFrame, keys: Sequence[str], partition: str) -> None:
-    """Remove stored rows by key; ``gone`` carries the partition column.
-
-    A partition that loses its last row keeps one empty file, so the overwrite reaches it.
-    """
-    table = spark.read.parquet(path)
-    touched = gone.select(partition).distinct()
-    existing = table.join(touched, partition, "left_semi").select(*table.columns)
-    kept = cut_lineage(keyed.delete_keys(existing, gone, keys))
-    emptied = touched.join(kept.select(partition).distinct(), partition, "left_anti")
-    replace_partitions(kept, path, partition)
-    # partitions are bounded by the calendar, so their names fit the driver
-    for row in emptied.collect():
-        empty = kept.drop(partition).limit(0).coalesce(1)
-        empty.write.mode("overwrite").parquet(f"{path}/{partition}={row[0]}")
-
-
-def replace_partitions(rows: DataFrame, path: str, partition: str) -> None:
-    """Overwrite the partitions ``rows`` has and leave all others; ``rows`` must not read them."""
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-
-
-def append_expiring(df: DataFrame, path: str, written_at: str, seconds: int) -> None:
-    """Append rows that readers stop seeing ``seconds`` after they were written."""
-    keyed.with_expiry(df, written_at, seconds).write.mode("append").parquet(path)
+def _hour(instant: Column) -> Column:
+    return F.date_format(instant.cast("timestamp"), HOUR_SQL)
+
+
+def write_expiring(rows: DataFrame, path: str, written_at: str, seconds: int, job: str, batch: int) -> None:
+    """Rows that readers stop seeing ``seconds`` after they were written; a repeated batch replaces its own."""
+    stamped = keyed.with_expiry(rows, written_at, seconds)
+    placed = stamped.withColumn("until", _hour(F.col("expires_at")))
+    placed.write.mode("overwrite").partitionBy("until").parquet(f"{path}/job={job}/batch={batch}")
+
+
+def live(spark: SparkSession, path: str, as_of: Column, schema: str) -> DataFrame:
+    """Rows of ``schema`` that have not expired at ``as_of``; folders of past hours are not read."""
+    marks = "expires_at timestamp, job string, batch bigint, until string"
+    if not Folder(spark, path).names():
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(f"{schema}, {marks}").parquet(path).where(F.col("until") >= _hour(as_of))
+    return keyed.live_rows(rows, as_of).drop("expires_at", "job", "batch", "until")
+
+
+def remove_expired(spark: SparkSession, path: str, now: datetime) -> int:
+    """Remove the batches of which every row has expired before the hour of ``now`` (UTC); returns their number."""
+    folder, hour, removed = Folder(spark, path), now.strftime(HOUR_PYTHON), 0
+    for job in folder.names():
+        for batch in folder.names(job):
+            name = f"{job}/{batch}"
+            hours = [h.removeprefix("until=") for h in folder.names(name)]
+            if folder.complete(name) and all(h < hour for h in hours):
+                folder.remove(name)
+                removed += 1
+    return removed
 
 
 def append_ledger(entries: DataFrame, path: str, batch_id: int | None = None) -> None:

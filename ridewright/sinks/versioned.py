@@ -7,7 +7,7 @@ older than it is gone, whenever it arrives. The merge takes maxima only, so the
 
 ``compact`` merges pending changes into the base of the parts they touch, once they are a stated share of it, and
 publishes a new list of base folders. A reader takes the newest list and the changes that it does not hold yet.
-Tables without a date are cut by a hash of the key into as many parts as their size asks for.
+Tables without a date are cut by a hash of the first key column into as many parts as their size asks for.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +28,15 @@ PART_BYTES = 128 << 20
 COMPACT_SHARE = 0.2
 NO_PART = "none"
 VERSION = T.StructType(
-    [T.StructField("at", T.TimestampType()), T.StructField("by", T.StringType()), T.StructField("tie", T.LongType())]
+    [
+        T.StructField("at", T.TimestampType()),
+        T.StructField("rank", T.IntegerType()),
+        T.StructField("by", T.StringType()),
+        T.StructField("tie", T.LongType()),
+    ]
 )
+# Of one instant, a set comes after a put and a removal after both.
+PUT, SET, REMOVE = range(3)
 
 
 @dataclass(frozen=True)
@@ -72,15 +79,25 @@ class VersionedTable:
 
     def set(self, rows: DataFrame, at: str | Column, columns: Mapping[str, Column], job: str, batch: int) -> None:
         """Single columns, written over the columns of ``rows``; a null changes nothing, nor does an unknown key."""
-        stamp = _version(rows, at, job, batch)
+        self.set_all([(rows, at, columns)], job, batch)
+
+    def set_all(
+        self, groups: Sequence[tuple[DataFrame, str | Column, Mapping[str, Column]]], job: str, batch: int
+    ) -> None:
+        """Several sets as one batch, each with its own instants."""
+        changes = [self._sets(*group, job, batch) for group in groups]
+        self._append(reduce(DataFrame.unionByName, changes), job, batch)
+
+    def _sets(self, rows: DataFrame, at: str | Column, columns: Mapping[str, Column], job: str, batch: int) -> DataFrame:
+        stamp = _version(rows, at, SET, job, batch)
+        changed = [c for c in columns if c != self.dated]
         fresh = rows.select(
             *self._identity(rows),
-            *[e.cast(self.schema[c].dataType).alias(c) for c, e in columns.items() if c != self.dated],
+            *[columns[c].cast(self.schema[c].dataType).alias(c) for c in changed],
             stamp.alias("_stamp"),
         )
-        changed = [c for c in columns if c != self.dated]
         marks = [F.when(F.col(c).isNotNull(), F.col("_stamp")).alias(f"_v_{c}") for c in changed]
-        self._append(self._complete(fresh.select("*", *marks)), job, batch)
+        return self._complete(fresh.select("*", *marks))
 
     def remove(self, rows: DataFrame, at: str | Column, job: str, batch: int) -> None:
         """Keys that are gone from ``at`` on; rows put later stay."""
@@ -93,17 +110,17 @@ class VersionedTable:
         both = self._puts(rows, at, job, batch).unionByName(self._removals(gone, at, job, batch))
         self._append(both, job, batch)
 
-    def _identity(self, rows: DataFrame) -> list[Column]:
-        wanted = [*self.keys, *([self.dated] if self.dated and self.dated not in self.keys else [])]
+    def _identity(self, rows: DataFrame, names: Sequence[str] | None = None) -> list[Column]:
+        wanted = names or [*self.keys, *([self.dated] if self.dated and self.dated not in self.keys else [])]
         return [F.col(c).cast(self.schema[c].dataType).alias(c) for c in wanted]
 
     def _puts(self, rows: DataFrame, at: str | Column, job: str, batch: int) -> DataFrame:
-        stamp = _version(rows, at, job, batch)
+        stamp = _version(rows, at, PUT, job, batch)
         typed = rows.select(*[F.col(c).cast(self.schema[c].dataType).alias(c) for c in self.schema.names], stamp.alias("_put"))
         return self._complete(typed.select("*", *[F.col("_put").alias(f"_v_{c}") for c in self.values]))
 
     def _removals(self, rows: DataFrame, at: str | Column, job: str, batch: int) -> DataFrame:
-        return self._complete(rows.select(*self._identity(rows), _version(rows, at, job, batch).alias("_gone")))
+        return self._complete(rows.select(*self._identity(rows), _version(rows, at, REMOVE, job, batch).alias("_gone")))
 
     def _complete(self, changes: DataFrame) -> DataFrame:
         have = set(changes.columns)
@@ -124,7 +141,7 @@ class VersionedTable:
     def _part(self, buckets: int) -> Column:
         if self.dated:
             return F.coalesce(F.col(self.dated).cast("string"), F.lit(NO_PART))
-        return F.pmod(F.xxhash64(*self.keys), F.lit(buckets)).cast("string")
+        return F.pmod(F.xxhash64(self.keys[0]), F.lit(buckets)).cast("string")
 
     def _write(self, placed: DataFrame, name: str) -> None:
         # rebalancing gives a part few files, and a crowded one several
@@ -170,7 +187,8 @@ class VersionedTable:
     def read(self, keys: DataFrame | None = None, parts: Sequence[object] | None = None) -> DataFrame:
         """The live rows; with ``keys`` or ``parts`` only files are read that may hold them.
 
-        ``keys`` has the key columns, or the dated column of a dated table, whose days are then read whole.
+        ``keys`` has the first key column and perhaps others, or the dated column of a dated table, whose days
+        are then read whole.
         ``parts`` are values of the dated column.
         """
         now = self.snapshot()
@@ -191,7 +209,8 @@ class VersionedTable:
         if changed:
             rows = rows.unionByName(self._live(self._merge(self._files(merged + changed))))
         if keys is not None and not self.dated:
-            rows = rows.join(keys.select(*self._identity(keys)).distinct(), list(self.keys), "left_semi")
+            given = [k for k in self.keys if k in keys.columns]
+            rows = rows.join(keys.select(*self._identity(keys, given)).distinct(), given, "left_semi")
         return rows
 
     def _wanted(
@@ -203,7 +222,7 @@ class VersionedTable:
             return None
         if self.dated:  # as many as there are days
             return {(0, r[0]) for r in keys.select(self._part(1)).distinct().collect()}
-        typed = keys.select(*self._identity(keys))
+        typed = keys.select(*self._identity(keys, self.keys[:1]))
         # as many as there are parts
         names = typed.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), self._part(c).alias("p")) for c in cuts])))
         return {(r.c, r.p) for r in names.select("col.*").distinct().collect()}
@@ -294,11 +313,12 @@ class VersionedTable:
             self._folder.remove(f"versions/{name}")
 
 
-def _version(rows: DataFrame, at: str | Column, job: str, batch: int) -> Column:
-    """Instant, writer and, among equal ones, a hash of the row."""
+def _version(rows: DataFrame, at: str | Column, rank: int, job: str, batch: int) -> Column:
+    """Instant, kind, writer and, among equal ones, a hash of the row."""
     instant = F.col(at) if isinstance(at, str) else at
     return F.struct(
         instant.cast("timestamp").alias("at"),
+        F.lit(rank).alias("rank"),
         F.lit(f"{job}/{batch:012d}").alias("by"),
         F.xxhash64(*rows.columns).alias("tie"),
     )

@@ -6,65 +6,43 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ridewright.operators import keyed, routing, settlement
+from ridewright.operators import routing, settlement
 from ridewright.operators.lookup import lookup
 from ridewright.sinks import export, tables, topics
+from ridewright.sinks.files import Folder
 from ridewright.sources import streams
 from ridewright.sources import tables as source
 from ridewright.schemas import MESSAGES
 
 NOON = datetime(2024, 5, 1, 12)
-ROW = "id int, version int, value string, day date"
 DAYS = [date(2024, 5, d) for d in (1, 2, 3)]
 
 
-def rows(spark, *data):
-    return spark.createDataFrame(list(data), ROW)
-
-
-def content(spark, path):
-    return sorted((r.id, r.value) for r in spark.read.parquet(path).collect())
-
-
-def files(spark, path, day):
-    return {f for f in spark.read.parquet(path).inputFiles() if f"day={day}" in f}
-
-
-def test_upsert_touches_only_its_days(spark, folder):
-    path = f"{folder}/t"
-    tables.upsert(rows(spark, (1, 1, "a", DAYS[0]), (2, 1, "b", DAYS[1]), (2, 2, "c", DAYS[1])), path, ["id"], ["version"], "day")
-    before = files(spark, path, DAYS[0])
-    tables.upsert(rows(spark, (2, 1, "late", DAYS[1]), (3, 1, "d", DAYS[1])), path, ["id"], ["version"], "day")
-    assert content(spark, path) == [(1, "a"), (2, "c"), (3, "d")]
-    assert files(spark, path, DAYS[0]) == before
-
-
-def test_update_and_delete(spark, folder):
-    path = f"{folder}/t"
-    tables.upsert(rows(spark, *[(i, 1, f"v{i}", DAYS[i % 2]) for i in range(6)]), path, ["id"], ["version"], "day")
-    delta = spark.createDataFrame([(1, DAYS[1], "new"), (2, DAYS[0], None), (99, DAYS[0], "x")], "id int, day date, fresh string")
-    tables.update(spark, path, delta, ["id"], {"value": F.col("fresh")}, "day")
-    assert content(spark, path) == [(0, "v0"), (1, "new"), (2, "v2"), (3, "v3"), (4, "v4"), (5, "v5")]
-    tables.delete(spark, path, delta, ["id"], "day")
-    assert [i for i, _ in content(spark, path)] == [0, 3, 4, 5]
-    tables.delete(spark, path, spark.createDataFrame([(i, DAYS[1]) for i in (3, 5)], "id int, day date"), ["id"], "day")
-    assert [i for i, _ in content(spark, path)] == [0, 4]
-
-
 def test_dated_scan_reads_only_its_folders(spark, folder):
     path = f"{folder}/t"
-    rows(spark, *[(i, 1, "x", DAYS[i]) for i in range(3)]).withColumnRenamed("day", "effective_date").write.partitionBy("effective_date").parquet(path)
+    rows = spark.createDataFrame([(i, DAYS[i]) for i in range(3)], "id int, effective_date date")
+    rows.write.partitionBy("effective_date").parquet(path)
     scan = source.on_dates(source.table(spark, path), [DAYS[1]])
     plan = scan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(effective_date" in plan
     assert [r.id for r in scan.collect()] == [1]
 
 
-def test_expiry(spark, folder):
-    df = spark.createDataFrame([(1, NOON), (2, NOON - timedelta(seconds=300))], "id int, at timestamp_ntz")
-    tables.append_expiring(df, f"{folder}/x", "at", 300)
-    stored = spark.read.parquet(f"{folder}/x")
-    assert [r.id for r in keyed.live_rows(stored, F.lit(NOON).cast("timestamp_ntz")).collect()] == [1]
+def test_expiring_rows_keep_the_disk_flat(spark, folder):
+    path, sizes = f"{folder}/x", []
+    for batch in range(6):  # a batch each half hour, its rows live five minutes
+        at = NOON + timedelta(minutes=30 * batch)
+        rows = spark.createDataFrame([(i, at) for i in range(50)], "id int, at timestamp")
+        for _ in range(2):  # a repeated batch replaces its own
+            tables.write_expiring(rows, path, "at", 300, "job", batch)
+        tables.remove_expired(spark, path, at)
+        sizes.append(Folder(spark, path).size(""))
+        alive = tables.live(spark, path, F.lit(at + timedelta(seconds=299)), "id int, at timestamp")
+        assert alive.count() == 50
+        assert tables.live(spark, path, F.lit(at + timedelta(seconds=300)), "id int, at timestamp").count() == 0
+        assert "PartitionFilters: [isnotnull(until" in alive._jdf.queryExecution().executedPlan().toString()
+    assert max(sizes[1:]) <= 3 * sizes[0]
+    assert tables.live(spark, f"{folder}/none", F.lit(NOON), "id int").count() == 0
 
 
 def test_ledger_batches_are_idempotent(spark, folder):
