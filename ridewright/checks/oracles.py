@@ -189,7 +189,8 @@ for _name, _columns in {
     "token_price_down": "ride_id, price, rate, token_price",
     "token_award": "ride_id, token_awarded",
     "ride_summary": """ride_id, rider_id, vehicle_id, owner_id, start_time, end_time, effective_date, parking_image_url, 0 rating, price, currency_code,
- rate conversion_rate, commission, commission_factor, token_share, cast(null as boolean) paid_with_token, cast(null as varchar) capture_transaction_id, token_awarded, distance""",
+ rate conversion_rate, commission, commission_factor, token_share, cast(null as boolean) paid_with_token, cast(null as varchar) capture_transaction_id, token_awarded, distance,
+ case when k % 6 > 0 then concat('auth-', ride_id) end auth_transaction_id, concat('from-', vehicle_id) start_geohash, concat('to-', rider_id) last_geohash""",
     "effective_date_copy": """ride_id, effective_date, rider_id, vehicle_id, owner_id, start_time, end_time, parking_image_url, 0 rating, price, currency_code,
  rate conversion_rate, commission_factor, token_share, cast(null as boolean) paid_with_token""",
 }.items():
@@ -212,7 +213,7 @@ _oracle(
     ["vehicles"],
     f""", {_cells("vehicles", "vehicle_id, battery_percentage", "lat", "lon", "located")}
 select e.user_id rider_id, vehicle_id, e.ts start_time, gh start_geohash, gh last_geohash, battery_percentage start_battery,
- battery_percentage last_battery, cast(0 as decimal(18,3)) distance
+ battery_percentage last_battery, cast(0 as decimal(18,3)) distance, cast(null as varchar) auth_transaction_id
 from events e join located on vehicle_id = e.event_id % 97 where event_type = 'view'""",
 )
 
@@ -415,6 +416,26 @@ select ride_id, owner_id, covered, 'AUTH_CAPTURE' card_transaction_type, payment
 from shares join riders using (rider_id)""",
 )
 
+_oracle(
+    "auth_reversals",
+    SETTLE_VIEWS,
+    f""", {LEDGER}, {PAYABLE}
+select ride_id, concat('{{"cardTransactionType":"AUTH_REVERSAL","transactionId":"auth-', ride_id, '"}}') request
+from payable join positions using (owner_id) where k % 6 > 0""",
+)
+
+_oracle(
+    "payments",
+    [*SETTLE_VIEWS, "riders"],
+    f""", {LEDGER}, {PAYABLE}, {FOLD},
+shares as (
+ select d.*, f.covered, case when f.covered then 0 else ({_scaled("token_awarded", 2)} * {_scaled("rate", 6)} * 10000000000) // ({_scaled("price", 2)} * 1000000) end share
+ from due d join fold f on d.owner_id = f.owner_id and d.turn = f.turn)
+select ride_id, owner_id, rider_id, end_time + interval 1 minute transaction_time, concat('new-', ride_id) transaction_id,
+ payment_method_id vaulted_shopper_id, vendor_id, commission_factor, {_decimal("share", 10, "decimal(28,10)")} reward_commission_factor, currency_code, price amount
+from shares join riders using (rider_id) where k % 4 > 0""",
+)
+
 _oracle(
     "settled_deltas",
     ["owners", "token_messages"],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,8 +123,17 @@ def _ended(v: Views) -> DataFrame:
     )
 
 
+def _carried() -> list[Column]:
+    """What an open ride holds for its summary: most rides were authorised."""
+    return [
+        F.expr("case when k % 6 > 0 then concat('auth-', ride_id) end").alias("auth_transaction_id"),
+        F.concat(F.lit("from-"), F.col("vehicle_id").cast("string")).alias("start_geohash"),
+        F.concat(F.lit("to-"), F.col("rider_id").cast("string")).alias("last_geohash"),
+    ]
+
+
 def _priced(v: Views) -> DataFrame:
-    active = v.rides.select("ride_id", "rider_id", "vehicle_id", "start_time")
+    active = v.rides.select("ride_id", "rider_id", "vehicle_id", "start_time", *_carried())
     enriched = rides.enrich_end_ride(_ended(v), active, v.vehicles, v.owners, v.rates)
     return rides.price_rides(enriched)
 
@@ -419,6 +428,7 @@ def _settled(v: Views) -> DataFrame:
         "ride_id", "rider_id", "owner_id", "end_time", "price", "paid_with_token", "token_awarded",
         F.expr("case k % 2 when 0 then 'USD' else 'ILS' end").alias("currency_code"),
         F.expr("case when k % 13 > 0 then cast(0.2 + (k % 7) * 0.15 as decimal(11,6)) end").alias("conversion_rate"),
+        _carried()[0],
     )
     return settlement.fold(settlement.with_owner_terms(payable, positions))
 
@@ -447,6 +457,22 @@ def payment_requests(v: Views) -> DataFrame:
     )
 
 
+@query
+def auth_reversals(v: Views) -> DataFrame:
+    return settlement.auth_reversals(_settled(v))
+
+
+@query
+def payments(v: Views) -> DataFrame:
+    """Every fourth capture fails; rides are captured a minute after their end."""
+    captures = v.rides.select(
+        "ride_id",
+        F.expr("case when k % 4 > 0 then concat('new-', ride_id) end").alias("capture_id"),
+        (F.col("end_time") + F.expr("interval '1' minute")).alias("captured_at"),
+    )
+    return settlement.payments(_settled(v), v.riders, captures)
+
+
 @query
 def settled_deltas(v: Views) -> DataFrame:
     return settlement.settled_deltas(v.token_messages).select("event_id", "owner_id", "delta")

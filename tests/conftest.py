@@ -30,3 +30,15 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def folder(tmp_path):
     return str(tmp_path)
+
+
+@pytest.fixture
+def interpreted(spark):
+    """Many small plans: compiling each costs more than running it."""
+    names = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN", "spark.sql.shuffle.partitions": "2"}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)

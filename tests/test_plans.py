@@ -13,6 +13,8 @@ from ridewright.plans import batch, events
 from ridewright.plans.store import Store
 from ridewright.streaming.run import CLOSING, land_tick, landed_ticks, start_batches
 
+pytestmark = pytest.mark.usefixtures("interpreted")
+
 NOON = datetime(2024, 5, 1, 12, 0, 0)
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from ridewright.sinks.files import Folder
 from ridewright.sinks.versioned import VersionedTable
 
+pytestmark = pytest.mark.usefixtures("interpreted")
+
 NOON = datetime(2024, 5, 1, 12)
 ROW = T.StructType(
     [
