@@ -118,31 +118,70 @@ def cell_centre(cell: Column) -> tuple[Column, Column]:
     return lat, lon
 
 
-def with_neighbours(df: DataFrame, cell: str, out: str) -> DataFrame:
-    """One row per cell of the neighbourhood: the cell itself and its up to eight neighbours.
+def cell_code(cell: Column) -> Column:
+    """A cell as the number that its five bits a character spell; cells of one length differ in it."""
+    return F.conv(F.translate(cell, GEOHASH_DIGITS[10:], BASE32_DIGITS[10:]), 32, 10).cast("bigint")
+
+
+def code_prefix(packed: Column, length: Column) -> Column:
+    """The code of the cell of ``length`` characters that holds a 60-bit one."""
+    return _shift_right(packed, F.lit(5 * FULL_LENGTH) - length * 5)
+
+
+def code_range(code: Column, length: Column) -> tuple[Column, Column]:
+    """The least and greatest 60-bit code inside a cell."""
+    below = F.lit(5 * FULL_LENGTH) - length * 5
+    low = _shift_left(code, below)
+    return low, low + _shift_left(F.lit(1).cast("bigint"), below) - 1
+
+
+def code_text(code: Column, length: Column) -> Column:
+    digits = F.lpad(F.conv(code.cast("string"), 10, 32), length, F.lit("0"))
+    return F.translate(digits, BASE32_DIGITS[10:], GEOHASH_DIGITS[10:])
 
-    Cells keep the length of ``cell``. Longitude wraps at the date line; cells beyond a pole do not
-    exist. The offsets are exploded first, so each row spells one geohash.
+
+def with_neighbour_codes(df: DataFrame, cell: str, out: str) -> DataFrame:
+    """One row per cell of the neighbourhood, the cell itself included, as codes of the cell's length.
+
+    Longitude has every second bit of a code and latitude the others, so a step along one axis is an addition
+    that carries through the bits of the other. Longitude wraps at the date line; cells beyond a pole do not
+    exist.
     """
-    lon_idx, lat_idx = _corner(F.col("_packed"))
-    lon_bits, lat_bits = _axis_bits(F.col(cell))
-    one = F.lit(1).cast("bigint")
-    offsets = F.array(
-        *[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for y in (-1, 0, 1) for x in (-1, 0, 1)]
+    long = lambda value: F.lit(value).cast("bigint")
+    odd = F.length(F.col(cell)) % 2 == 1
+    whole = _shift_left(long(1), F.length(F.col(cell)) * 5) - 1
+    even_bits, odd_bits = whole.bitwiseAND(long(EVEN_BITS)), whole.bitwiseAND(long(EVEN_BITS << 1 & (1 << 60) - 1))
+    coded = df.withColumns(
+        {
+            "_code": cell_code(F.col(cell)),
+            # a code of an odd length ends with a bit of longitude
+            "_east": F.when(odd, even_bits).otherwise(odd_bits),
+            "_north": F.when(odd, odd_bits).otherwise(even_bits),
+            "_step": F.when(odd, long(1)).otherwise(long(2)),
+        }
     )
-    placed = df.withColumn("_packed", _packed(F.col(cell))).withColumns(
+    code, east, north, step = (F.col(c) for c in ("_code", "_east", "_north", "_step"))
+    rise = long(3) - step  # the least bit of latitude
+    lon, lat = code.bitwiseAND(east), code.bitwiseAND(north)
+    placed = coded.withColumns(
         {
-            "_lon": _shift_right(lon_idx, F.lit(AXIS_BITS) - lon_bits),
-            "_lat": _shift_right(lat_idx, F.lit(AXIS_BITS) - lat_bits),
+            "_x0": (lon - step).bitwiseAND(east),
+            "_x1": lon,
+            "_x2": (code.bitwiseOR(north) + step).bitwiseAND(east),
+            "_y0": F.when(lat != 0, (lat - rise).bitwiseAND(north)),
+            "_y1": lat,
+            "_y2": F.when(lat != north, (code.bitwiseOR(east) + rise).bitwiseAND(north)),
         }
-    ).withColumn("_by", F.explode(offsets))
-    row = F.col("_lat") + F.col("_by.y")
-    column = (F.col("_lon") + F.col("_by.x")).bitwiseAND(_shift_left(one, lon_bits) - 1)
-    text = _hash_text(
-        _shift_left(column, F.lit(AXIS_BITS) - lon_bits), _shift_left(row, F.lit(AXIS_BITS) - lat_bits)
     )
+    around = F.array(*[F.col(f"_x{i}").bitwiseOR(F.col(f"_y{j}")) for j in range(3) for i in range(3)])
     return (
-        placed.where((row >= 0) & (row < _shift_left(one, lat_bits)))
-        .withColumn(out, F.left(text, F.length(F.col(cell))))
-        .drop("_packed", "_lon", "_lat", "_by")
+        placed.withColumn(out, F.explode(around))
+        .where(F.col(out).isNotNull())
+        .drop("_code", "_east", "_north", "_step", *[f"_{axis}{i}" for axis in "xy" for i in range(3)])
     )
+
+
+def with_neighbours(df: DataFrame, cell: str, out: str) -> DataFrame:
+    """Like :func:`with_neighbour_codes`, with the neighbours spelled as geohashes."""
+    coded = with_neighbour_codes(df, cell, "_near")
+    return coded.withColumn(out, code_text(F.col("_near"), F.length(F.col(cell)))).drop("_near")

@@ -97,7 +97,7 @@ def _available_by_cell(vehicles: DataFrame, requests: DataFrame) -> DataFrame:
         vehicles.where((F.col("status") == "available") & F.col("geo_hash").isNotNull())
         .select("vehicle_id", "geo_hash", search_card().alias("card"))
         .withColumn("prefix_length", F.explode(F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>")))
-        .withColumn("cell", geo.prefix(F.col("geo_hash"), F.col("prefix_length")))
+        .withColumn("cell", geo.code_prefix(geo.cell_code(F.col("geo_hash")), F.col("prefix_length")))
     )
 
 
@@ -113,7 +113,7 @@ def search_results(
     no task or row holds a crowded cell as a whole.
     """
     searches = _searches(requests)
-    around = geo.with_neighbours(searches, "prefix", "cell")
+    around = geo.with_neighbour_codes(searches, "prefix", "cell")
     placed = _available_by_cell(vehicles, requests)
     cell = ["prefix_length", "cell"]
     search = ["prefix_length", "prefix"]

@@ -62,3 +62,29 @@ def test_neighbours_touch_and_wrap(spark):
     east, west = cells[2], cells[3]
     assert west in found[east] and east in found[west]
     assert len(found[cells[4]]) == 6  # nothing beyond the pole
+
+
+def test_codes_of_cells_are_ranges(spark):
+    rows = [(g, n) for a, b in points()[:40] for g in (bisected(a, b),) for n in (1, 2, 5, 8, 12)]
+    df = spark.createDataFrame(rows, "g string, n int")
+    cell = geo.code_prefix(geo.cell_code(F.col("g")), F.col("n"))
+    low, high = geo.code_range(cell, F.col("n"))
+    out = df.select("g", "n", geo.code_text(cell, F.col("n")).alias("text"), geo.cell_code(F.col("g")).between(low, high).alias("inside"), (high - low).alias("size"))
+    for row in out.collect():
+        assert row.text == row.g[: row.n] and row.inside and row.size == 32 ** (12 - row.n) - 1
+
+
+def test_neighbours_against_the_grid(spark):
+    """The cells around a random one are those of points one cell away."""
+    draw = random.Random(9)
+    wanted = {}
+    for _ in range(60):
+        n = draw.randint(1, 12)
+        lon_bits, lat_bits = (5 * n + 1) // 2, 5 * n // 2
+        x, y = draw.choice([0, 1, 2**lon_bits - 1, draw.randrange(2**lon_bits)]), draw.choice([0, 2**lat_bits - 1, draw.randrange(2**lat_bits)])
+        spell = lambda i, j: bisected((j + 0.5) * 180 / 2**lat_bits - 90, (i + 0.5) * 360 / 2**lon_bits - 180, n)  # noqa: E731, B023
+        wanted[spell(x, y)] = sorted(spell((x + i) % 2**lon_bits, y + j) for i in (-1, 0, 1) for j in (-1, 0, 1) if 0 <= y + j < 2**lat_bits)
+    found = {}
+    for row in geo.with_neighbours(spark.createDataFrame([(c,) for c in wanted], "cell string"), "cell", "n").collect():
+        found.setdefault(row.cell, []).append(row.n)
+    assert {c: sorted(f) for c, f in found.items()} == wanted
