@@ -388,6 +388,8 @@ select owner_id, ride_id, cast(price_cents as bigint) price_cents, covered, cast
 union all select owner_id, ride_id, null, null, null from payable join positions using (owner_id) where paid_with_token""",
 )
 
+ORACLES["settlement_fold_blocks"] = ORACLES["settlement_fold"]
+
 _oracle(
     "reward_owed",
     SETTLE_VIEWS,

@@ -422,7 +422,7 @@ def txn_type_filter(v: Views) -> DataFrame:
 # -- settlement -------------------------------------------------------------------------------
 
 
-def _settled(v: Views) -> DataFrame:
+def _settled(v: Views, **limits: int) -> DataFrame:
     positions = settlement.owner_positions(v.owners, _ledger(v))
     payable = _payable(v).select(
         "ride_id", "rider_id", "owner_id", "end_time", "price", "paid_with_token", "token_awarded",
@@ -430,7 +430,7 @@ def _settled(v: Views) -> DataFrame:
         F.expr("case when k % 13 > 0 then cast(0.2 + (k % 7) * 0.15 as decimal(11,6)) end").alias("conversion_rate"),
         _carried()[0],
     )
-    return settlement.fold(settlement.with_owner_terms(payable, positions))
+    return settlement.fold(settlement.with_owner_terms(payable, positions), **limits)
 
 
 @query
@@ -438,6 +438,13 @@ def settlement_fold(v: Views) -> DataFrame:
     return _settled(v).select("owner_id", "ride_id", "price_cents", "covered", "left_cents")
 
 
+@query
+def settlement_fold_blocks(v: Views) -> DataFrame:
+    """The fold with every owner of more than ten rides cut into blocks."""
+    folded = _settled(v, max_rows=10, block_rows=2000)
+    return folded.select("owner_id", "ride_id", "price_cents", "covered", "left_cents")
+
+
 @query
 def reward_owed(v: Views) -> DataFrame:
     return settlement.rewards_owed(_settled(v))

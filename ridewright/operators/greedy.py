@@ -25,22 +25,60 @@ from ridewright.session import cut_lineage
 ORDER = ["end_time", "ride_id", "price_cents"]
 LENGTHS = 63  # bit lengths of non-negative 62-bit cents
 NEVER = np.iinfo(np.int64).max
+_POWERS = np.int64(1) << np.arange(LENGTHS, dtype=np.int64)
+
+
+def fold_prices(
+    prices: np.ndarray, owner: np.ndarray, start: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(covered, left after each, left at the end of each owner) of rides in order, all owners together.
+
+    ``owner`` numbers the owners from 0 in the order of the rides, ``start`` has their positions. A round takes
+    every owner as far as the position keeps its bit length: shorter prices fit and add up, longer ones do not,
+    and the first price of that length that fits ends the round, as does a sum that shortens the position. A
+    round shortens a position by a bit at least, so there are no more rounds than bits.
+    """
+    covered, after = np.zeros(len(prices), bool), np.empty(len(prices), np.int64)
+    left = start.copy()
+    rows = np.arange(len(prices))
+    while len(rows):
+        price, who = prices[rows], owner[rows]
+        now = left[who]
+        # the least number of the position's bit length; 1 for an empty position, which only zero prices fit
+        least = np.int64(1) << np.maximum(0, np.searchsorted(_POWERS, left, "right") - 1).astype(np.int64)
+        floor = least[who]
+        shorter = (price < floor) & (now >= 0)
+        used = np.cumsum(np.where(shorter, price, 0))
+        head = np.flatnonzero(np.diff(who, prepend=-1))
+        length = np.diff(np.append(head, len(rows)))
+        before = used[head] - np.where(shorter[head], price[head], 0)
+        used -= np.repeat(before, length)
+        ends = (now > 0) & np.where(shorter, now - used < floor, price <= now - used)
+        # rows up to the first that ends its owner's round are settled
+        position = np.arange(len(rows))
+        last = np.minimum.reduceat(np.where(ends, position, len(rows)), head)
+        settled = position <= np.repeat(last, length)
+        at = rows[settled]
+        fits = shorter | ends
+        covered[at] = fits[settled]
+        after[at] = (now - used - np.where(ends & ~shorter, price, 0))[settled]
+        left[who[head]] = after[rows[np.minimum(last, head + length - 1)]]
+        rows = rows[~settled]
+    return covered, after, left
 
 
 def _fold(rides: DataFrame, keys: list[str]) -> DataFrame:
     """Fold the rides of each key in order; ``keys`` is the owner, or owner and block."""
 
     def advance(left, first, column):
-        covered, after = [], []
-        for new_key, start, price in zip(first, column("start_cents"), column("price_cents")):
-            if new_key:
-                left = start
-            fits = price <= left
-            if fits:
-                left -= price
-            covered.append(fits)
-            after.append(left)
-        return left, [covered, after]
+        heads = np.flatnonzero(first)
+        # rides before the first head go on with the position of the batch before
+        start = column("start_cents").to_numpy()[heads]
+        if not len(heads) or heads[0]:
+            start = np.concatenate([[left], start])
+        owner = np.cumsum(first) - int(first[0])
+        covered, after, ends = fold_prices(column("price_cents").to_numpy(), owner, start.astype(np.int64))
+        return ends[-1], [covered, after]
 
     return ordered.stream_rows(
         ordered.hashed_and_sorted(rides, keys, ORDER),
@@ -79,7 +117,7 @@ def _walk(state, first, column):
     """Carry each owner's position over block summaries up to the first block to be opened."""
     starts, opens = [], []
     for new_key, start, shorter, least, after in zip(
-        first, column("start_cents"), column("shorter"), column("least"), column("left_after")
+        first, *(column(c).to_pylist() for c in ("start_cents", "shorter", "least", "left_after"))
     ):
         left, stopped = (start, False) if new_key else state
         starts.append(None if stopped else left)

@@ -91,7 +91,7 @@ def _replay(events: DataFrame, keys: list[str]) -> DataFrame:
 
     def advance(state, first, column):
         before, after = [], []
-        for new_key, start, code in zip(first, column("start_state"), column("code")):
+        for new_key, start, code in zip(first, column("start_state").to_pylist(), column("code").to_pylist()):
             if new_key:
                 state = start
             before.append(state)
@@ -128,7 +128,7 @@ def _block_starts(blocks: DataFrame) -> DataFrame:
 
     def advance(state, first, column):
         starts = []
-        for new_key, start, moves in zip(first, column("start_state"), column("moves")):
+        for new_key, start, moves in zip(first, column("start_state").to_pylist(), column("moves").to_pylist()):
             state = start if new_key else state
             starts.append(state)
             state = moves[state]

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from math import ceil
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,6 +70,16 @@ def cut_into_blocks(
     return spark.read.schema(cut.schema).parquet(path)
 
 
+def _changes(batch: pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
+    """Whether a row's key differs from the one before it; the first row's does."""
+    out = np.zeros(batch.num_rows, bool)
+    out[0] = True
+    for name in names:
+        number = batch.column(name).dictionary_encode(null_encoding="encode").indices.to_numpy()
+        out[1:] |= number[1:] != number[:-1]
+    return out
+
+
 def stream_rows(
     df: DataFrame,
     keys: Sequence[str],
@@ -78,8 +89,8 @@ def stream_rows(
 ) -> DataFrame:
     """Pass the sorted rows of each partition through ``advance``, one Arrow batch at a time.
 
-    ``advance(carry, first, column)`` gets what it returned last, a flag per row telling where a
-    new key begins, and a function that lists a column of the batch. It returns the new carry and
+    ``advance(carry, first, column)`` gets what it returned last, an array of flags telling where a
+    new key begins, and a function that gives a column of the batch. It returns the new carry and
     the values of each added column (``adds``: name to type). Columns in ``keep`` travel along
     untouched. Memory is bounded by one batch, however many rows a key has.
     """
@@ -92,13 +103,11 @@ def stream_rows(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            first = [False] * batch.num_rows
-            for values in (batch.column(name).to_pylist() for name in names):
-                first = [f or a != b for f, a, b in zip(first, values, [None, *values])]
+            first = _changes(batch, names)
             head, tail = ([batch.column(n)[at].as_py() for n in names] for at in (0, -1))
             first[0] = head != last
             last = tail
-            carry, columns = advance(carry, first, lambda name: batch.column(name).to_pylist())
+            carry, columns = advance(carry, first, batch.column)
             made = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in kept] + made, [*kept, *added]
@@ -125,18 +134,14 @@ def stream_summaries(
         key, carry, done, types = None, None, [], []
         for batch in batches:
             types = [*[batch.schema.field(n).type for n in names], *added]
-            rows = list(zip(*[batch.column(n).to_pylist() for n in names]))
-            lo = 0
-            while lo < len(rows):
-                hi = lo + 1
-                while hi < len(rows) and rows[hi] == rows[lo]:
-                    hi += 1
-                if rows[lo] != key:
+            heads = np.flatnonzero(_changes(batch, names)).tolist() if batch.num_rows else []
+            for lo, hi in zip(heads, [*heads[1:], batch.num_rows]):
+                here = tuple(batch.column(n)[lo].as_py() for n in names)
+                if here != key:
                     if key is not None:
                         done.append((*key, *carry))
-                    key, carry = rows[lo], None
+                    key, carry = here, None
                 carry = step(carry, batch.slice(lo, hi - lo))
-                lo = hi
         if key is not None:
             done.append((*key, *carry))
         if done:

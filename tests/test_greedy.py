@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,6 +43,28 @@ def settled(frame, **limits):
     return {r.ride_id: (r.covered, r.left_cents) for r in rows}
 
 
+def test_prices_of_all_owners_at_once():
+    draw = random.Random(2)
+    for _ in range(300):
+        prices, owner, start, expected = [], [], [], []
+        for o in range(draw.randint(1, 5)):
+            left = draw.choice([-5, 0, 1, 2, 2**40, 2**61, draw.randrange(10**6)])
+            start.append(left)
+            for _ in range(draw.randint(1, 30)):
+                price = draw.choice([0, 1, draw.randrange(1000), 2 ** draw.randrange(62), draw.randrange(2**61)])
+                left -= price if price <= left else 0
+                expected.append((None, left))
+                prices.append(price)
+                owner.append(o)
+        covered, after, ends = greedy.fold_prices(np.array(prices), np.array(owner), np.array(start))
+        assert after.tolist() == [left for _, left in expected]
+        assert ends.tolist() == [expected[owner.index(o) + owner.count(o) - 1][1] for o in range(len(start))]
+        begun = {o: s for o, s in enumerate(start)}
+        for price, o, fits, left in zip(prices, owner, covered.tolist(), after.tolist(), strict=True):
+            assert fits == (price <= begun[o]) and left == begun[o] - price * fits
+            begun[o] = left
+
+
 def test_skips_and_goes_on(spark):
     owners = {1: (10000, [5000, 7000, 3000])}
     got = settled(rides(spark, owners))
