@@ -214,7 +214,7 @@ _oracle(
     f""", {_cells("vehicles", "vehicle_id, battery_percentage", "lat", "lon", "located")}
 select e.user_id rider_id, vehicle_id, e.ts start_time, gh start_geohash, gh last_geohash, battery_percentage start_battery,
  battery_percentage last_battery, cast(0 as decimal(18,3)) distance, cast(null as varchar) auth_transaction_id
-from events e join located on vehicle_id = e.event_id % 97 where event_type = 'view'""",
+from events e join located on vehicle_id = e.event_id % (select count(*) from part) where event_type = 'view'""",
 )
 
 _oracle(
@@ -230,7 +230,7 @@ from rides join located using (vehicle_id) left join zones on cell = left(gh, 5)
 _oracle(
     "auth_amount",
     ["vehicles", "riders"],
-    """, requests as (select event_id, user_id rider_id, concat('qr', cast(event_id % 300 as varchar)) qr from events)
+    """, requests as (select event_id, user_id rider_id, concat('qr', cast(event_id % (select count(*) from part) as varchar)) qr from events)
 select event_id, vehicle_id, owner_id, device_id, payment_method_id, cast(base_price as double) + cast(price_per_minute as double) * 5.0 auth_amount
 from requests join vehicles on lower(qr_code) = qr join riders using (rider_id)""",
 )
@@ -238,7 +238,7 @@ from requests join vehicles on lower(qr_code) = qr join riders using (rider_id)"
 _oracle(
     "auth_requests",
     ["vehicles", "riders", "owners"],
-    """, requests as (select event_id, event_type, user_id rider_id, concat('qr', cast(event_id % 300 as varchar)) qr from events)
+    """, requests as (select event_id, event_type, user_id rider_id, concat('qr', cast(event_id % (select count(*) from part) as varchar)) qr from events)
 select event_id, concat('{"cardTransactionType":"', case event_type when 'error' then 'AUTH_REVERSAL' else 'AUTH_ONLY' end, '","vaultedShopperId":"', payment_method_id,
  '","currency":"', currency_code, '","amount":', cast(cast(base_price + price_per_minute * 5 as decimal(18,2)) as varchar), '}') request
 from requests join vehicles on lower(qr_code) = qr join riders using (rider_id) join owners using (owner_id)""",

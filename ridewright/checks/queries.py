@@ -192,7 +192,12 @@ def ride_commands(v: Views) -> DataFrame:
 @query
 def opened_rides(v: Views) -> DataFrame:
     unlocked = lookup(
-        v.given("events").where("event_type = 'view'").select("ts", F.col("user_id").alias("rider_id"), (F.col("event_id") % 97).alias("vehicle_id")),
+        v.sql(
+            """
+            select ts, user_id rider_id, event_id % (select count(*) from {part}) vehicle_id
+            from {events} where event_type = 'view'
+            """
+        ),
         v.vehicles.withColumn("geo_hash", geo.geohash(F.col("lat"), F.col("lon"))),
         ["vehicle_id"],
         take=["geo_hash", "battery_percentage"],
@@ -232,7 +237,7 @@ def local_effective_date(v: Views) -> DataFrame:
 def auth_amount(v: Views) -> DataFrame:
     requests = v.sql(
         """
-        select event_id, user_id rider_id, concat(case when event_id % 2 = 0 then 'qr' else 'Qr' end, cast(event_id % 300 as string)) qr_code
+        select event_id, user_id rider_id, concat(case when event_id % 2 = 0 then 'qr' else 'Qr' end, cast(event_id % (select count(*) from {part}) as string)) qr_code
         from {events}
         """
     )
@@ -245,7 +250,7 @@ def auth_amount(v: Views) -> DataFrame:
 def auth_requests(v: Views) -> DataFrame:
     """Authorise on unlock; a ride that could not start is reversed (events of type error)."""
     requests = v.sql(
-        "select event_id, event_type, user_id rider_id, concat('qr', cast(event_id % 300 as string)) qr_code from {events}"
+        "select event_id, event_type, user_id rider_id, concat('qr', cast(event_id % (select count(*) from {part}) as string)) qr_code from {events}"
     )
     details = rides.unlock_details(requests, v.vehicles, v.riders, DEFAULT_RIDE_MINUTES)
     owned = lookup(details, v.owners, ["owner_id"], take=["currency_code"])

@@ -43,7 +43,7 @@ select p_partkey vehicle_id, p_partkey % (select count(*) from {supplier}) owner
  cast(34.7 + (p_partkey * 53 % 1000) * 0.0005 as double) lon,
  cast(p_partkey % 100 as int) battery_percentage,
  cast(10.0 + (p_partkey % 3) as decimal(10,4)) battery_alpha, cast(-300.0 as decimal(10,4)) battery_beta
-from {part} where p_partkey < (select cast(count(*) / 4 as int) from {part})
+from {part}
 """,
     "riders": """
 select c_custkey rider_id, cast(case when c_custkey % 10 = 0 then null else c_acctbal end as decimal(18,2)) token_balance,
@@ -58,7 +58,7 @@ select ride_id, rider_id, vehicle_id, vehicle_id % (select count(*) from {suppli
  token_awarded, cast(cast(qty as int) * 0.137 as decimal(18,3)) distance, k, line
 from (select concat(cast(l_orderkey as string), '-', cast(l_partkey as string), '-', cast(l_suppkey as string), '-', cast(l_linenumber as string)) ride_id,
   o_custkey rider_id, l_orderkey k, l_linenumber line, l_quantity qty,
-  l_partkey % (select cast(count(*) / 4 as int) from {part}) vehicle_id,
+  l_partkey vehicle_id,
   timestamp '2024-01-01 00:00:00' + interval '1' day * cast(l_orderkey % 60 as int)
    + interval '1' minute * cast((l_orderkey * 7 + l_linenumber * 31 + l_suppkey * 13) % 1380 as int) start_time,
   concat('img-', cast(l_orderkey as string), '-', cast(l_suppkey as string), '-', cast(l_linenumber as string)) parking_image_url,
