@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +29,14 @@ def cut(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch
             yield batch.slice(lo, size)
 
 
+def free_name(columns: Iterable[str], name: str) -> str:
+    """The name, behind as many underscores as it takes to be none of the columns, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write rows to the shared folder and read them back: nothing above them is computed again."""
     path = scratch_path(df.sparkSession, label)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridewright.llm.common import map_batches, raw_texts, words_of
+from ridewright.llm.common import free_name, map_batches, raw_texts, words_of
 
 WINDOW = 10
 SHARD_WORDS = 2_000_000
@@ -274,6 +274,6 @@ def with_hits(matched: DataFrame, spans_name: str = "spans") -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns unchanged, that share no window with a test text."""
-    spans = "__spans"
-    matched = match_spans(docs, benchmark, text_col=text_col, n_words_name="__n_words", spans_name=spans, **options)
+    spans, n_words = free_name(docs.columns, "__spans"), free_name(docs.columns, "__n_words")
+    matched = match_spans(docs, benchmark, text_col=text_col, n_words_name=n_words, spans_name=spans, **options)
     return matched.where(F.size(spans) == 0).select([F.col(f"`{c}`") for c in docs.columns])

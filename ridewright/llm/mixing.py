@@ -16,6 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ridewright.llm.common import free_name
 from ridewright.session import cut_lineage
 
 SWEEPS = 12
@@ -160,11 +161,12 @@ def mix(
         scale = 1.0
     elif token_budget is not None and number["all"]:
         scale = min(scale, token_budget / number["all"])
-    chance = raked.select(*(F.col(d).alias(f"__{d}") for d in dimensions), (F.col("ratio") * scale).alias("__chance"))
+    free = {n: free_name(marked.columns, f"__{n}") for n in (*dimensions, "chance")}
+    chance = raked.select(*(F.col(d).alias(free[d]) for d in dimensions), (F.col("ratio") * scale).alias(free["chance"]))
     if number["n"] <= SMALL_CELLS:
         chance = F.broadcast(chance)
-    same = [F.col(c).eqNullSafe(F.col(f"__{d}")) for d, c in dimensions.items()]
+    same = [F.col(c).eqNullSafe(F.col(free[d])) for d, c in dimensions.items()]
     out = marked.join(chance, same[0] & same[1] & same[2], "left")
-    chosen = F.when(F.col(names["n_tokens"]) > 0, F.coalesce("__chance", F.lit(0.0))).otherwise(0.0)
-    out = out.withColumn(names["probability"], chosen).drop("__chance", *(f"__{d}" for d in dimensions))
+    chosen = F.when(F.col(names["n_tokens"]) > 0, F.coalesce(free["chance"], F.lit(0.0))).otherwise(0.0)
+    out = out.withColumn(names["probability"], chosen).drop(*free.values())
     return out.withColumn(names["kept"], uniform(F.col(id_col), seed) < F.col(names["probability"]))
