@@ -156,14 +156,14 @@ def test_untouched_parts_are_scanned_without_a_shuffle(spark, folder):
 
 
 def test_parts_grow_with_the_table(spark, folder):
-    table = VersionedTable(spark, folder, ROW, ["id"], part_bytes=4000)
+    table = VersionedTable(spark, folder, ROW, ["id"], part_bytes=12_000)
     for batch, lo in enumerate((0, 400, 800)):
         table.put(rows(spark, range(lo, lo + 400)), "at", "load", batch)
         assert len(content(table)) == lo + 400
         table.compact(share=0)
         assert len(content(table)) == lo + 400
     snapshot = table.snapshot()
-    assert snapshot.buckets > 1 and len(snapshot.parts) == snapshot.buckets
+    assert 1 < len(snapshot.parts) <= snapshot.buckets
     # a batch cut for fewer parts is merged with the parts that hold its keys now
     one = rows(spark, [5], "late")
     table.put(one, F.lit(at(9)), "load", 3)
