@@ -23,16 +23,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridewright.llm.common import map_batches, raw_texts
-from ridewright.session import cut_lineage
+from ridewright.llm.common import map_batches, raw_texts, stored
 
-MAX_LABELLED = 40_000  # labelled rows that the model is fitted on, chosen by hash
 MIN_SUPPORT = 5
 MIN_G2 = 25.0
 MAX_LEXICON = 50_000
 STEMS = (3, 5, 7)
 CACHE_TOKENS = 300_000
 FLUSH_KEYS = 500_000
+N_FEATURES = 5
+UNITS = float(1 << 32)
 
 # The letters that a sign may stand for.
 LOOKALIKES = {
@@ -243,15 +243,32 @@ class Toxicity:
         return 1 / (1 + np.exp(-np.clip(features @ self.weights, -40, 40)))
 
 
+class _Forms(dict):
+    """The word and the stems that a raw token counts for."""
+
+    def __missing__(self, token: str) -> tuple[str, ...]:
+        if len(self) >= CACHE_TOKENS:
+            self.clear()
+        word = token.strip(EDGE)
+        found = self[token] = (word + "$", *(word[:n] for n in STEMS if len(word) >= n))
+        return found
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents per stem and class, and letter trigrams of the words, summed per task."""
     found: tuple[Counter, Counter] = (Counter(), Counter())
     spelled: Counter = Counter()
+    forms = _Forms()
 
     def rows() -> pa.RecordBatch:
         keys = list(found[0].keys() | found[1].keys())
+        words: Counter = Counter()
+        for token, n in spelled.items():
+            word = token.strip(EDGE)
+            if word.isalpha():
+                words[word] += n
         grams: Counter = Counter()
-        for word, n in spelled.items():
+        for word, n in words.items():
             marks = [0, 0, *map(symbol, word), 0]
             for i in range(len(marks) - 2):
                 grams[f"\t{marks[i] * 784 + marks[i + 1] * 28 + marks[i + 2]}"] += n
@@ -266,15 +283,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for raw, label in zip(raw_texts(batch.column("text")), batch.column("y").to_pylist(), strict=True):
-            tokens = [t.strip(EDGE) for t in (raw or b"").decode("utf-8", "replace").lower().split()]
-            words = set(tokens)
-            keys = {w + "$" for w in words}
-            for n in STEMS:
-                keys.update(w[:n] for w in words if len(w) >= n)
-            found[label].update(keys)
+            tokens = (raw or b"").decode("utf-8", "replace").lower().split()
+            found[label].update(set().union(*map(forms.__getitem__, set(tokens))))
             found[label]["\tdocuments"] += 1
-            spelled.update(t for t in tokens if t.isalpha())
-        if len(found[0]) + len(found[1]) > FLUSH_KEYS:
+            spelled.update(tokens)
+        if len(found[0]) + len(found[1]) + len(spelled) > FLUSH_KEYS:
             yield rows()
     yield rows()
 
@@ -301,18 +314,80 @@ def _evidence(counts: DataFrame, min_support: int, min_g2: float, max_lexicon: i
     return {r.key: r.w for r in rows}
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 30) -> np.ndarray:
-    """Newton's method for a ridge-penalised logistic curve."""
-    w = np.zeros(x.shape[1])
+def _moments(w: np.ndarray):
+    """Gradient and curvature sums of the rows (y, x) of a task in whole units of 1 / UNITS: exact in any order."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(N_FEATURES + N_FEATURES * N_FEATURES, np.int64)
+        for batch in batches:
+            x = np.array(batch.column("x").to_pylist(), np.float64).reshape(-1, N_FEATURES)
+            y = batch.column("y").to_numpy(zero_copy_only=False)
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            curved = (x[:, :, None] * x[:, None, :]).reshape(len(x), -1) * (p * (1 - p))[:, None]
+            terms = np.concatenate([x * (y - p)[:, None], curved], axis=1)
+            sums += np.rint(terms * UNITS).astype(np.int64).sum(axis=0)
+        yield pa.RecordBatch.from_pydict({"sums": pa.array([sums.tolist()], pa.list_(pa.int64()))})
+
+    return step
+
+
+def logistic(seen: DataFrame, ridge: float = 1e-2, steps: int = 30) -> np.ndarray:
+    """Newton's method for a ridge-penalised logistic curve over all rows (y, x) of a stored table.
+
+    Every step is one pass that sends a row of sums per task to the driver.
+    """
+    w, schema = np.zeros(N_FEATURES), T.StructType([T.StructField("sums", T.ArrayType(T.LongType()))])
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * w)
+        parts = [r.sums for r in map_batches(seen, _moments(w), schema).collect()]
+        if not parts:
+            break
+        total = np.array([sum(column) / UNITS for column in zip(*parts, strict=True)])
+        hessian = total[N_FEATURES:].reshape(N_FEATURES, N_FEATURES) + ridge * np.eye(N_FEATURES)
+        step = np.linalg.solve(hessian, total[:N_FEATURES] - ridge * w)
         w += step
-        if np.abs(step).max() < 1e-9:
+        if np.abs(step).max() < 1e-7:
             break
     return w
 
 
+def labelled(
+    rows: DataFrame, labels: DataFrame, *, train: Column | None = None, id_col: str = "doc_id", label_col: str = "toxic"
+) -> DataFrame:
+    """Rows (id, ...) with the label y of all labels that teach.
+
+    Null ids and labels other than 0 and 1 teach nothing; equal ids count each. Labels grow with the
+    documents, so they are never broadcast.
+    """
+    chosen = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
+    chosen = chosen.where(train) if train is not None else chosen
+    chosen = chosen.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
+    return rows.join(chosen.hint("merge"), "id")
+
+
+def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+
+
+def fit_evidence(
+    rows: DataFrame, *, min_support: int = MIN_SUPPORT, min_g2: float = MIN_G2, max_lexicon: int = MAX_LEXICON
+) -> Toxicity:
+    """Spelling and evidence from all rows (text, y), without the curve; counts are summed by task and by Spark."""
+    schema = T.StructType([T.StructField("key", T.StringType()), *(T.StructField(c, T.LongType()) for c in ("clean", "toxic"))])
+    counts = map_batches(rows.select("text", "y"), _count, schema).groupBy("key").agg(
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
+    )
+    counts = stored(counts.where((F.col("toxic") >= min_support) | F.col("key").startswith("\t")), "evidence")
+    trigrams = np.zeros(28 * 28 * 28)
+    for r in counts.where(F.col("key").rlike("^\t[0-9]+$")).collect():
+        trigrams[int(r.key[1:])] = r.clean
+    return Toxicity(trigrams.reshape(28, 28, 28), _evidence(counts, min_support, min_g2, max_lexicon), np.zeros(N_FEATURES))
+
+
+def fit_curve(model: Toxicity, seen: DataFrame) -> Toxicity:
+    """The model with the curve learned from all rows (y, x)."""
+    return Toxicity(model.trigrams, model.lexicon, logistic(stored(seen.select("y", "x"), "labelled")))
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -321,41 +396,32 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    max_labelled: int = MAX_LABELLED,
-    min_support: int = MIN_SUPPORT,
-    min_g2: float = MIN_G2,
-    max_lexicon: int = MAX_LEXICON,
+    **options,
 ) -> Toxicity:
-    """Learn spelling, evidence and the logistic curve from at most ``max_labelled`` labelled rows.
+    """Learn spelling, evidence and the logistic curve from all labelled rows.
 
-    The rows are chosen by a hash of their id, so the list of ids sent to the tasks is bounded; texts
-    are not shuffled. Null ids and labels other than 0 and 1 teach nothing; equal ids count each.
     Without both classes every document scores by the prior alone.
     """
-    chosen = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-    chosen = chosen.where(train) if train is not None else chosen
-    chosen = (
-        chosen.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
-        .orderBy(F.xxhash64("id"), "id", "y")
-        .limit(max_labelled)
-    )
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = rows.join(F.broadcast(chosen), "id")  # bounded by max_labelled
-    schema = T.StructType([T.StructField("key", T.StringType()), *(T.StructField(c, T.LongType()) for c in ("clean", "toxic"))])
-    counts = map_batches(rows.select("text", "y"), _count, schema).groupBy("key").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
-    )
-    counts = cut_lineage(counts.where((F.col("toxic") >= min_support) | F.col("key").startswith("\t")))
-    trigrams = np.zeros(28 * 28 * 28)
-    for r in counts.where(F.col("key").rlike("^\t[0-9]+$")).collect():
-        trigrams[int(r.key[1:])] = r.clean
-    model = Toxicity(trigrams.reshape(28, 28, 28), _evidence(counts, min_support, min_g2, max_lexicon), np.zeros(5))
-    seen = _features(rows, model).select("y", "x").collect()  # bounded by max_labelled
-    if seen:
-        x, y = np.array([r.x for r in seen], np.float64), np.array([r.y for r in seen], np.float64)
-        order = np.lexsort((*x.T, y))
-        model.weights = logistic(x[order], y[order])
-    return model
+    rows = labelled(texts_of(docs, id_col, text_col), labels, train=train, id_col=id_col, label_col=label_col)
+    rows = stored(rows, "labelled-texts")
+    model = fit_evidence(rows, **options)
+    return fit_curve(model, _features(rows, model))
+
+
+def document_features(docs: DataFrame, model: Toxicity, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, x): the features of every whole text, written once to the shared folder."""
+    return stored(_features(texts_of(docs, id_col, text_col), model), "features")
+
+
+def score_features(features: DataFrame, model: Toxicity) -> DataFrame:
+    """(id, score) for rows of :func:`document_features`."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array(batch.column("x").to_pylist(), np.float64).reshape(-1, N_FEATURES)
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "score": pa.array(model.score(x))})
+
+    return map_batches(features, step, T.StructType([features.schema["id"], T.StructField("score", T.DoubleType())]))
 
 
 def _features(rows: DataFrame, model: Toxicity) -> DataFrame:
@@ -380,13 +446,13 @@ def score(docs: DataFrame, model: Toxicity, *, id_col: str = "doc_id", text_col:
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "score": pa.array(_scores(reader, model, batch, "text"))})
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = texts_of(docs, id_col, text_col)
     return map_batches(rows, step, T.StructType([rows.schema["id"], T.StructField("score", T.DoubleType())]))
 
 
 def _scores(reader: Reader, model: Toxicity, batch: pa.RecordBatch, name: str) -> np.ndarray:
     x = [reader.features(t) for t in raw_texts(batch.column(name))]
-    return model.score(np.array(x, np.float64).reshape(-1, 5))
+    return model.score(np.array(x, np.float64).reshape(-1, N_FEATURES))
 
 
 def keep_clean(docs: DataFrame, model: Toxicity, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
