@@ -9,13 +9,14 @@ gets bands of two ordered shingles of three words, and one under ``SMALL_TEXT``
 words.
 
 Equal texts are one node. A bucket is read by length and falls into crowds at gaps that the allowed edits do
-not span. A crowd is read in order, and a node is paired with every leader whose folded word counts are near
+not span. A crowd is read in order, and a node is paired with one leader whose folded word counts are near
 enough for the allowed edits; a node near no leader becomes one. The counts give a lower bound of the edits,
 so no pair that passes the alignment is lost to them. A pair is aligned inside the band of diagonals that the
 allowed edits leave. A node whose counts are near a leader's only just becomes a leader too. Crowds with
-followers whose nodes are not all joined by then are read again: all their pairs of nodes of different classes
-whose counts are near enough are aligned, so no link inside a bucket is lost. Large crowds are cut into parts,
-read again two parts at a time, so that a bucket with a third of all nodes is not one task's work.
+followers or nodes near several leaders, whose nodes are not all joined by then, are read again: all their pairs
+of nodes of different classes whose counts are near enough, folded and almost exact, are aligned, so no link
+inside a bucket is lost. Large crowds are cut into parts, read again two parts at a time, so that a bucket with a
+third of all nodes is not one task's work.
 """
 
 from __future__ import annotations
@@ -44,6 +45,9 @@ SMALL_TEXT, WORD_BANDS, WORDS_PER_BAND = 96, 32, 3  # texts with few shingles al
 PART_NODES = 4_000
 LEAST_FOLD, GREATEST_FOLD = 32, 1024  # places of the folded word counts, a quarter of the words between these
 SURE = 0.9  # of the allowed edits: counts this near make no further leader
+BAG_PLACES = 4096  # places of the word counts that crowds are read with again
+BAG_ROWS = 1024  # rows of these that are compared at once
+FILTER_BITS = 25  # at most, of the map of wanted rows: 1,024 rows of 4 KB
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 1 << 21
 CROWD_ROWS = 10_000  # rows of small columns that a step handles at once
@@ -87,6 +91,13 @@ def folded(words: list[bytes]) -> bytes:
     return np.minimum(np.bincount(places, minlength=size), 255).astype(np.uint8).tobytes()
 
 
+def bag_of(words: list[bytes]) -> bytes:
+    """Word counts in BAG_PLACES places, those above zero only: their places, then the counts."""
+    places = np.fromiter(map(crc32, words), np.int64, len(words)) & (BAG_PLACES - 1)
+    held, counts = np.unique(places, return_counts=True)
+    return np.concatenate([held, np.minimum(counts, 32767)]).astype(np.int16).tobytes()
+
+
 def grams_of(words: list[bytes], q: int) -> np.ndarray:
     """Hashes of the runs of ``q`` words."""
     codes = np.fromiter(map(crc32, words), np.uint64, len(words))
@@ -233,6 +244,7 @@ LED = T.StructType(
         T.StructField("sure", T.BooleanType()),
     ]
 )
+BAG = T.StructType([T.StructField("node", T.LongType()), T.StructField("bag", T.BinaryType())])
 PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
@@ -371,18 +383,19 @@ def _twos(first: np.ndarray, sizes: np.ndarray, folds: list[bytes], similarity:
 
 
 def _lead(similarity: float, part_nodes: int):
-    """Rows sorted by (crowd, part, node) to pairs (leader, node, sure).
+    """Rows sorted by (crowd, part, node) to pairs (leader, node, sure): for each node its least sure leader, or else
+    the least near one.
 
-    The members of a part with followers and three nodes at least, or of a full or later part, come out too, each
-    paired with itself; sure says that it leads.
+    The members of a part in which a node follows or is near several leaders, and of a full or later part, come out
+    too, each paired with itself; sure says that it leads. All pairs of other parts whose counts are near come out.
     """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, leaders, members, followed = None, Leaders(), [], False
+        here, leaders, members, more = None, Leaders(), [], False
         out: tuple[list[int], list[int], list[int], list[bool]] = ([], [], [], [])
 
         def close() -> None:
-            if here is not None and (here[1] or len(members) >= part_nodes or (followed and len(members) > 2)):
+            if here is not None and (here[1] or len(members) >= part_nodes or (more and len(members) > 2)):
                 for node, leads in members:
                     put(here[0], node, node, leads)
 
@@ -413,16 +426,16 @@ def _lead(similarity: float, part_nodes: int):
             ):
                 if (c, p) != here:
                     close()
-                    here, leaders, members, followed = (c, p), Leaders(), [], False
+                    here, leaders, members, more = (c, p), Leaders(), [], False
                 fold = np.frombuffer(folds[i], np.uint8).astype(np.int16)
                 found = leaders.near(words, fold, similarity)
                 follows = any(sure for _, sure in found)
                 if not follows:
                     leaders.add(key, words, fold)
-                followed |= follows
+                more |= follows or len(found) > 1
                 members.append((key, not follows))
-                for a, sure in found:
-                    put(c, a, key, sure)
+                if found:
+                    put(c, min(a for a, sure in found if sure == follows), key, follows)
             yield pa.RecordBatch.from_arrays([pa.array(c, f) for c, f in zip(out, LED_ARROW, strict=True)], names=LED.names)
             for column in out:
                 column.clear()
@@ -455,11 +468,41 @@ class _Folds:
         return keep
 
 
+class _Bags:
+    """The counts of :func:`bag_of` of some nodes as rows of the places that occur."""
+
+    def __init__(self, bags: list[bytes]) -> None:
+        parts = [np.frombuffer(b, np.int16).reshape(2, -1) for b in bags]
+        used, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        ends = np.cumsum([p.shape[1] for p in parts])
+        self.held = np.split(at, ends[:-1])
+        self.rows = np.zeros((len(bags), len(used)), np.int16)
+        self.rows[np.repeat(np.arange(len(bags)), np.diff(ends, prepend=0)), at] = np.concatenate([p[1] for p in parts])
+        self.total = self.rows.sum(axis=1, dtype=np.int64)
+
+    def near(self, i: int, others: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """Those of the others whose counts differ from those of ``i`` by their limit at most."""
+        shared, held = np.zeros(len(others), np.int64), self.held[i]
+        for lo in range(0, len(others), BAG_ROWS):
+            theirs = self.rows[np.ix_(others[lo : lo + BAG_ROWS], held)]
+            shared[lo : lo + BAG_ROWS] = np.minimum(theirs, self.rows[i, held]).sum(axis=1, dtype=np.int64)
+        return np.maximum(self.total[others], self.total[i]) - shared <= limit
+
+
 def cross_pairs(
-    nodes: np.ndarray, labels: np.ndarray, sides: np.ndarray, sizes: np.ndarray, folds: list[bytes], similarity: float
+    nodes: np.ndarray,
+    labels: np.ndarray,
+    sides: np.ndarray,
+    sizes: np.ndarray,
+    folds: list[bytes],
+    similarity: float,
+    bags: list[bytes] | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of nodes of different labels whose counts are near enough, of different sides if there are two."""
-    words = _Folds(folds)
+    """All pairs of nodes of different labels whose counts are near enough, of different sides if there are two.
+
+    Each edit changes one word at most in the folded counts and in the bags, so neither loses a pair that is alike.
+    """
+    words, exact = _Folds(folds), None
     two = len(set(sides.tolist())) > 1
     for i in range(len(nodes) - 1):
         open_ = labels[i + 1 :] != labels[i]
@@ -469,7 +512,11 @@ def cross_pairs(
         limit = allowed(np.maximum(sizes[at], sizes[i]), similarity)
         keep = np.abs(sizes[at] - sizes[i]) <= limit
         at, limit = at[keep], limit[keep]
-        at = at[words.near(i, at, limit)]
+        keep = words.near(i, at, limit)
+        at, limit = at[keep], limit[keep]
+        if len(at) and bags is not None:
+            exact = exact or _Bags(bags)
+            at = at[exact.near(i, at, limit)]
         if len(at):
             yield np.minimum(nodes[at], nodes[i]), np.maximum(nodes[at], nodes[i])
 
@@ -482,11 +529,11 @@ def _cross(similarity: float):
 
         def pairs() -> Iterator[pa.RecordBatch]:
             node, label, side, size = (np.array([r[k] for r in rows], np.int64) for k in range(4))
-            for a, b in cross_pairs(node, label, side, size, [r[4] for r in rows], similarity):
+            for a, b in cross_pairs(node, label, side, size, [r[4] for r in rows], similarity, [r[5] for r in rows]):
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("crowd", "low", "high", "node", "label", "side", "n_words", "fold")]
+            columns = [batch.column(c).to_pylist() for c in ("crowd", "low", "high", "node", "label", "side", "n_words", "fold", "bag")]
             for crowd, low, high, *row in zip(*columns, strict=True):
                 if (crowd, low, high) != here:
                     if rows:
@@ -499,6 +546,12 @@ def _cross(similarity: float):
     return step
 
 
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bags = [bag_of(words_of(t)) for t in raw_texts(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(bags, pa.binary())], names=BAG.names)
+
+
 def _verdicts(similarity: float):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -515,11 +568,29 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text)).alias("key"), text.alias("text"))
 
 
+def picked(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The join of rows with the distinct keys of the stored table ``wanted``; few other rows are shuffled.
+
+    Rows are large and most of them are not wanted: a map with 16 bits for each wanted key, and FILTER_BITS as its
+    exponent at most, passes those whose hash is that of a wanted key. The join decides.
+    """
+    bits = min(FILTER_BITS, max(15, (16 * wanted.count()).bit_length()))
+    place = F.pmod(F.xxhash64(key), F.lit(1 << bits)) + 1  # bitmap positions count from one in each bucket
+    held = wanted.groupBy(F.bitmap_bucket_number(place).alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("__map")
+    )
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("__map", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    passed = rows.withColumn("__bucket", F.bitmap_bucket_number(place)).join(F.broadcast(held), "__bucket")
+    passed = passed.where(F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1)
+    return passed.drop("__bucket", "__map").join(wanted.hint("merge"), key)
+
+
 def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) that the alignment finds alike. Only texts of these pairs are shuffled."""
     pairs = stored(pairs.select("a", "b"), "tried")
     ends = stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends")
-    own = texts.join(ends, "node")
+    own = stored(picked(texts, ends, "node"), "own")
     with_one = pairs.join(own.select(F.col("node").alias("a"), F.col("text").alias("one")).hint("merge"), "a")
     with_two = with_one.join(own.select(F.col("node").alias("b"), F.col("text").alias("two")).hint("merge"), "b")
     return stored(map_batches(with_two.select("a", "b", "one", "two"), _verdicts(similarity), PAIR), "links")
@@ -598,12 +669,11 @@ def groups(
     first = F.row_number().over(Window.partitionBy("b").orderBy("a")) == 1
     pairs = stored(pairs.distinct().withColumn("nearest", first), "pairs")
 
-    def texts_of(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = stored(names.join(ends, "node", "left_semi"), "ends")
-        return stored(rows.select("key", "text").join(wanted, "key").dropDuplicates(["node"]).select("node", "text"), "texts")
+    def texts_of(ends: DataFrame) -> DataFrame:
+        wanted = stored(names.join(ends.distinct(), "node", "left_semi"), "ends")
+        return stored(picked(rows.select("key", "text"), wanted, "key").dropDuplicates(["node"]).select("node", "text"), "texts")
 
-    texts = texts_of(pairs)
+    texts = texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
     labels = components(verify(pairs.where("nearest"), texts, similarity))
     labels = joined_by(labels, pairs.where("not nearest"), texts, similarity)
 
@@ -616,10 +686,12 @@ def groups(
         sided = open_.withColumn("side", F.pmod(F.xxhash64("node"), parts))
         met_by = sided.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
         met_by = met_by.select("crowd", "node", "label", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
-        full = met_by.join(counts.hint("merge"), "node").repartition("crowd", "low", "high").sortWithinPartitions("crowd", "low", "high")
+        texts = texts_of(open_.select("node"))
+        words = stored(map_batches(texts, _bags, BAG).join(counts, "node"), "words")
+        full = met_by.join(words.hint("merge"), "node").repartition("crowd", "low", "high").sortWithinPartitions("crowd", "low", "high")
         crossed = stored(map_batches(full, _cross(similarity), PAIR).distinct(), "crossed")
         if some(crossed):
-            labels = joined_by(labels, crossed, texts_of(crossed), similarity)
+            labels = joined_by(labels, crossed, texts, similarity)
     named = labels.join(names, "node").select(F.col("key").alias("node"), F.col("label").alias("root"))
     roots = names.select(F.col("node").alias("root"), F.col("key").alias("label"))
     return stored(named.join(roots, "root").select("node", "label"), "groups")
