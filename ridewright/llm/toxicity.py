@@ -50,6 +50,7 @@ SUSPECT = re.compile(
 SIGN = "[" + re.escape("".join(LOOKALIKES)) + "]"
 WEAK = re.compile(rf"[^\W\d_]{SIGN}|{SIGN}[^\W\d_]")
 DOUBLED = re.compile(r"([^\W\d_])\1")
+REPEATED = re.compile(r"(.)\1+")
 TRIPLED = re.compile(r"([^\W\d_])\1\1")
 QUIET = "".join(c for c in EDGE if c not in LOOKALIKES)
 EDGES = EDGE + "".join(LOOKALIKES)
@@ -121,7 +122,7 @@ class SpellingModel:
 
 def thinned(word: str) -> str:
     """A word with every letter repeated in a row written once."""
-    return re.sub(r"(.)\1+", r"\1", word)
+    return REPEATED.sub(r"\1", word)
 
 
 @dataclass
@@ -137,6 +138,7 @@ class Reader:
     def __post_init__(self) -> None:
         self.thin = {thinned(w.rstrip("$")) for w in self.lexicon}
         self.longest = max(map(len, self.thin), default=0)
+        self.starts = {w[:3] for w in self.thin}
         self.heads = {w.rstrip("$")[:3] for w in self.lexicon}
 
     def plain(self, token: str) -> str:
@@ -173,6 +175,8 @@ class Reader:
 
     def may_be_thinned(self, word: str) -> bool:
         thin = thinned(word)
+        if thin[:3] not in self.starts and thin[:2] not in self.starts and thin[:1] not in self.starts:
+            return False
         return any(thin[:n] in self.thin for n in range(1, min(len(thin), self.longest) + 1))
 
     def apart(self, letters: str) -> str:
@@ -200,7 +204,12 @@ class Reader:
         if len(self.weighed) >= CACHE_TOKENS:
             self.weighed.clear()
             self.worth.clear()
+        heads = self.heads
         for token in tokens - self.weighed:
+            core = token.strip(QUIET)
+            if core[:3] not in heads and core.isalpha():
+                if not DOUBLED.search(core) or not TRIPLED.search(core) and not self.may_be_thinned(core):
+                    continue  # letters alone that stand as they are, without evidence
             word = self.plain(token)
             value = self.evidence(word)
             if value:
