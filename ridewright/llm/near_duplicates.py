@@ -14,14 +14,15 @@ enough for the allowed edits; a node near no leader becomes one. The counts give
 so no pair that passes the alignment is lost to them. A pair is aligned inside the band of diagonals that the
 allowed edits leave. A node whose counts are near a leader's only just becomes a leader too. Crowds with
 followers or nodes near several leaders, whose nodes are not all joined by then, are read again: all their pairs
-of nodes of different classes whose counts are near enough, folded and almost exact, are aligned, so no link
-inside a bucket is lost. Large crowds are cut into parts, read again two parts at a time, so that a bucket with a
-third of all nodes is not one task's work.
+of nodes of different classes whose counts are near enough, folded and almost exact, are aligned there, so no link
+inside a bucket is lost. A pair that meets in many crowds is aligned in one of them, and a crowd gives only the
+links that join two of its classes, fewer than it has nodes. Large crowds are cut into parts, read again two parts
+at a time, so that a bucket with a third of all nodes is not one task's work.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 from zlib import crc32
 
@@ -43,10 +44,12 @@ SHORT_TEXT, SHORT_BANDS = 64, 16  # short texts also get bands of one shingle ea
 SCATTER_SHINGLE, SCATTER_BANDS, SCATTER_PER_BAND = 3, 64, 2  # for edits spread over the text
 SMALL_TEXT, WORD_BANDS, WORDS_PER_BAND = 96, 32, 3  # texts with few shingles also get bands of words
 PART_NODES = 4_000
+PART_WORDS = 1 << 22  # of the texts that a task aligns in a part of a crowd
 LEAST_FOLD, GREATEST_FOLD = 32, 1024  # places of the folded word counts, a quarter of the words between these
 SURE = 0.9  # of the allowed edits: counts this near make no further leader
 BAG_PLACES = 4096  # places of the word counts that crowds are read with again
 BAG_ROWS = 1024  # rows of these that are compared at once
+FEW_EDITS = 16  # alignments follow diagonals up to these
 FILTER_BITS = 25  # at most, of the map of wanted rows: 1,024 rows of 4 KB
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 1 << 21
@@ -157,16 +160,21 @@ def scatter_minhash(words: list[bytes]) -> list[int]:
 
 
 def edit_distance(a: list[bytes], b: list[bytes], limit: int) -> int | None:
-    """Word edit distance if it is at most ``limit``, else None; only diagonals inside the band are visited."""
+    """Word edit distance if it is at most ``limit``, else None.
+
+    Up to FEW_EDITS the diagonals inside the band are followed; beyond, the columns are computed as whole numbers of
+    a bit for each word, whose time grows with the lengths and not with the square of the limit.
+    """
     if len(a) > len(b):
         a, b = b, a
     n, m = len(a), len(b)
     if m - n > limit:
         return None
+    few = min(limit, FEW_EDITS)
     goal, far = m - n, {}
-    for e in range(limit + 1):
+    for e in range(few + 1):
         fresh = {}
-        rest = limit - e  # edits left: a diagonal farther than that from the goal cannot reach it
+        rest = few - e  # edits left: a diagonal farther than that from the goal cannot reach it
         for k in range(max(-e, goal - rest), min(e, goal + rest) + 1):
             x = max(far.get(k, -1) + 1, far.get(k - 1, -1), far.get(k + 1, -2) + 1) if e else 0
             x = min(x, n, m - k)
@@ -180,7 +188,28 @@ def edit_distance(a: list[bytes], b: list[bytes], limit: int) -> int | None:
                 return e
             fresh[k] = x
         far = fresh
-    return None
+    return column_distance(a, b, limit) if few < limit else None
+
+
+def column_distance(a: list[bytes], b: list[bytes], limit: int) -> int | None:
+    """The distance of :func:`edit_distance` by columns: bit i tells how it steps at word i of ``a``."""
+    if not a:
+        return len(b) if len(b) <= limit else None
+    at: dict[bytes, int] = {}
+    for i, word in enumerate(a):
+        at[word] = at.get(word, 0) | (1 << i)
+    full, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    up, down, edits = full, 0, len(a)
+    for left, word in zip(range(len(b) - 1, -1, -1), b, strict=True):
+        same = at.get(word, 0)
+        across = (((same & up) + up) ^ up) | same
+        more, less = down | (full & ~(across | up)), up & across
+        edits += 1 if more & last else -1 if less & last else 0
+        if edits - left > limit:  # a column changes the distance by one at most
+            return None
+        more, less, same = (more << 1) | 1, less << 1, same | down
+        up, down = full & (less | ~(same | more)), full & more & same
+    return edits if edits <= limit else None
 
 
 def similar(one: bytes | None, two: bytes | None, similarity: float) -> bool:
@@ -244,7 +273,6 @@ LED = T.StructType(
         T.StructField("sure", T.BooleanType()),
     ]
 )
-BAG = T.StructType([T.StructField("node", T.LongType()), T.StructField("bag", T.BinaryType())])
 PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
@@ -489,6 +517,27 @@ class _Bags:
         return np.maximum(self.total[others], self.total[i]) - shared <= limit
 
 
+class _Turns:
+    """Which of the crowds that two nodes share is the one to align them; ``crowds`` are those of each node.
+
+    It is the shared crowd of least hash with the first node's number, so pairs are spread over their crowds.
+    """
+
+    def __init__(self, crowd: int, nodes: np.ndarray, crowds: list[list[int]]) -> None:
+        flat = np.fromiter(chain.from_iterable(crowds), np.int64, sum(map(len, crowds)))
+        self.names, at = np.unique(flat, return_inverse=True)
+        self.held = np.zeros((len(nodes), len(self.names)), bool)
+        self.held[np.repeat(np.arange(len(nodes)), [len(c) for c in crowds]), at] = True
+        self.here, self.nodes = int(np.searchsorted(self.names, crowd)), nodes
+
+    def of(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Whether the crowd at hand is the one for ``i`` and each of the others, all behind it."""
+        own = np.flatnonzero(self.held[i])
+        value = mix(self.names[own].astype(np.uint64) * MIX + np.uint64(self.nodes[i]))
+        sooner = own[value < value[np.searchsorted(own, self.here)]]
+        return ~self.held[np.ix_(others, sooner)].any(axis=1)
+
+
 def cross_pairs(
     nodes: np.ndarray,
     labels: np.ndarray,
@@ -496,11 +545,13 @@ def cross_pairs(
     sizes: np.ndarray,
     folds: list[bytes],
     similarity: float,
-    bags: list[bytes] | None = None,
+    bags: list[bytes] | Callable[[], list[bytes]] | None = None,
+    turns: _Turns | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of nodes of different labels whose counts are near enough, of different sides if there are two.
 
     Each edit changes one word at most in the folded counts and in the bags, so neither loses a pair that is alike.
+    With ``turns``, for which the nodes have to ascend, pairs of other crowds are left out.
     """
     words, exact = _Folds(folds), None
     two = len(set(sides.tolist())) > 1
@@ -512,46 +563,66 @@ def cross_pairs(
         limit = allowed(np.maximum(sizes[at], sizes[i]), similarity)
         keep = np.abs(sizes[at] - sizes[i]) <= limit
         at, limit = at[keep], limit[keep]
+        if turns is not None and len(at):
+            keep = turns.of(i, at)
+            at, limit = at[keep], limit[keep]
         keep = words.near(i, at, limit)
         at, limit = at[keep], limit[keep]
         if len(at) and bags is not None:
-            exact = exact or _Bags(bags)
+            exact = exact or _Bags(bags() if callable(bags) else bags)
             at = at[exact.near(i, at, limit)]
         if len(at):
             yield np.minimum(nodes[at], nodes[i]), np.maximum(nodes[at], nodes[i])
 
 
 def _cross(similarity: float):
-    """Rows sorted by (crowd, low, high) to the pairs of :func:`cross_pairs` of each such group."""
+    """Rows sorted by (crowd, low, high) to links (a, b) between labels of each such group, fewer than its rows.
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, rows = None, []
+    Pairs of :func:`cross_pairs` whose labels are not joined yet by links of the group are aligned.
+    """
 
-        def pairs() -> Iterator[pa.RecordBatch]:
-            node, label, side, size = (np.array([r[k] for r in rows], np.int64) for k in range(4))
-            for a, b in cross_pairs(node, label, side, size, [r[4] for r in rows], similarity, [r[5] for r in rows]):
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    def links(crowd: int, rows: list[list]) -> pa.RecordBatch:
+        rows.sort(key=lambda r: r[0])
+        node, label, side, size = (np.array([r[k] for r in rows], np.int64) for k in range(4))
+        texts = [r[5] for r in rows]
+        at = {n: i for i, n in enumerate(node.tolist())}
+        turns = _Turns(crowd, node, [r[6] for r in rows])
+        bags = lambda: [bag_of(words_of(t)) for t in texts]  # noqa: E731  of groups that need them
+        root = {x: x for x in label.tolist()}
+        found: tuple[list[int], list[int]] = ([], [])
+
+        def joined(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for one, two in cross_pairs(node, label, side, size, [r[4] for r in rows], similarity, bags, turns):
+            for a, b in zip(one.tolist(), two.tolist(), strict=True):
+                i, j = at[a], at[b]
+                x, y = joined(int(label[i])), joined(int(label[j]))
+                if x != y and similar(texts[i], texts[j], similarity):
+                    root[max(x, y)] = min(x, y)
+                    found[0].append(int(label[i]))
+                    found[1].append(int(label[j]))
+        return pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in found], names=PAIR.names)
 
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, rows = None, []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("crowd", "low", "high", "node", "label", "side", "n_words", "fold", "bag")]
+            columns = [batch.column(c).to_pylist() for c in ("crowd", "low", "high", "node", "label", "side", "n_words", "fold")]
+            columns += [raw_texts(batch.column("text")), batch.column("crowds").to_pylist()]
             for crowd, low, high, *row in zip(*columns, strict=True):
                 if (crowd, low, high) != here:
                     if rows:
-                        yield from pairs()
+                        yield links(here[0], rows)
                     here, rows = (crowd, low, high), []
                 rows.append(row)
         if rows:
-            yield from pairs()
+            yield links(here[0], rows)
 
     return step
 
 
-def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        bags = [bag_of(words_of(t)) for t in raw_texts(batch.column("text"))]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(bags, pa.binary())], names=BAG.names)
-
-
 def _verdicts(similarity: float):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -682,16 +753,17 @@ def groups(
     size = members.groupBy("crowd").agg(F.count("*").alias("n"), F.min("label").alias("l"), F.max("label").alias("m"))
     open_ = stored(members.join(size.where("l <> m").select("crowd", "n"), "crowd"), "open")
     if some(open_):
-        parts = F.ceil(F.col("n") / PART_NODES)
-        sided = open_.withColumn("side", F.pmod(F.xxhash64("node"), parts))
-        met_by = sided.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        own = open_.groupBy("node").agg(F.collect_list("crowd").alias("crowds")).join(counts, "node")
+        words = stored(own.join(texts_of(open_.select("node")), "node"), "words")
+        held = open_.join(words.select("node", "n_words"), "node").groupBy("crowd").agg(F.sum("n_words").alias("words"))
+        parts = F.greatest(F.ceil(F.col("n") / PART_NODES), F.ceil(F.col("words") / PART_WORDS), F.lit(1))
+        sided = open_.join(held, "crowd").withColumn("parts", parts).withColumn("side", F.pmod(F.xxhash64("node"), "parts"))
+        met_by = sided.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         met_by = met_by.select("crowd", "node", "label", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
-        texts = texts_of(open_.select("node"))
-        words = stored(map_batches(texts, _bags, BAG).join(counts, "node"), "words")
         full = met_by.join(words.hint("merge"), "node").repartition("crowd", "low", "high").sortWithinPartitions("crowd", "low", "high")
         crossed = stored(map_batches(full, _cross(similarity), PAIR).distinct(), "crossed")
         if some(crossed):
-            labels = joined_by(labels, crossed, texts, similarity)
+            labels = merged(labels, crossed)
     named = labels.join(names, "node").select(F.col("key").alias("node"), F.col("label").alias("root"))
     roots = names.select(F.col("node").alias("root"), F.col("key").alias("label"))
     return stored(named.join(roots, "root").select("node", "label"), "groups")
