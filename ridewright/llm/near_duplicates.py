@@ -23,6 +23,7 @@ at a time, so that a bucket with a third of all nodes is not one task's work.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 from zlib import crc32
 
@@ -50,6 +51,7 @@ SURE = 0.9  # of the allowed edits: counts this near make no further leader
 BAG_PLACES = 4096  # places of the word counts that crowds are read with again
 BAG_ROWS = 1024  # rows of these that are compared at once
 FEW_EDITS = 16  # alignments follow diagonals up to these
+KEPT_TEXTS, KEPT_BYTES = 64, 1 << 16  # texts whose words a task keeps between alignments, and their size at most
 FILTER_BITS = 25  # at most, of the map of wanted rows: 1,024 rows of 4 KB
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 1 << 21
@@ -101,10 +103,10 @@ def bag_of(words: list[bytes]) -> bytes:
     return np.concatenate([held, np.minimum(counts, 32767)]).astype(np.int16).tobytes()
 
 
-def grams_of(words: list[bytes], q: int) -> np.ndarray:
-    """Hashes of the runs of ``q`` words."""
-    codes = np.fromiter(map(crc32, words), np.uint64, len(words))
-    n = max(0, len(words) - q + 1)
+def grams_of(codes: np.ndarray, q: int) -> np.ndarray:
+    """Hashes of the runs of ``q`` words, given the codes of the words."""
+    codes = codes.astype(np.uint64)
+    n = max(0, len(codes) - q + 1)
     found = np.zeros(n, np.uint64)
     for j in range(q):
         found = mix(found * MIX + codes[j : j + n] + np.uint64(j + 1))
@@ -162,14 +164,20 @@ def scatter_minhash(words: list[bytes]) -> list[int]:
 def edit_distance(a: list[bytes], b: list[bytes], limit: int) -> int | None:
     """Word edit distance if it is at most ``limit``, else None.
 
-    Up to FEW_EDITS the diagonals inside the band are followed; beyond, the columns are computed as whole numbers of
+    Words that both begin or end with are passed over, which leaves the distance as it is. Up to FEW_EDITS the diagonals inside the band are followed; beyond, the columns are computed as whole numbers of
     a bit for each word, whose time grows with the lengths and not with the square of the limit.
     """
     if len(a) > len(b):
         a, b = b, a
-    n, m = len(a), len(b)
-    if m - n > limit:
+    if len(b) - len(a) > limit:
         return None
+    first, last = 0, 0
+    while first < len(a) and a[first] == b[first]:
+        first += 1
+    while last < len(a) - first and a[-1 - last] == b[-1 - last]:
+        last += 1
+    a, b = a[first : len(a) - last], b[first : len(b) - last]
+    n, m = len(a), len(b)
     few = min(limit, FEW_EDITS)
     goal, far = m - n, {}
     for e in range(few + 1):
@@ -212,21 +220,30 @@ def column_distance(a: list[bytes], b: list[bytes], limit: int) -> int | None:
     return edits if edits <= limit else None
 
 
+@lru_cache(KEPT_TEXTS)
+def _read(text: bytes | None) -> tuple[list[bytes], np.ndarray]:
+    """The words of a text and their codes; a text that is compared with many others is read once."""
+    words = words_of(text)
+    return words, np.fromiter(map(crc32, words), np.int64, len(words))
+
+
 def similar(one: bytes | None, two: bytes | None, similarity: float) -> bool:
     """Whether 1 - edits / longer length reaches ``similarity``; texts without words are not alike."""
-    a, b = words_of(one), words_of(two)
+    (a, a_codes), (b, b_codes) = (
+        _read(t) if len(t or b"") <= KEPT_BYTES else _read.__wrapped__(t) for t in (one, two)
+    )
     longer = max(len(a), len(b))
     if not a or not b:
         return False
     limit = int((1 - similarity) * longer + 1e-9)
     if longer - min(len(a), len(b)) > limit:
         return False
-    fold = [np.bincount(np.fromiter((crc32(w) & 4095 for w in x), np.int64, len(x)), minlength=4096) for x in (a, b)]
+    fold = [np.bincount(x & 4095, minlength=4096) for x in (a_codes, b_codes)]
     apart = fold[0] - fold[1]
     if max(apart[apart > 0].sum(), -apart[apart < 0].sum()) > limit:  # each edit changes one word at most
         return False
     for q in (2, 3):  # each edit changes q runs of q words at most
-        runs = [np.bincount((grams_of(x, q) & np.uint64(4095)).astype(np.int64), minlength=4096) for x in (a, b)]
+        runs = [np.bincount((grams_of(x, q) & np.uint64(4095)).astype(np.int64), minlength=4096) for x in (a_codes, b_codes)]
         apart = runs[0] - runs[1]
         if max(apart[apart > 0].sum(), -apart[apart < 0].sum()) > q * limit:
             return False
@@ -414,19 +431,29 @@ def _lead(similarity: float, part_nodes: int):
     """Rows sorted by (crowd, part, node) to pairs (leader, node, sure): for each node its least sure leader, or else
     the least near one.
 
-    The members of a part in which a node follows or is near several leaders, and of a full or later part, come out
-    too, each paired with itself; sure says that it leads. All pairs of other parts whose counts are near come out.
+    Of a part in which a node follows or is near several leaders, the nodes come out too whose counts are near those of
+    another, each paired with itself; of a full or later part all nodes. Sure says that a node leads. All pairs of other
+    parts whose counts are near come out.
     """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, leaders, members, more = None, Leaders(), [], False
+        here, leaders, followers, members, met, more = None, Leaders(), Leaders(), [], set(), False
         out: tuple[list[int], list[int], list[int], list[bool]] = ([], [], [], [])
 
         def close() -> None:
-            if here is not None and (here[1] or len(members) >= part_nodes or (more and len(members) > 2)):
-                for node, leads in members:
+            whole = here is not None and (here[1] or len(members) >= part_nodes)
+            if whole:
+                kept = members
+            elif more and len(members) > 2:
+                # a leader that is near no leader may still be near one's follower
+                kept = [m for m in members if m[0] in met or followers.near(m[2], unfold(m[3]), similarity)]
+            if whole or (more and len(members) > 2 and len(kept) > 2):
+                for node, leads, _, _ in kept:
                     put(here[0], node, node, leads)
 
+        def unfold(fold: bytes) -> np.ndarray:
+            return np.frombuffer(fold, np.uint8).astype(np.int16)
+
         def put(*row) -> None:
             for column, value in zip(out, row, strict=True):
                 column.append(value)
@@ -454,15 +481,16 @@ def _lead(similarity: float, part_nodes: int):
             ):
                 if (c, p) != here:
                     close()
-                    here, leaders, members, more = (c, p), Leaders(), [], False
-                fold = np.frombuffer(folds[i], np.uint8).astype(np.int16)
+                    here, leaders, followers, members, met, more = (c, p), Leaders(), Leaders(), [], set(), False
+                fold = unfold(folds[i])
                 found = leaders.near(words, fold, similarity)
                 follows = any(sure for _, sure in found)
-                if not follows:
-                    leaders.add(key, words, fold)
+                (followers if follows else leaders).add(key, words, fold)
                 more |= follows or len(found) > 1
-                members.append((key, not follows))
+                members.append((key, not follows, words, folds[i]))
                 if found:
+                    met.add(key)
+                    met.update(a for a, _ in found)
                     put(c, min(a for a, sure in found if sure == follows), key, follows)
             yield pa.RecordBatch.from_arrays([pa.array(c, f) for c, f in zip(out, LED_ARROW, strict=True)], names=LED.names)
             for column in out:
@@ -497,19 +525,21 @@ class _Folds:
 
 
 class _Bags:
-    """The counts of :func:`bag_of` of some nodes as rows of the places that occur."""
+    """The counts of :func:`bag_of` of some nodes, read when they are first compared; ``bag`` gives those of a node."""
 
-    def __init__(self, bags: list[bytes]) -> None:
-        parts = [np.frombuffer(b, np.int16).reshape(2, -1) for b in bags]
-        used, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        ends = np.cumsum([p.shape[1] for p in parts])
-        self.held = np.split(at, ends[:-1])
-        self.rows = np.zeros((len(bags), len(used)), np.int16)
-        self.rows[np.repeat(np.arange(len(bags)), np.diff(ends, prepend=0)), at] = np.concatenate([p[1] for p in parts])
-        self.total = self.rows.sum(axis=1, dtype=np.int64)
+    def __init__(self, nodes: int, bag: Callable[[int], bytes]) -> None:
+        self.bag, self.held = bag, {}
+        self.rows, self.total = np.zeros((nodes, BAG_PLACES), np.int16), np.zeros(nodes, np.int64)
+
+    def read(self, i: int) -> None:
+        if i not in self.held:
+            places, counts = np.frombuffer(self.bag(i), np.int16).reshape(2, -1)
+            self.held[i], self.rows[i, places], self.total[i] = places, counts, counts.sum(dtype=np.int64)
 
     def near(self, i: int, others: np.ndarray, limit: np.ndarray) -> np.ndarray:
         """Those of the others whose counts differ from those of ``i`` by their limit at most."""
+        for j in (i, *others.tolist()):
+            self.read(j)
         shared, held = np.zeros(len(others), np.int64), self.held[i]
         for lo in range(0, len(others), BAG_ROWS):
             theirs = self.rows[np.ix_(others[lo : lo + BAG_ROWS], held)]
@@ -545,7 +575,7 @@ def cross_pairs(
     sizes: np.ndarray,
     folds: list[bytes],
     similarity: float,
-    bags: list[bytes] | Callable[[], list[bytes]] | None = None,
+    bags: list[bytes] | Callable[[int], bytes] | None = None,
     turns: _Turns | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of nodes of different labels whose counts are near enough, of different sides if there are two.
@@ -569,7 +599,7 @@ def cross_pairs(
         keep = words.near(i, at, limit)
         at, limit = at[keep], limit[keep]
         if len(at) and bags is not None:
-            exact = exact or _Bags(bags() if callable(bags) else bags)
+            exact = exact or _Bags(len(nodes), bags if callable(bags) else bags.__getitem__)
             at = at[exact.near(i, at, limit)]
         if len(at):
             yield np.minimum(nodes[at], nodes[i]), np.maximum(nodes[at], nodes[i])
@@ -587,7 +617,7 @@ def _cross(similarity: float):
         texts = [r[5] for r in rows]
         at = {n: i for i, n in enumerate(node.tolist())}
         turns = _Turns(crowd, node, [r[6] for r in rows])
-        bags = lambda: [bag_of(words_of(t)) for t in texts]  # noqa: E731  of groups that need them
+        bags = lambda i: bag_of(words_of(texts[i]))  # noqa: E731  of nodes that need them
         root = {x: x for x in label.tolist()}
         found: tuple[list[int], list[int]] = ([], [])
 
@@ -748,16 +778,17 @@ def groups(
     labels = components(verify(pairs.where("nearest"), texts, similarity))
     labels = joined_by(labels, pairs.where("not nearest"), texts, similarity)
 
-    members = met.where("a = b").select("crowd", F.col("a").alias("node")).join(labels, "node", "left")
-    members = stored(members.select("crowd", "node", F.coalesce("label", "node").alias("label")), "members")
-    size = members.groupBy("crowd").agg(F.count("*").alias("n"), F.min("label").alias("l"), F.max("label").alias("m"))
-    open_ = stored(members.join(size.where("l <> m").select("crowd", "n"), "crowd"), "open")
+    sized = counts.select("node", "n_words").join(labels, "node", "left").select("node", "n_words", F.coalesce("label", "node").alias("label"))
+    members = stored(met.where("a = b").select("crowd", F.col("a").alias("node")).join(sized, "node"), "members")
+    size = members.groupBy("crowd").agg(
+        F.count("*").alias("n"), F.sum("n_words").alias("words"), F.min("label").alias("l"), F.max("label").alias("m")
+    )
+    parts = F.greatest(F.ceil(F.col("n") / PART_NODES), F.ceil(F.col("words") / PART_WORDS), F.lit(1)).alias("parts")
+    open_ = stored(members.join(size.where("l <> m").select("crowd", parts), "crowd"), "open")
     if some(open_):
         own = open_.groupBy("node").agg(F.collect_list("crowd").alias("crowds")).join(counts, "node")
         words = stored(own.join(texts_of(open_.select("node")), "node"), "words")
-        held = open_.join(words.select("node", "n_words"), "node").groupBy("crowd").agg(F.sum("n_words").alias("words"))
-        parts = F.greatest(F.ceil(F.col("n") / PART_NODES), F.ceil(F.col("words") / PART_WORDS), F.lit(1))
-        sided = open_.join(held, "crowd").withColumn("parts", parts).withColumn("side", F.pmod(F.xxhash64("node"), "parts"))
+        sided = open_.withColumn("side", F.pmod(F.xxhash64("node"), "parts"))
         met_by = sided.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         met_by = met_by.select("crowd", "node", "label", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
         full = met_by.join(words.hint("merge"), "node").repartition("crowd", "low", "high").sortWithinPartitions("crowd", "low", "high")
