@@ -96,13 +96,15 @@ def _summarise(carry, batch):
     )
     prices = batch.column("price_cents").to_numpy()
     lengths = np.searchsorted(np.int64(1) << np.arange(LENGTHS - 1, dtype=np.int64), prices, "right")
-    for length in range(LENGTHS):
+    # most owners have few rides in a block, so only lengths that occur are looked at
+    sums = np.zeros(LENGTHS, np.int64)
+    np.add.at(sums, lengths, prices)
+    for length in np.flatnonzero(np.bincount(lengths, minlength=LENGTHS)):
         small = np.where(lengths < length, prices, 0)
         same = lengths == length
-        if same.any():
-            before = shorter[length] + np.cumsum(small) - small
-            least[length] = min(least[length], (prices + before)[same].min())
-        shorter[length] += small.sum()
+        before = shorter[length] + np.cumsum(small)  # a price of this length is not among them
+        least[length] = min(least[length], (prices + before)[same].min())
+    shorter[1:] += np.cumsum(sums)[:-1]
     return start, shorter, least
 
 

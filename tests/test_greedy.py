@@ -99,3 +99,22 @@ def test_rides_without_owner_or_price_are_left_out(spark):
     frame = rides(spark, {1: (100, [50])})
     odd = frame.withColumn("owner_id", F.lit(None).cast("bigint"))
     assert len(settled(frame.unionByName(odd))) == 1
+
+
+def test_block_summaries_look_at_lengths_that_occur_only(monkeypatch):
+    import pyarrow as pa
+
+    rng, tried, where = random.Random(5), [], np.where
+    monkeypatch.setattr(np, "where", lambda *a: tried.append(1) or where(*a))
+    for n in (1, 2, 7, 60):
+        prices = [rng.choice([0, 1, rng.randrange(10**4), rng.randrange(2**62)]) >> 8 for _ in range(n)]
+        batch = pa.RecordBatch.from_pydict({"start_cents": pa.array([9] * n), "price_cents": pa.array(prices, pa.int64())})
+        tried.clear()
+        carry = greedy._summarise(None, batch.slice(0, n // 2)) if n > 1 else None
+        start, shorter, least = greedy._summarise(carry, batch.slice(n // 2))
+        assert start == 9 and len(tried) <= 2 * len({p.bit_length() for p in prices})
+        for size in range(greedy.LENGTHS):
+            before = [sum(q for q in prices[:i] if q.bit_length() < size) for i in range(n)]
+            same = [p + b for p, b in zip(prices, before, strict=True) if p.bit_length() == size]
+            assert least[size] == min(same, default=greedy.NEVER)
+            assert shorter[size] == sum(p for p in prices if p.bit_length() < size)
