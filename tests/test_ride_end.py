@@ -6,6 +6,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from ridewright.checks.queries import QUERIES
+from ridewright.checks.views import Views
 from ridewright.operators import rides
 from ridewright.operators.lookup import one_per_key
 
@@ -102,3 +104,43 @@ def test_first_row_may_hold_values_without_order(spark):
 def test_order_columns_are_shuffled_once(spark):
     df = spark.createDataFrame([(1, 5, "b")], "k int, at int, v string")
     assert not any("min_by" in line for line in plan_lines(one_per_key(df, ["k"], ["at"])))
+
+
+def tables(spark, folder):
+    """Orders 1, 1 and 97 with three rides, one of them twice and one without an end, and one line without order."""
+    lines = [(1, 10, 7, 1), (1, 10, 7, 1), (97, 20, 8, 2), (2, 10, 7, 3), (None, 10, 7, 4)]
+    rows = {
+        "lineitem": spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int").selectExpr(
+            "*", "2D l_quantity", "10D l_extendedprice", "'A' l_returnflag", "'F' l_linestatus"
+        ),
+        "orders": spark.createDataFrame([(1, 5), (1, 4), (97, 6)], "o_orderkey bigint, o_custkey bigint"),
+        "part": spark.createDataFrame([(10, 3), (20, 4)], "p_partkey bigint, p_size int").selectExpr("*", "'t' p_type", "'b' p_brand"),
+        "supplier": spark.range(3).selectExpr("id s_suppkey", "'s' s_name", "1D s_acctbal"),
+    }
+    for name, df in rows.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+
+
+@pytest.mark.parametrize("name", ["ride_summary", "effective_date_copy", "ride_price", "enrich_end_ride"])
+def test_both_readers_of_the_rides_share_their_shuffles(spark, folder, shuffled, name):
+    tables(spark, folder)
+    df = QUERIES[name](spark, folder)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # a query turns it on; it finds equal shuffles while it runs
+    lines = plan_lines(df)
+    for read in ("l_orderkey", "o_orderkey"):
+        assert len([line for line in lines if f"FileScan parquet [{read}" in line]) == 1, read
+    assert len([line for line in lines if "ReusedExchange" in line and "l_orderkey" in line]) == 1
+    # each of the four rows that the order's repeats make of a ride finds the rider that comes first
+    found = df.collect()
+    assert [r.ride_id for r in found] == ["1-10-7-1"] * 4
+    if name == "ride_summary":
+        assert {(r.rider_id, r.vehicle_id, r.owner_id, r.last_geohash, r.auth_transaction_id) for r in found} == {
+            (4, 10, 1, "to-4", "auth-1-10-7-1")
+        }
+
+
+def test_shared_rows_are_those_of_the_table(spark, folder):
+    tables(spark, folder)
+    v, columns = Views(spark, folder), ["ride_id", "end_time", "k"]
+    assert v.shared("rides", *columns).schema == v.rides.select(*columns).schema
+    assert sorted(map(str, v.shared("rides", *columns).collect())) == sorted(map(str, v.rides.select(*columns).collect()))
